@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import count_tokens, is_nonempty
-from ..session import materialize
-from .lookup import attach, fits_broadcast
-from .prefix import GROUP, Cut, Order, hash_order, prefix_cut, source_order
+from .lookup import attach, small_table
+from .prefix import GROUP, Order, hash_order, prefix_cut, source_order
 
 RATIO_CHARS = 1_000_000
 
@@ -55,8 +54,8 @@ def _stop_after_samples(
         passed = cut.drop(cut.attach(df).where(~cut.within))
         if by == [GROUP]:
             passed = passed.withColumn(GROUP, F.lit(0))
-    last = materialize(passed.where(nonempty).groupBy(*by).agg(F.min(order.key).alias("_last")))
-    joined = attach(out, last, by, fits_broadcast(last), "left", order.keys)
+    last, fits = small_table(passed.where(nonempty).groupBy(*by).agg(F.min(order.key).alias("_last")))
+    joined = attach(out, last, by, fits, "left", order.keys)
     return joined.where(F.col("_last").isNull() | (order.key <= F.col("_last"))).drop("_last", GROUP)
 
 
@@ -76,13 +75,16 @@ def token_char_ratio(
     order = order or source_order("ord")
     chars = F.coalesce(F.length(text), F.lit(0))
     cut = prefix_cut(df, [by], order, chars, F.lit(sample_chars))
-    at_border = F.col("_cut").isNotNull() & (order.key == F.col("_cut"))
     room = (F.lit(sample_chars) - F.col("_cut_before")).cast("int")
-    head = F.when(at_border, F.col(text).substr(F.lit(1), room)).otherwise(F.col(text))
+    head = F.when(cut.last, F.col(text).substr(F.lit(1), room)).otherwise(F.col(text))
     sample = cut.attach(df).where(cut.within).select(by, head.alias("_head"))
     return (
         sample.groupBy(by)
-        .agg(F.sum(F.coalesce(F.length("_head"), F.lit(0))).alias("chars"), F.sum(tokens("_head")).alias("tokens"))
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.sum(F.coalesce(F.length("_head"), F.lit(0))).alias("chars"),
+            F.sum(tokens("_head")).alias("tokens"),
+        )
         .withColumn(
             "ratio",
             F.when(F.col("chars") > 0, F.col("tokens") / F.col("chars")).otherwise(F.lit(0.0)),
@@ -106,32 +108,54 @@ def mix_to_budget(
     by: str = "lang",
     order: Order | None = None,
     target: str = "target",
+    head: Column | None = None,
+    headed: Sequence[str] = (),
 ) -> DataFrame:
     """Walks each group in order, again and again, until its target is met.
 
-    Gives every row once per visit, with its 0-based `epoch`. `targets` has one row per
-    group; groups without one, or with a target of 0, give no rows. The row that meets the
-    target is kept, so a group overshoots by less than one row.
+    Gives every row once per visit, with its 0-based `epoch` and its `n_tokens`. `targets`
+    has one row per group; groups without one, or with a target of 0, give no rows. The row
+    that meets the target is kept, so a group overshoots by less than one row.
 
     After `full = (target - 1) div total` whole rounds, `(target - 1) mod total + 1` tokens
     are left to fill, between 1 and total: rows up to that cut are visited full + 1 times,
     the others full times.
+
+    For the groups `headed`, `head` selects a prefix. Those that meet their target in it are
+    finished from it alone; the rest of them is not read.
     """
     order = order or source_order("ord")
     wanted = targets.where(F.col(target) > 0).select(by, F.col(target).cast("bigint").alias(target))
-    limit = F.when(F.col("_total") > 0, (F.col(target) - 1) % F.col("_total") + 1)
-    cut = prefix_cut(df, [by], order, tokens, limit, wanted)
-    return _visits(df, cut, target)
+    if head is None or not headed:
+        return _mix_whole(df, wanted, tokens, by, order, target)
+
+    start = df.where(F.col(by).isin(list(headed)) & head)
+    met = F.col(target) <= F.col("_total")
+    cut = prefix_cut(start, [by], order, tokens, F.when(met, F.col(target)), wanted)
+    done = [r[0] for r in cut.table.where(met).select(by).collect()]  # no more than `headed`
+    early = cut.drop(
+        cut.attach(start).where(met & cut.within)
+        .withColumn("n_tokens", tokens).withColumn("epoch", F.lit(0).cast("bigint"))
+    )
+    left = wanted.where(~F.col(by).isin(done))
+    if left.isEmpty():
+        return early
+    later = df.where(~F.col(by).isin(done))
+    return early.unionByName(_mix_whole(later, left, tokens, by, order, target))
 
 
-def _visits(df: DataFrame, cut: Cut, target: str) -> DataFrame:
-    full = F.expr(f"({target} - 1) div _total")
-    visits = full + F.when(cut.within, 1).otherwise(0)
+def _mix_whole(
+    df: DataFrame, wanted: DataFrame, tokens: Column, by: str, order: Order, target: str
+) -> DataFrame:
+    limit = F.when(F.col("_total") > 0, (F.col(target) - 1) % F.col("_total") + 1)
+    cut = prefix_cut(df, [by], order, tokens, limit, wanted)
+    visits = F.expr(f"({target} - 1) div _total") + F.when(cut.within, 1).otherwise(0)
     return cut.drop(
         cut.attach(df)
         .where(F.col("_total") > 0)
         .withColumn("_visits", visits)
         .where(F.col("_visits") > 0)
+        .withColumn("n_tokens", tokens)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_visits") - 1)))
         .drop("_visits")
     )

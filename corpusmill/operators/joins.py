@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize
-from .lookup import attach, fits_broadcast
+from .lookup import attach, small_table
 
 
 def _fingerprint(df: DataFrame, pair: str, row: str, name: str) -> DataFrame:
@@ -44,8 +43,9 @@ def join_scores(
     pruning still reach both scans.
     """
     cover = score_coverage(bitext, scores, pair, row)
-    cover = materialize(cover.where((F.col("n_bitext") > 0) & (F.col("n_scores") > 0)).select(pair, "aligned"))
-    checked = attach(bitext, cover, [pair], fits_broadcast(cover), spread=[row])
+    both = (F.col("n_bitext") > 0) & (F.col("n_scores") > 0)
+    cover, fits = small_table(cover.where(both).select(pair, "aligned"))
+    checked = attach(bitext, cover, [pair], fits, spread=[row])
     mismatch = F.raise_error(F.concat(F.lit("bitext and scores differ in length for "), F.col(pair)))
     checked = checked.where(F.when(F.col("aligned"), F.lit(True)).otherwise(mismatch.cast("boolean")))
     return checked.drop("aligned").join(scores, [pair, row])

@@ -1,4 +1,4 @@
-"""Joining a corpus with a small table of one row per group."""
+"""Small tables of one row per group, and joining a corpus with them."""
 
 from __future__ import annotations
 
@@ -6,15 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 # A group table has a key and a few numbers per row, so this many rows stay far below
 # what an executor can hold. Tables with more rows are joined by a shuffle.
-MAX_BROADCAST_ROWS = 100_000
+MAX_SMALL_ROWS = 100_000
 SPREAD = 64
 
 
-def fits_broadcast(small: DataFrame) -> bool:
-    """Counts `small` (materialised by the caller) against the bound, reading no more than it."""
-    return small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+def small_table(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Runs `df` once and keeps its result for later plans; tells whether it is small.
+
+    At most MAX_SMALL_ROWS rows are fetched and become a constant of the plans that use
+    them: no later job repeats the scan behind them, and Spark knows their exact size. A
+    result with more rows is written to the checkpoint folder instead.
+    """
+    rows = df.limit(MAX_SMALL_ROWS + 1).toArrow()
+    if rows.num_rows <= MAX_SMALL_ROWS:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return materialize(df), False
 
 
 def attach(
@@ -25,7 +35,7 @@ def attach(
     how: str = "inner",
     spread: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """`df` joined with its row of `small`.
+    """`df` joined with its row of `small`, a result of `small_table`.
 
     Within the bound the group table is broadcast and the corpus is not shuffled. Beyond
     it both sides are shuffled; `spread` (columns that differ from row to row) cuts every

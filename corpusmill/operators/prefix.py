@@ -1,8 +1,8 @@
 """Running sums over huge groups, without sorting a group in one task.
 
 A group is cut into buckets which follow its order: leading digits of a hash key for a
-random order, blocks of consecutive positions for the source order. Bucket sums are tiny,
-so they can be accumulated; only the rows of one bucket are ever sorted together.
+random order, blocks of consecutive positions for the source order. The sums of the buckets
+are a tiny table that can be accumulated; only rows of one bucket are ever sorted together.
 
 Most operators need no running sum per row but only the row at which a limit is met
 (`prefix_cut`): everything before it is in, everything after it is out. Then the corpus
@@ -18,21 +18,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import rand
-from ..session import materialize
-from .lookup import attach, fits_broadcast
+from .lookup import attach, small_table
 
 HASH_DIGITS = 3  # 4096 buckets per group
 BLOCK_BITS = 16  # 65 536 positions per block
-SUPERBLOCK_BITS = 32
+MAX_RANGES = 500
 GROUP = "_all"
 
 
 @dataclass(frozen=True)
 class Order:
-    """`keys` order the rows of a group totally; `buckets` go from coarse to fine."""
+    """`keys` order the rows of a group totally; `buckets` order them in the same way, coarsely.
+
+    `position` names the stored column whose blocks the last bucket counts, if there is one.
+    """
 
     keys: tuple[Column, ...]
     buckets: tuple[Column, ...]
+    position: str | None = None
 
     @property
     def key(self) -> Column:
@@ -50,16 +53,17 @@ def source_order(ord_col: str, *leading: str) -> Order:
     pos = F.col(ord_col)
     return Order(
         (*map(F.col, leading), pos),
-        (*map(F.col, leading), F.shiftright(pos, SUPERBLOCK_BITS), F.shiftright(pos, BLOCK_BITS)),
+        (*map(F.col, leading), F.shiftright(pos, BLOCK_BITS)),
+        ord_col,
     )
 
 
 @dataclass(frozen=True)
 class Cut:
-    """One row per group: its columns, `_total`, `_limit`, `_cut` and `_cut_before`.
+    """One row per group: its columns, `_total`, `_limit`, `_cut0`.. and `_cut_before`.
 
-    `_cut` is the key of the last row whose sum of earlier rows is below the limit, and
-    null where the whole group is; `_cut_before` is that sum.
+    The cut is the key of the last row whose sum of earlier rows, `_cut_before`, is below
+    the limit. Both are null where the whole group is.
     """
 
     table: DataFrame
@@ -68,24 +72,47 @@ class Cut:
     fits: bool
 
     def attach(self, df: DataFrame, how: str = "inner") -> DataFrame:
-        df = df if self.by != [GROUP] else df.withColumn(GROUP, F.lit(0))
-        return attach(df, self.table, self.by, self.fits, how, self.order.keys)
+        return attach(_grouped(df, self.by), self.table, self.by, self.fits, how, self.order.keys)
+
+    @property
+    def last(self) -> Column:
+        """True for the row at the cut."""
+        return F.col("_cut_before").isNotNull() & (self.order.key == self._key)
 
     @property
     def within(self) -> Column:
         """True for rows up to the cut."""
-        return F.col("_cut").isNull() | (self.order.key <= F.col("_cut"))
+        return F.col("_cut_before").isNull() | (self.order.key <= self._key)
+
+    @property
+    def _key(self) -> Column:
+        return F.struct(*[F.col(f"_cut{i}").alias(f"k{i}") for i in range(len(self.order.keys))])
 
     def drop(self, df: DataFrame) -> DataFrame:
         extra = [c for c in self.table.columns if c not in self.by]
         return df.drop(*extra, GROUP)
 
 
-def _narrow(df: DataFrame, by: list[str], order: Order, weight: Column) -> DataFrame:
-    if by == [GROUP]:
-        df = df.withColumn(GROUP, F.lit(0))
-    buckets = [b.alias(f"_b{i}") for i, b in enumerate(order.buckets)]
-    return df.select(*by, *buckets, order.key.alias("_k"), weight.cast("bigint").alias("_w"))
+def _grouped(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.withColumn(GROUP, F.lit(0)) if by == [GROUP] else df
+
+
+def _bucket_names(order: Order) -> list[str]:
+    return [f"_b{i}" for i in range(len(order.buckets))]
+
+
+def _bucket_sums(df: DataFrame, by: list[str], order: Order, weight: Column) -> DataFrame:
+    """The sum of each bucket and of all earlier buckets of its group.
+
+    A group has 4096 buckets in a random order and one per 65 536 rows in source order.
+    """
+    names = _bucket_names(order)
+    buckets = [b.alias(n) for n, b in zip(names, order.buckets)]
+    sums = (
+        _grouped(df, by).select(*by, *buckets, weight.cast("bigint").alias("_w"))
+        .groupBy(*by, *names).agg(F.sum("_w").alias("_w"))
+    )
+    return sums.withColumn("_lo", _before(by, *names))
 
 
 def _before(by: Sequence[str], *order: str) -> Column:
@@ -93,6 +120,24 @@ def _before(by: Sequence[str], *order: str) -> Column:
     return F.coalesce(F.sum("_w").over(w), F.lit(0))
 
 
+def _only_blocks(df: DataFrame, edges: DataFrame, order: Order) -> DataFrame:
+    """Leaves out what surely lies in no block of `edges`, with constants a scan can use.
+
+    A few blocks only: they become ranges of the stored position, so files and row groups
+    outside are skipped. With more blocks, or a random order, nothing is left out.
+    """
+    if order.position is None:
+        return df
+    rows = edges.select(_bucket_names(order)[-1]).limit(MAX_RANGES + 1).collect()
+    if len(rows) > MAX_RANGES:
+        return df
+    size = 1 << BLOCK_BITS
+    keep = F.lit(False)
+    for block in sorted({r[0] for r in rows}):
+        keep = keep | F.col(order.position).between(block * size, (block + 1) * size - 1)
+    return df.where(keep)
+
+
 def prefix_cut(
     df: DataFrame,
     by: Sequence[str],
@@ -101,44 +146,47 @@ def prefix_cut(
     limit: Column,
     per_group: DataFrame | None = None,
 ) -> Cut:
-    """Where the running sum of `weight` meets `limit` in each group.
+    """Where the running sum of `weight` meets `limit` in each group. Runs two jobs.
 
     `limit` may use `_total` (the sum of the group), the group columns and the columns of
-    `per_group`, a table with one row per group; groups without such a row are left out.
-    A null limit is no limit; limits must not be <= 0.
+    `per_group`, a small table with one row per group; groups without such a row are left
+    out. A null limit is no limit; limits must not be <= 0.
     """
     by = list(by) or [GROUP]
-    buckets = [f"_b{i}" for i in range(len(order.buckets))]
-    narrow = _narrow(df, by, order, weight)
-    sums = materialize(narrow.groupBy(*by, *buckets).agg(F.sum("_w").alias("_w")))
-
-    groups = sums.groupBy(*by).agg(F.sum("_w").alias("_total"))
-    if per_group is not None:
-        groups = groups.join(per_group, by)
-    groups = groups.withColumn("_limit", limit.cast("bigint"))
-    fits = fits_broadcast(groups)
-
-    # Walk down to the one bucket per group in which the limit is met.
-    edge = groups.where(F.col("_limit") <= F.col("_total")).select(
-        *by, "_limit", F.lit(0).cast("bigint").alias("_lo")
+    names = _bucket_names(order)
+    sums = _bucket_sums(df, by, order, weight).withColumn(
+        "_total", F.sum("_w").over(Window.partitionBy(*by))
     )
-    for depth in range(1, len(buckets) + 1):
-        level = sums.groupBy(*by, *buckets[:depth]).agg(F.sum("_w").alias("_w"))
-        edge = (
-            level.join(edge, [*by, *buckets[: depth - 1]])
-            .withColumn("_lo", F.col("_lo") + _before(by, buckets[depth - 1]))
-            .where((F.col("_lo") < F.col("_limit")) & (F.col("_limit") <= F.col("_lo") + F.col("_w")))
-            .select(*by, *buckets[:depth], "_limit", "_lo")
+    carried = ["_total"]
+    if per_group is not None:
+        sums = sums.join(per_group, by)
+        carried += [c for c in per_group.columns if c not in by]
+    sums = sums.withColumn("_limit", limit.cast("bigint"))
+    # At most one bucket per group: it takes the sum from below the limit to the limit.
+    crossing = (F.col("_lo") < F.col("_limit")) & (F.col("_limit") <= F.col("_lo") + F.col("_w"))
+    groups, fits = small_table(
+        sums.groupBy(*by).agg(
+            *[F.first(c).alias(c) for c in (*carried, "_limit")],
+            *[F.max(F.when(crossing, F.col(c))).alias(c) for c in (*names, "_lo")],
         )
+    )
 
-    rows = attach(narrow, edge, [*by, *buckets], fits)
+    edges = groups.where("_lo is not null").select(*by, *names, "_limit", "_lo")
+    # Keys and weights are made after this join, so only for the rows of those buckets.
+    near = _grouped(_only_blocks(df, edges, order), by)
+    near = near.withColumns(dict(zip(names, order.buckets)))
+    rows = attach(near, edges, [*by, *names], fits).select(
+        *by, *names, "_limit", "_lo", order.key.alias("_k"), weight.cast("bigint").alias("_w")
+    )
     cut = (
-        rows.withColumn("_lo", F.col("_lo") + _before([*by, *buckets], "_k"))
+        rows.withColumn("_lo", F.col("_lo") + _before([*by, *names], "_k"))
         .where(F.col("_lo") < F.col("_limit"))
         .groupBy(*by)
-        .agg(F.max("_k").alias("_cut"), F.max("_lo").alias("_cut_before"))
+        .agg(F.max("_k").alias("_k"), F.max("_lo").alias("_cut_before"))
+        .select(*by, "_cut_before", *[F.col(f"_k.k{i}").alias(f"_cut{i}") for i in range(len(order.keys))])
     )
-    return Cut(materialize(groups.join(cut, by, "left")), by, order, fits)
+    table, fits = small_table(groups.drop(*names, "_lo").join(cut, by, "left"))
+    return Cut(table, by, order, fits)
 
 
 def running_sum(
@@ -146,31 +194,16 @@ def running_sum(
 ) -> DataFrame:
     """Adds the sum of `weight` over the earlier rows of the group.
 
-    For operators which need the number of every row. Rows are shuffled once, by bucket.
+    For operators which need the number of every row. Rows are shuffled once, by bucket,
+    for the join with the sums of earlier buckets and the window alike.
     """
     by = list(by) or [GROUP]
-    buckets = [f"_b{i}" for i in range(len(order.buckets))]
-    narrow = _narrow(df, by, order, weight)
-    sums = materialize(narrow.groupBy(*by, *buckets).agg(F.sum("_w").alias("_w")))
-
-    offsets = None
-    for depth in range(1, len(buckets) + 1):
-        parent = [*by, *buckets[: depth - 1]]
-        level = (
-            sums.groupBy(*by, *buckets[:depth]).agg(F.sum("_w").alias("_w"))
-            .withColumn("_at", _before(parent, buckets[depth - 1]))
-        )
-        if offsets is not None:
-            level = level.join(offsets, parent).withColumn("_at", F.col("_at") + F.col("_lo"))
-        offsets = level.select(*by, *buckets[:depth], F.col("_at").alias("_lo"))
-
-    keyed = df if by != [GROUP] else df.withColumn(GROUP, F.lit(0))
-    keyed = keyed.withColumns({
-        **{b: c for b, c in zip(buckets, order.buckets)},
-        "_k": order.key,
-        "_w": weight.cast("bigint"),
+    names = _bucket_names(order)
+    offsets = _bucket_sums(df, by, order, weight).drop("_w")
+    keyed = _grouped(df, by).withColumns({
+        **dict(zip(names, order.buckets)), "_k": order.key, "_w": weight.cast("bigint"),
     })
-    out = keyed.join(offsets, [*by, *buckets]).withColumn(
-        name, F.col("_lo") + _before([*by, *buckets], "_k")
+    out = keyed.join(offsets, [*by, *names]).withColumn(
+        name, F.col("_lo") + _before([*by, *names], "_k")
     )
-    return out.drop(*buckets, "_k", "_w", "_lo", GROUP)
+    return out.drop(*names, "_k", "_w", "_lo", GROUP)

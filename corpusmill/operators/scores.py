@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize
-from .lookup import attach, fits_broadcast
+from .lookup import attach, small_table
 
 BINS = 4096
 HISTOGRAM_BINS = 1000
@@ -44,15 +43,14 @@ def score_percentile(df: DataFrame, score: str, t: float, by: str = "pair") -> D
 
     # First bins: fixed width over [-1, 2); scores outside share the bins at both ends.
     first = F.floor(F.greatest(F.least(F.col("_x"), F.lit(2.0)), F.lit(-1.0)) * BINS)
-    bins = materialize(scores.groupBy(by, first.alias("_bin")).agg(*stats))
+    bins = scores.groupBy(by, first.alias("_bin")).agg(*stats)
     rank = (F.sum("_n").over(Window.partitionBy(by)) - 1) * F.lit(q)
     ranked = bins.withColumn("_at", rank).withColumns({
         "_rank": F.floor("_at"),
         "_frac": F.col("_at") - F.floor("_at"),
         "_above": F.lit(None).cast("double"),
     })
-    fits = fits_broadcast(bins.select(by).distinct())
-    picked = materialize(_pick_bin(ranked, by)).drop("_n")
+    picked, fits = small_table(_pick_bin(ranked, by).drop("_n"))
 
     def inside(picked: DataFrame) -> DataFrame:
         joined = attach(scores, picked, [by], fits, spread=["_x"])
@@ -62,7 +60,7 @@ def score_percentile(df: DataFrame, score: str, t: float, by: str = "pair") -> D
     width = F.col("_hi") - F.col("_lo")
     fine = F.when(width > 0, F.floor((F.col("_x") - F.col("_lo")) / width * BINS)).otherwise(0)
     bins = inside(picked).withColumn("_bin", fine).groupBy(by, "_bin").agg(*stats, *carried)
-    picked = materialize(_pick_bin(bins, by)).drop("_n")
+    picked, fits = small_table(_pick_bin(bins, by).drop("_n"))
 
     values = (
         inside(picked).groupBy(by, "_x").agg(F.count("*").alias("_n"), *carried)
@@ -151,8 +149,8 @@ def flag_score(
     good = usable(F.col(score))
     if bounds is None:
         return df.withColumn(flag, good & (F.col(score) >= F.lit(threshold)))
-    bounds = materialize(bounds.withColumnRenamed("cutoff", "_cutoff"))
-    joined = attach(df, bounds, [by], fits_broadcast(bounds), "left", [score])
+    bounds, fits = small_table(bounds.withColumnRenamed("cutoff", "_cutoff"))
+    joined = attach(df, bounds, [by], fits, "left", [score])
     passed = F.coalesce(good & (F.col(score) >= F.col("_cutoff")), F.lit(False))
     return joined.withColumn(flag, passed).drop("_cutoff")
 

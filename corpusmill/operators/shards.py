@@ -9,8 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import materialize
-from .lookup import attach, fits_broadcast
+from .lookup import attach, small_table
 
 BLOCK_ROWS = 65_536
 
@@ -63,11 +62,11 @@ def assign_shards(
     ord_col: str = "row_id", block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with their `shard`, and the manifest of the shards."""
-    packed = materialize(pack_units(units(df, size, source, ord_col, block_rows), target_bytes, source))
+    packed, fits = small_table(pack_units(units(df, size, source, ord_col, block_rows), target_bytes, source))
     unit = F.expr(f"{ord_col} div {int(block_rows)}")
     rows = attach(
         df.withColumn("unit", unit), packed.select(source, "unit", "shard"),
-        [source, "unit"], fits_broadcast(packed),
+        [source, "unit"], fits,
     ).drop("unit")
     return rows, manifest(packed, source)
 

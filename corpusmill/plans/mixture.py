@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import count_tokens
-from ..operators.budget import mix_to_budget, token_char_ratio, token_estimate
-from ..operators.lookup import attach, fits_broadcast
-from ..operators.prefix import Order, hash_order, source_order
-from ..session import materialize
+from ..operators.budget import RATIO_CHARS, mix_to_budget, token_char_ratio, token_estimate
+from ..operators.lookup import attach, small_table
+from ..operators.prefix import BLOCK_BITS, Order, hash_order, source_order
+
+MAX_EXTENTS = 2_000
+HEAD_ROWS = 1 << BLOCK_BITS
+HEAD_MARGIN = 1.5
+
+# Per language: its splits in order, each with its number of rows and its first position.
+Extents = dict[str, list[tuple[str, int, int]]]
 
 
 def build_mixture(
@@ -24,22 +30,95 @@ def build_mixture(
     parsed mixture config. Each language is read in the order of its splits, or shuffled
     if a seed is given, and repeated until its target is met. Languages without any tokens
     are skipped.
+
+    A budget often needs the first part of a large language only. Where that can be told
+    from the number of rows, later files are neither counted nor read.
     """
-    config = materialize(config)
-    small = fits_broadcast(config)
-    if "split_pos" not in corpus.columns:
-        corpus = attach(corpus, config.select("lang", "split", "split_pos"), ["lang", "split"], small, spread=["ord"])
-    source = source_order("ord", "split_pos")
-    order: Order = source if shuffle_seed is None else hash_order(shuffle_seed, "split_pos", "ord")
+    config, small = small_table(config)
+    places = config.select("lang", "split", "split_pos")
+    rows = attach(corpus.drop("split_pos"), places, ["lang", "split"], small, spread=["ord"])
+    targets, _ = small_table(config.groupBy("lang").agg(F.max("target").alias("target")))
+    extents = _extents(rows)
 
-    ratio = materialize(token_char_ratio(corpus, "lang", source, tokens=tokens).where("ratio > 0"))
-    rated = attach(corpus, ratio.select("lang", "ratio"), ["lang"], small, spread=["ord"])
+    source = source_order("ord", "split_pos")
+    ratio, few = _ratios(rows, source, extents, tokens)
+    rated = attach(rows, ratio.select("lang", "ratio"), ["lang"], few, spread=["ord"])
     known: Column | None = F.col(precomputed) if precomputed else None
     weight = token_estimate("text", F.col("ratio"), known, tokens)
-    weighed = rated.withColumn("n_tokens", weight).drop("ratio")
 
-    targets = config.groupBy("lang").agg(F.max("target").alias("target"))
-    return mix_to_budget(weighed, targets, F.col("n_tokens"), "lang", order)
+    if shuffle_seed is None:
+        head, headed = _heads(extents, _rows_needed(ratio, targets, extents))
+        return mix_to_budget(rated, targets, weight, "lang", source, head=head, headed=headed).drop("ratio")
+    order = hash_order(shuffle_seed, "split_pos", "ord")
+    return mix_to_budget(rated, targets, weight, "lang", order).drop("ratio")
+
+
+def _extents(rows: DataFrame) -> Extents:
+    """Reads positions only, no text. Empty if there are too many splits to list."""
+    sizes = rows.groupBy("lang", "split", "split_pos").agg(F.count("*").alias("n"), F.min("ord").alias("start"))
+    listed = sizes.limit(MAX_EXTENTS + 1).collect()
+    if len(listed) > MAX_EXTENTS:
+        return {}
+    out: Extents = {}
+    for r in sorted(listed, key=lambda r: r.split_pos):
+        out.setdefault(r.lang, []).append((r.split, r.n, r.start))
+    return out
+
+
+def _heads(extents: Extents, rows: dict[str, int]) -> tuple[Column, list[str]]:
+    """A filter for the first rows of large languages, and which languages are large.
+
+    A language is large if it has more rows than asked for; all others pass the filter. It
+    is made of constants on stored columns, so a scan can skip folders and row groups.
+    """
+    large, parts = [], []
+    for lang, splits in extents.items():
+        left = rows.get(lang, 0)
+        if left >= sum(n for _, n, _ in splits):
+            continue
+        large.append(lang)
+        for split, n, start in splits:
+            if left <= 0:
+                break
+            end = "" if left >= n else f" AND ord < {start + left}"
+            parts.append(f"(lang = {_literal(lang)} AND split = {_literal(split)}{end})")
+            left -= n
+    if not large:
+        return F.lit(True), []
+    others = f"lang NOT IN ({', '.join(map(_literal, large))})"
+    return F.expr(" OR ".join([others, *parts])), large
+
+
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ratios(
+    rows: DataFrame, source: Order, extents: Extents, tokens
+) -> tuple[DataFrame, bool]:
+    """Ratios above 0. A sample that is full after the first rows needs no others."""
+    positive = F.col("ratio") > 0
+    if not extents:
+        return small_table(token_char_ratio(rows, "lang", source, tokens=tokens).where(positive))
+    head, large = _heads(extents, dict.fromkeys(extents, HEAD_ROWS))
+    start = token_char_ratio(rows.where(head), "lang", source, tokens=tokens)
+    quick, fits = small_table(start.where(positive))
+    full = {r.lang for r in quick.where(F.col("chars") >= RATIO_CHARS).collect()}  # of listed languages
+    short = [lang for lang in large if lang not in full]
+    if not short:
+        return quick, fits
+    rest = token_char_ratio(rows.where(F.col("lang").isin(short)), "lang", source, tokens=tokens)
+    return small_table(quick.where(~F.col("lang").isin(short)).unionByName(rest.where(positive)))
+
+
+def _rows_needed(ratio: DataFrame, targets: DataFrame, extents: Extents) -> dict[str, int]:
+    """How many rows of each listed language should meet its target, going by the sample."""
+    if not extents:
+        return {}
+    sampled = ratio.join(targets, "lang").where("tokens > 0").collect()
+    return {
+        r.lang: int(r.target * HEAD_MARGIN * r.n_rows / r.tokens) + HEAD_ROWS for r in sampled
+    }
 
 
 def mixture_totals(mixture: DataFrame) -> DataFrame:

@@ -451,7 +451,8 @@ GROUP BY lang
 
 @query(RATIO.format(n=100000))
 def token_char_ratio(spark, sf):
-    return budget.token_char_ratio(corpus(spark, sf), order=prefix.source_order("ord", "split"), sample_chars=100_000)
+    ratio = budget.token_char_ratio(corpus(spark, sf), order=prefix.source_order("ord", "split"), sample_chars=100_000)
+    return ratio.drop("n_rows")
 
 
 @query(f"""

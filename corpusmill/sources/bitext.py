@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
 from ..operators.layout import pair_of, path_stem
-from ..operators.lookup import attach, fits_broadcast
-from ..session import materialize
+from ..operators.lookup import attach, small_table
 from .lines import read_lines
 
 
@@ -45,12 +44,12 @@ def align_lines(src: DataFrame, tgt: DataFrame, scores: DataFrame) -> DataFrame:
     ]
     sizes.append(scored.groupBy("pair").agg(F.count("*").alias("n2"), F.count("score").alias("n_numbers")))
     same = (F.col("n0") == F.col("n1")) & (F.col("n1") == F.col("n2")) & (F.col("n2") == F.col("n_numbers"))
-    good = materialize(
+    good, fits = small_table(
         sizes[0].join(sizes[1], "pair").join(sizes[2], "pair").where(same).select("pair")
     )
     first = src.select("pair", "line", strip("value").alias("sentence1"))
     second = tgt.select("pair", "line", strip("value").alias("sentence2"))
-    first = attach(first, good, ["pair"], fits_broadcast(good), spread=["line"])
+    first = attach(first, good, ["pair"], fits, spread=["line"])
     return (
         first.join(second, ["pair", "line"]).join(scored, ["pair", "line"])
         .withColumnRenamed("line", "row_id")
@@ -92,8 +91,8 @@ def merge_scored_shards(
         .withColumn("_at", F.when(F.col("_found"), F.col("_at")).otherwise(F.raise_error(named).cast("bigint")))
         .select("pair", "index", "_at")
     )
-    offsets = materialize(offsets)
-    numbered = attach(shards, offsets, ["pair", "index"], fits_broadcast(offsets), spread=["row_id"])
+    offsets, fits = small_table(offsets)
+    numbered = attach(shards, offsets, ["pair", "index"], fits, spread=["row_id"])
     return numbered.select("pair", (F.col("_at") + F.col("row_id")).alias("row_id"), score)
 
 

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.layout import path_lang
-from ..operators.lookup import attach, fits_broadcast
-from ..session import materialize
+from ..operators.lookup import attach, small_table
 
 
 def read_lines(
@@ -37,10 +36,11 @@ def read_lines(
         )
         .withColumn(name, group)
     )
-    splits = materialize(
-        lines.groupBy(name, "_path", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    splits = lines.groupBy(name, "_path", "_start").agg(
+        F.count("*").alias("_n"), F.min("_id").alias("_first")
     )
     before = Window.partitionBy(name).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    numbered = attach(lines, offsets.drop("_n"), [name, "_path", "_start"], fits_broadcast(splits))
+    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    offsets, fits = small_table(offsets)
+    numbered = attach(lines, offsets, [name, "_path", "_start"], fits)
     return numbered.select(name, "value", (F.col("_offset") + F.col("_id") - F.col("_first")).alias("line"))
