@@ -44,9 +44,7 @@ def count_tokens(c: str | Column) -> Column:
 
     Any Column may take its place, e.g. a pandas UDF around the tokenizer of a model.
     """
-    trimmed = F.btrim(or_empty(c), F.lit(" \t\n\x0b\x0c\r"))
-    words = F.size(F.split(trimmed, "[ \\t-\\r]+"))
-    return F.when(trimmed == "", F.lit(0)).otherwise(words).cast("bigint")
+    return F.regexp_count(or_empty(c), F.lit("\\S+")).cast("bigint")
 
 
 def join_code(query: str | Column, document: str | Column) -> Column:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import count_tokens, is_nonempty
 from .lookup import attach, small_table
-from .prefix import GROUP, Order, hash_order, prefix_cut, source_order
+from .prefix import BLOCK_BITS, GROUP, Order, hash_order, prefix_cut, source_order
 
 RATIO_CHARS = 1_000_000
+HEAD_MARGIN = 1.5
 
 
 def take_token_budget(
@@ -34,13 +35,46 @@ def take_token_budget(
     nonempty = is_nonempty(text)
     out = df.where(nonempty)
     if max_tokens:
-        cut = prefix_cut(df.where(nonempty), by, order, tokens, F.lit(max_tokens))
-        out = cut.drop(cut.attach(out).where(cut.within))
+        head = None if by else _expected_head(out, order, tokens, max_tokens)
+        out = _up_to(out, by, order, tokens, max_tokens, head)
     if max_samples:
         out = _stop_after_samples(df, out, nonempty, by, order, max_samples)
     return out
 
 
+def _up_to(
+    df: DataFrame, by: Sequence[str], order: Order, tokens: Column, max_tokens: int, head: Column | None
+) -> DataFrame:
+    """Rows until the budget is met; `head`, a prefix without groups, is tried first."""
+    limit = F.lit(max_tokens)
+    if head is not None:
+        cut = prefix_cut(df.where(head), by, order, tokens, limit)
+        met = cut.table.first()
+        if met is not None and met["_cut_before"] is not None:
+            return cut.keep(df.where(head))
+    return prefix_cut(df, by, order, tokens, limit).keep(df)
+
+
+def _expected_head(df: DataFrame, order: Order, tokens: Column, max_tokens: int) -> Column | None:
+    """A prefix that should hold the budget, going by the tokens of the first block.
+
+    Only for a plain source order: then it is a range of the stored position, and the scan
+    can skip what lies behind it.
+    """
+    if order.position is None or len(order.keys) > 1:
+        return None
+    position = F.col(order.position)
+    start = df.agg(F.min(position)).first()[0]
+    if start is None:
+        return None
+    block = 1 << BLOCK_BITS
+    first = df.where(position < start + block).agg(F.count("*").alias("n"), F.sum(tokens).alias("t")).first()
+    if not first["t"]:
+        return None
+    rows = int(max_tokens * HEAD_MARGIN * first["n"] / first["t"]) + block
+    return position < start + rows
+
+
 def _stop_after_samples(
     df: DataFrame, out: DataFrame, nonempty: Column, by: Sequence[str], order: Order, n: int
 ) -> DataFrame:
@@ -77,7 +111,7 @@ def token_char_ratio(
     cut = prefix_cut(df, [by], order, chars, F.lit(sample_chars))
     room = (F.lit(sample_chars) - F.col("_cut_before")).cast("int")
     head = F.when(cut.last, F.col(text).substr(F.lit(1), room)).otherwise(F.col(text))
-    sample = cut.attach(df).where(cut.within).select(by, head.alias("_head"))
+    sample = cut.attach(cut.near(df)).where(cut.within).select(by, head.alias("_head"))
     return (
         sample.groupBy(by)
         .agg(

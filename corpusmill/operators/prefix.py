@@ -74,6 +74,25 @@ class Cut:
     def attach(self, df: DataFrame, how: str = "inner") -> DataFrame:
         return attach(_grouped(df, self.by), self.table, self.by, self.fits, how, self.order.keys)
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows of `df` up to the cut of their group; groups without a row here are dropped."""
+        if self.by == [GROUP]:
+            only = self.table.first()
+            if only is None or only["_cut_before"] is None:
+                return df
+            at = F.struct(*[F.lit(only[f"_cut{i}"]).alias(f"k{i}") for i in range(len(self.order.keys))])
+            return self.near(df).where(self.order.key <= at)
+        return self.drop(self.attach(self.near(df)).where(self.within))
+
+    def near(self, df: DataFrame) -> DataFrame:
+        """Leaves out rows after the last cut of all, with a constant that a scan can use."""
+        if self.order.position is None:
+            return df
+        rows = self.table.select("_cut0", "_cut_before").limit(MAX_RANGES + 1).collect()
+        if not rows or len(rows) > MAX_RANGES or any(r["_cut_before"] is None for r in rows):
+            return df
+        return df.where(self.order.keys[0] <= F.lit(max(r["_cut0"] for r in rows)))
+
     @property
     def last(self) -> Column:
         """True for the row at the cut."""

@@ -14,7 +14,7 @@ from .prefix import Order, hash_order, prefix_cut, running_sum, source_order
 def take(df: DataFrame, n: int, by: Sequence[str] = (), order: Order | None = None) -> DataFrame:
     """The first n rows of each group (all of a smaller one)."""
     cut = prefix_cut(df, by, order or source_order("ord"), F.lit(1), F.lit(n))
-    return cut.drop(cut.attach(df).where(cut.within))
+    return cut.keep(df)
 
 
 def bounded_sample(

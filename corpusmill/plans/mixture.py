@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import count_tokens
-from ..operators.budget import RATIO_CHARS, mix_to_budget, token_char_ratio, token_estimate
+from ..operators.budget import (
+    HEAD_MARGIN, RATIO_CHARS, mix_to_budget, token_char_ratio, token_estimate,
+)
 from ..operators.lookup import attach, small_table
 from ..operators.prefix import BLOCK_BITS, Order, hash_order, source_order
 
 MAX_EXTENTS = 2_000
 HEAD_ROWS = 1 << BLOCK_BITS
-HEAD_MARGIN = 1.5
 
 # Per language: its splits in order, each with its number of rows and its first position.
 Extents = dict[str, list[tuple[str, int, int]]]

@@ -238,3 +238,13 @@ def test_ratio_cuts_the_row_at_the_border(spark):
     got = {r.lang: r for r in budget.token_char_ratio(df, sample_chars=7).collect()}
     assert (got["a"].chars, got["a"].tokens) == (7, 3)
     assert math.isclose(got["a"].ratio, 3 / 7) and got["b"].ratio == 0
+
+
+def test_budget_in_source_order_tries_the_head_first(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(10_000 + i, rng.choice(["", "x"]), rng.randint(0, 4)) for i in range(400)]
+    df = frame(spark, rows, "ord long, text string, w long")
+    monkeypatch.setattr(budget, "BLOCK_BITS", 3)
+    for limit in (1, 30, 200, 10**5):
+        got = budget.take_token_budget(df, F.col("w"), limit, order=prefix.source_order("ord"))
+        assert sorted(r.ord for r in got.collect()) == loop_prefix(rows, limit, None)
