@@ -124,8 +124,13 @@ def sample_math(
 
 
 def assign_parts(
-    df: DataFrame, part_size: int, order: Order | None = None, by: Sequence[str] = ()
+    df: DataFrame, part_size: int, order: Order | None = None, by: Sequence[str] = (),
+    row: str | None = None,
 ) -> DataFrame:
-    """Numbers output parts of `part_size` rows from 1, in order; adds `part_id`."""
-    numbered = running_sum(df, by, order or source_order("ord"), F.lit(1), "_row")
-    return numbered.withColumn("part_id", F.expr(f"_row div {int(part_size)} + 1")).drop("_row")
+    """Numbers output parts of `part_size` rows from 1, in order; adds `part_id`.
+
+    The number of each row is kept in the column `row`, if that is given.
+    """
+    numbered = running_sum(df, by, order or source_order("ord"), F.lit(1), row or "_row")
+    parts = numbered.withColumn("part_id", F.expr(f"{row or '_row'} div {int(part_size)} + 1"))
+    return parts if row else parts.drop("_row")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import rand
 from ..functions.text import is_nonblank
-from ..operators.checks import count_steps
+from ..operators.checks import count_steps, validate_outputs
 from ..operators.formats import TASK_TEMPLATES, format_pt, format_sft
 from ..operators.joins import join_scores
 from ..operators.sampling import bounded_sample
@@ -169,3 +169,9 @@ def _swapped(rows: DataFrame, swaps: Sequence[Mapping[str, Any]]) -> DataFrame:
         "sentence1": F.when(F.col("swapped"), F.col("sentence2")).otherwise(F.col("sentence1")),
         "sentence2": F.when(F.col("swapped"), F.col("sentence1")).otherwise(F.col("sentence2")),
     })
+
+
+def skip_finished(bitext: DataFrame, outputs: DataFrame, stats: DataFrame) -> DataFrame:
+    """The pairs whose outputs are missing or disagree with the counts of their latest run."""
+    valid = validate_outputs(outputs, stats).where("valid").select("pair")
+    return bitext.join(valid, "pair", "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.filters import select_langs
 from ..operators.joins import missing_splits
 from ..operators.layout import infer_origin, infer_split, path_lang, path_stem
-from ..sources.corpus import file_inventory
+from ..sources.corpus import file_inventory, with_positions
 from ..sources.lines import read_lines
 from ..sources.normalize import (
     normalize_documents, normalize_extra, normalize_json_lines, normalize_passages,
@@ -38,17 +38,17 @@ def file_kind(path: Column) -> Column:
 
 
 def _read(spark: SparkSession, kind: str, glob: str) -> DataFrame:
-    """All files of one kind, normalised, with the `_path` and `ord` of each row."""
+    """All files of one kind, normalised, with the `_path` and `_row` of each row."""
+    keep = ("_path", "_row")
     if kind == "web":
         files = spark.read.option("mergeSchema", True).parquet(glob).withColumns({
-            "_path": F.col("_metadata.file_path"), "ord": F.col("_metadata.row_index")
+            "_path": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")
         })
-        return normalize_web(files.withColumn("_lang", path_lang(F.col("_path"))), "_lang", keep=("_path", "ord"))
+        return normalize_web(files.withColumn("_lang", path_lang(F.col("_path"))), "_lang", keep=keep)
     lines = read_lines(spark, glob, F.col("_path"), name="_file").withColumnRenamed("_file", "_path")
     lines = lines.where(file_kind(F.col("_path")) == kind).withColumns({
-        "lang": path_lang(F.col("_path")), "ord": F.col("line")
+        "lang": path_lang(F.col("_path")), "_row": F.col("line")
     })
-    keep = ("_path", "ord")
     if kind == "documents":
         return normalize_documents(parse_json_lines(lines, ["text"]), keep=keep)
     if kind == "passages":
@@ -75,10 +75,8 @@ def normalize_folder(
         raise FileNotFoundError(f"no source files of a known kind below {root}")
     rows = reduce(DataFrame.unionByName, parts)
     stem = path_stem(F.col("_path"))
-    rows = rows.withColumns({
-        "split": infer_split("lang", stem), "dataset_origin": infer_origin(stem), "stem": stem,
-    })
-    return select_langs(rows.where(F.col("split").isNotNull()).drop("_path"), languages)
+    rows = rows.withColumns({"split": infer_split("lang", stem), "dataset_origin": infer_origin(stem)})
+    return with_positions(select_langs(rows.where(F.col("split").isNotNull()), languages))
 
 
 def check_splits(

@@ -32,12 +32,19 @@ def _rebalanced(df: DataFrame, *by: str) -> DataFrame:
 
 def write_jsonl(
     df: DataFrame, path: str, by: str = "lang", columns: Sequence[str] = ("text",),
-    shard_bytes: int = GIB, mode: str = "overwrite",
+    shard_bytes: int = GIB, mode: str = "overwrite", order: Sequence[str] = (),
 ) -> None:
-    """JSON lines, one folder `<by>=<value>` per value; replaces the folders it writes."""
-    out = _rebalanced(df.select(by, *columns), by)
+    """JSON lines, one folder `<by>=<value>` per value; replaces the folders it writes.
+
+    With an `order` the files of a folder follow each other in it. Either way a large value
+    is spread over many files.
+    """
+    if order:
+        out = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    else:
+        out = _rebalanced(df, by)
     with _conf(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(shard_bytes)):
-        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        (out.select(by, *columns).write.mode(mode).option("partitionOverwriteMode", "dynamic")
             .option("ignoreNullFields", "false").partitionBy(by).json(path))
 
 
@@ -52,9 +59,10 @@ def write_parts(
     df: DataFrame, path: str, part_size: int = 500_000, order: Order | None = None,
     columns: Sequence[str] = ("text",),
 ) -> None:
-    """JSON lines in numbered parts of exactly `part_size` rows (the last may be smaller)."""
-    numbered = assign_parts(df, part_size, order).select("part_id", *columns)
-    numbered.repartition("part_id").write.mode("overwrite").partitionBy("part_id").json(path)
+    """JSON lines in numbered parts of exactly `part_size` rows (the last may be smaller), in order."""
+    numbered = assign_parts(df, part_size, order, row="_row").select("part_id", "_row", *columns)
+    ordered = numbered.repartition("part_id").sortWithinPartitions("part_id", "_row").drop("_row")
+    ordered.write.mode("overwrite").partitionBy("part_id").json(path)
 
 
 def write_corpus(df: DataFrame, root: str, shard_bytes: int = GIB, mode: str = "overwrite") -> None:

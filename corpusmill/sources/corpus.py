@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import is_nonblank
 from ..operators.layout import inventory
+from ..operators.lookup import attach, small_table
 from ..operators.prefix import source_order
 from ..operators.sampling import take
 from .lines import read_lines
+from .normalize import parse_json_lines
 
 MAX_CONFIG_ROWS = 10_000
 CONFIG_COLUMNS = ("subset", "token_count", "split")
@@ -65,10 +67,32 @@ def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
         raise ValueError(f"mixture config names more than {MAX_CONFIG_ROWS} splits")
     keep = F.struct("lang", "split").isin([F.struct(F.lit(r.lang), F.lit(r.split)) for r in wanted])
     langs, splits = sorted({r.lang for r in wanted}), sorted({r.split for r in wanted})
-    rows = spark.read.parquet(root).where(F.col("lang").isin(langs) & F.col("split").isin(splits) & keep)
+    rows = read_corpus(spark, root).where(F.col("lang").isin(langs) & F.col("split").isin(splits) & keep)
     return rows.join(F.broadcast(config.select("lang", "split", "split_pos")), ["lang", "split"])
 
 
+def with_positions(
+    df: DataFrame, by: Sequence[str] = ("lang", "split"), path: str = "_path", row: str = "_row"
+) -> DataFrame:
+    """Adds `ord`: the place of a row over all files of its group, files following by name."""
+    sizes = df.groupBy(*by, path).agg((F.max(row) + 1).alias("_n"))
+    before = Window.partitionBy(*by).orderBy(path).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_at", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    offsets, fits = small_table(offsets)
+    placed = attach(df, offsets, [*by, path], fits, spread=[row])
+    return placed.withColumn("ord", F.col("_at") + F.col(row)).drop("_at", path, row)
+
+
+def read_corpus(spark: SparkSession, root: str) -> DataFrame:
+    """A corpus by language and split, with an `ord` where it was stored without."""
+    df = spark.read.parquet(root)
+    if "ord" in df.columns:
+        return df
+    return with_positions(df.withColumns({
+        "_path": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")
+    }))
+
+
 def select_subset(corpus: DataFrame, lang: str, splits: Sequence[str]) -> DataFrame:
     """One language and its named splits, blank names skipped; no names give no rows."""
     names = [s.strip() for s in splits if s.strip()]
@@ -118,11 +142,10 @@ def odd_shard(name: str | Column) -> Column:
 
 
 def read_code_shards(spark: SparkSession, root: str) -> DataFrame:
-    """(query, document) of the odd-numbered shards; the others are not listed for reading."""
-    return (
-        spark.read.schema("query string, document string")
-        .option("pathGlobFilter", "shard-[0-9][0-9][0-9][0-9][13579].jsonl.gz").json(root)
-    )
+    """(_file, ord, query, document) of the odd-numbered shards; the others are not read."""
+    names = "shard-[0-9][0-9][0-9][0-9][13579].jsonl.gz"
+    lines = read_lines(spark, f"{root}/{names}", F.col("_path"), name="_file")
+    return parse_json_lines(lines.withColumnRenamed("line", "ord"), ["query", "document"])
 
 
 def file_inventory(spark: SparkSession, root: str, languages: Sequence[str] | None = None) -> DataFrame:
