@@ -42,7 +42,7 @@ def allow_pairs(df: DataFrame, langs: Sequence[str], pair: str = "pair") -> Data
     if not langs:
         return df
     sides = F.split(F.col(pair), "-")
-    both = long_code(sides[0]).isin(list(langs)) & long_code(sides[1]).isin(list(langs))
+    both = long_code(F.get(sides, 0)).isin(list(langs)) & long_code(F.get(sides, 1)).isin(list(langs))
     return df.where((F.size(sides) == 2) & both)
 
 

@@ -66,9 +66,16 @@ def missing_splits(config: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def pending_work(work: DataFrame, finished: DataFrame, keys: list[str]) -> DataFrame:
-    """The part of a work list whose outputs do not exist yet."""
-    return work.join(finished.select(*keys).distinct(), keys, "left_anti")
+def pending_work(
+    work: DataFrame, finished: DataFrame, keys: list[str], spread: list[str] | None = None
+) -> DataFrame:
+    """The part of `work` whose keys are not finished yet: a work list, or the rows themselves.
+
+    `spread` names columns that differ within a key, for more finished keys than a
+    broadcast may have.
+    """
+    done, fits = small_table(finished.select(*keys).distinct())
+    return attach(work, done, keys, fits, "left_anti", spread or [])
 
 
 def discover_splits(

@@ -13,7 +13,7 @@ from ..functions import rand
 from ..functions.text import is_nonblank
 from ..operators.checks import count_steps, validate_outputs
 from ..operators.formats import TASK_TEMPLATES, format_pt, format_sft
-from ..operators.joins import join_scores
+from ..operators.joins import join_scores, pending_work
 from ..operators.sampling import bounded_sample
 from ..operators.scores import flag_score
 from ..session import materialize
@@ -174,4 +174,4 @@ def _swapped(rows: DataFrame, swaps: Sequence[Mapping[str, Any]]) -> DataFrame:
 def skip_finished(bitext: DataFrame, outputs: DataFrame, stats: DataFrame) -> DataFrame:
     """The pairs whose outputs are missing or disagree with the counts of their latest run."""
     valid = validate_outputs(outputs, stats).where("valid").select("pair")
-    return bitext.join(valid, "pair", "left_anti")
+    return pending_work(bitext, valid, ["pair"], ["row_id"])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import discover_splits
+from ..operators.lookup import attach, small_table
 from ..operators.sampling import repeat_epochs
 
 # The languages, and their splits where none can be discovered.
@@ -53,6 +54,7 @@ def repeated_languages(
     """All splits of the languages, `times` over; `split_pos` is the place of a split."""
     fallback = FALLBACK_SPLITS if fallback is None else fallback
     languages = list(languages or fallback)
-    splits = discover_splits(corpus.select("lang", "split"), languages, fallback)
-    rows = corpus.where(F.col("lang").isin(languages)).join(splits, ["lang", "split"])
+    splits, fits = small_table(discover_splits(corpus.select("lang", "split"), languages, fallback))
+    rows = corpus.where(F.col("lang").isin(languages))
+    rows = attach(rows, splits, ["lang", "split"], fits, spread=["ord"])
     return repeat_epochs(rows, times, seed, ("lang", "split", "ord"))

@@ -97,5 +97,5 @@ def finished_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 def write_pending(df: DataFrame, path: str, by: str = "lang", columns: Sequence[str] = ("text",)) -> None:
     """As `write_jsonl`, for the values which have no output yet."""
-    todo = pending_work(df, finished_keys(df.sparkSession, path, by), [by])
+    todo = pending_work(df, finished_keys(df.sparkSession, path, by), [by], list(columns))
     write_jsonl(todo, path, by, columns)

@@ -58,20 +58,15 @@ def align_lines(src: DataFrame, tgt: DataFrame, scores: DataFrame) -> DataFrame:
 
 def read_moses(spark: SparkSession, root: str) -> DataFrame:
     """Bitext from extracted files `*.<src>-<tgt>.<src>`, `*.<src>-<tgt>.<tgt>` and `*.<src>-<tgt>.scores`."""
-    name = F.element_at(F.split(F.col("_path"), "/"), -1)
-    parts = F.split(name, "\\.")
-    pair, kind = F.element_at(parts, -2), F.element_at(parts, -1)
+    parts = F.split(F.element_at(F.split(F.col("_path"), "/"), -1), "\\.")
+    pair, kind = F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1))
     sides = F.split(pair, "-")
-    role = (
-        F.when(kind == "scores", F.lit("scores"))
-        .when(kind == sides[0], F.lit("src"))
-        .when(kind == sides[1], F.lit("tgt"))
+    # each file is read for its own part only
+    first, second, scores = (
+        read_lines(spark, root, pair, line_sep="\n", name="pair", only=only)
+        for only in (kind == F.get(sides, 0), kind == F.get(sides, 1), kind == "scores")
     )
-    lines = read_lines(spark, root, F.concat_ws("|", pair, role), line_sep="\n", name="_file")
-    key = F.split("_file", "\\|")
-    lines = lines.select(key[0].alias("pair"), key[1].alias("role"), "line", "value")
-    one = {r: lines.where(F.col("role") == r).drop("role") for r in ("src", "tgt", "scores")}
-    return align_lines(one["src"], one["tgt"], one["scores"])
+    return align_lines(first, second, scores)
 
 
 def merge_scored_shards(

@@ -56,21 +56,6 @@ def read_mixture_config(
     return parse_mixture_config(spark.read.option("header", True).csv(path), fraction, subsets)
 
 
-def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
-    """The rows of a corpus that a config names, with their `split_pos`.
-
-    The config is a small file, so its (lang, split) pairs become a filter on the partition
-    columns: other folders are not even listed.
-    """
-    wanted = config.select("lang", "split").distinct().limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(wanted) > MAX_CONFIG_ROWS:
-        raise ValueError(f"mixture config names more than {MAX_CONFIG_ROWS} splits")
-    keep = F.struct("lang", "split").isin([F.struct(F.lit(r.lang), F.lit(r.split)) for r in wanted])
-    langs, splits = sorted({r.lang for r in wanted}), sorted({r.split for r in wanted})
-    rows = read_corpus(spark, root).where(F.col("lang").isin(langs) & F.col("split").isin(splits) & keep)
-    return rows.join(F.broadcast(config.select("lang", "split", "split_pos")), ["lang", "split"])
-
-
 def with_positions(
     df: DataFrame, by: Sequence[str] = ("lang", "split"), path: str = "_path", row: str = "_row"
 ) -> DataFrame:
@@ -83,9 +68,11 @@ def with_positions(
     return placed.withColumn("ord", F.col("_at") + F.col(row)).drop("_at", path, row)
 
 
-def read_corpus(spark: SparkSession, root: str) -> DataFrame:
+def read_corpus(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
     """A corpus by language and split, with an `ord` where it was stored without."""
     df = spark.read.parquet(root)
+    if where is not None:
+        df = df.where(where)
     if "ord" in df.columns:
         return df
     return with_positions(df.withColumns({
@@ -93,6 +80,21 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     }))
 
 
+def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
+    """The rows of a corpus that a config names, with their `split_pos`.
+
+    The config is a small file, so its (lang, split) pairs become a filter on the partition
+    columns: other folders are not read.
+    """
+    wanted = config.select("lang", "split").distinct().limit(MAX_CONFIG_ROWS + 1).collect()
+    if len(wanted) > MAX_CONFIG_ROWS:
+        raise ValueError(f"mixture config names more than {MAX_CONFIG_ROWS} splits")
+    langs, splits = sorted({r.lang for r in wanted}), sorted({r.split for r in wanted})
+    named = F.struct("lang", "split").isin([F.struct(F.lit(r.lang), F.lit(r.split)) for r in wanted])
+    rows = read_corpus(spark, root, F.col("lang").isin(langs) & F.col("split").isin(splits) & named)
+    return rows.join(F.broadcast(config.select("lang", "split", "split_pos")), ["lang", "split"])
+
+
 def select_subset(corpus: DataFrame, lang: str, splits: Sequence[str]) -> DataFrame:
     """One language and its named splits, blank names skipped; no names give no rows."""
     names = [s.strip() for s in splits if s.strip()]

@@ -12,11 +12,12 @@ from ..operators.lookup import attach, small_table
 
 def read_lines(
     spark: SparkSession, paths: str | Sequence[str], group: Column | None = None,
-    line_sep: str | None = None, name: str = "lang",
+    line_sep: str | None = None, name: str = "lang", only: Column | None = None,
 ) -> DataFrame:
     """(group, value, line): the lines of text files (also .gz), numbered from 0 per group.
 
     The group defaults to the folder of a file. Files of a group follow each other by name.
+    `group` and `only`, a filter for files, are expressions over the column `_path`.
 
     Spark hands out a file in splits and knows where each begins, so the number of a line
     is the lines of earlier splits plus its place in its own split. The counts per split
@@ -25,17 +26,15 @@ def read_lines(
     reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
     paths = [paths] if isinstance(paths, str) else list(paths)
     group = group if group is not None else path_lang(F.col("_path"))
-    lines = (
-        reader.text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("_path"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            # grows by one from line to line within a task, so also within a split
-            F.monotonically_increasing_id().alias("_id"),
-        )
-        .withColumn(name, group)
+    files = reader.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
     )
+    if only is not None:
+        files = files.where(only)
+    # the id grows by one from line to line within a task, so also within a split
+    lines = files.withColumn("_id", F.monotonically_increasing_id()).withColumn(name, group)
     splits = lines.groupBy(name, "_path", "_start").agg(
         F.count("*").alias("_n"), F.min("_id").alias("_first")
     )
