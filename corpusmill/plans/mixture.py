@@ -75,7 +75,8 @@ def _heads(extents: Extents, rows: dict[str, int]) -> tuple[Column, list[str]]:
     large, parts = [], []
     for lang, splits in extents.items():
         left = rows.get(lang, 0)
-        if left >= sum(n for _, n, _ in splits):
+        repeated = len({split for split, _, _ in splits}) < len(splits)  # no prefix by name then
+        if repeated or left >= sum(n for _, n, _ in splits):
             continue
         large.append(lang)
         for split, n, start in splits:

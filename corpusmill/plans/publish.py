@@ -25,6 +25,7 @@ KINDS = [
     ("json_lines", ".jsonl", "ml400"),
     ("extra", ".jsonl", "extra"),
 ]
+KIND_BITS = 48
 
 
 def file_kind(path: Column) -> Column:
@@ -38,17 +39,20 @@ def file_kind(path: Column) -> Column:
 
 
 def _read(spark: SparkSession, kind: str, glob: str) -> DataFrame:
-    """All files of one kind, normalised, with the `_path` and `_row` of each row."""
-    keep = ("_path", "_row")
+    """All files of one kind, normalised, with `split`, `ord` and the `_path` of each row."""
+    path = F.col("_path")
+    lang, split = path_lang(path), infer_split(path_lang(path), path_stem(path))
+    keep = ("_path", "split", "ord")
     if kind == "web":
         files = spark.read.option("mergeSchema", True).parquet(glob).withColumns({
             "_path": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")
         })
-        return normalize_web(files.withColumn("_lang", path_lang(F.col("_path"))), "_lang", keep=keep)
-    lines = read_lines(spark, glob, F.col("_path"), name="_file").withColumnRenamed("_file", "_path")
-    lines = lines.where(file_kind(F.col("_path")) == kind).withColumns({
-        "lang": path_lang(F.col("_path")), "_row": F.col("line")
-    })
+        placed = with_positions(files.withColumns({"_lang": lang, "split": split}), ("_lang", "split"))
+        return normalize_web(placed, "_lang", keep=keep)
+    lines = read_lines(
+        spark, glob, path, name="_file", only=file_kind(path) == kind, over=F.concat_ws("/", lang, split)
+    )
+    lines = lines.withColumnRenamed("_file", "_path").withColumns({"lang": lang, "split": split})
     if kind == "documents":
         return normalize_documents(parse_json_lines(lines, ["text"]), keep=keep)
     if kind == "passages":
@@ -68,15 +72,15 @@ def normalize_folder(
     listed = spark.read.format("binaryFile").load(f"{root}/*/*")
     kinds = {r[0] for r in listed.select(file_kind(F.col("path"))).distinct().limit(len(KINDS) + 1).collect()}
     parts = [
-        _read(spark, kind, f"{root}/*/*{part}*{extension}")
-        for kind, extension, part in KINDS if kind in kinds
+        # files of two kinds may belong to one split: the second kind follows the first
+        _read(spark, kind, f"{root}/*/*{part}*{extension}").withColumn("ord", F.col("ord") + (i << KIND_BITS))
+        for i, (kind, extension, part) in enumerate(KINDS) if kind in kinds
     ]
     if not parts:
         raise FileNotFoundError(f"no source files of a known kind below {root}")
-    rows = reduce(DataFrame.unionByName, parts)
-    stem = path_stem(F.col("_path"))
-    rows = rows.withColumns({"split": infer_split("lang", stem), "dataset_origin": infer_origin(stem)})
-    return with_positions(select_langs(rows.where(F.col("split").isNotNull()), languages))
+    rows = reduce(DataFrame.unionByName, parts).where(F.col("split").isNotNull())
+    rows = rows.withColumn("dataset_origin", infer_origin(path_stem(F.col("_path")))).drop("_path")
+    return select_langs(rows, languages)
 
 
 def check_splits(

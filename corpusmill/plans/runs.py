@@ -105,7 +105,7 @@ def bitext_run(
     templates = config.get("task-templates", TASK_TEMPLATES)
     rows, stats = run_bitext(texts, found, steps, task, templates, seed, names)
     columns = ["text"] if task == "pt" else ["conversations", "system"]
-    writers.write_jsonl(rows, output, "pair", columns)
+    writers.write_jsonl(rows, output, "pair", columns, max_rows=2_000_000)
     final = stats.where("step = 'final'").select(
         "pair", F.lit(time.time_ns()).alias("run"), F.col("n_rows").alias("final_samples")
     )

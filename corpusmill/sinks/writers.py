@@ -32,12 +32,12 @@ def _rebalanced(df: DataFrame, *by: str) -> DataFrame:
 
 def write_jsonl(
     df: DataFrame, path: str, by: str = "lang", columns: Sequence[str] = ("text",),
-    shard_bytes: int = GIB, mode: str = "overwrite", order: Sequence[str] = (),
+    shard_bytes: int = GIB, mode: str = "overwrite", order: Sequence[str] = (), max_rows: int = 0,
 ) -> None:
     """JSON lines, one folder `<by>=<value>` per value; replaces the folders it writes.
 
     With an `order` the files of a folder follow each other in it. Either way a large value
-    is spread over many files.
+    is spread over many files, of at most `max_rows` rows if that is not 0.
     """
     if order:
         out = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
@@ -45,7 +45,8 @@ def write_jsonl(
         out = _rebalanced(df, by)
     with _conf(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(shard_bytes)):
         (out.select(by, *columns).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-            .option("ignoreNullFields", "false").partitionBy(by).json(path))
+            .option("ignoreNullFields", "false").option("maxRecordsPerFile", max_rows)
+            .partitionBy(by).json(path))
 
 
 def write_capped(df: DataFrame, path: str, rows: int = 2_000_000, by: Sequence[str] = ()) -> None:

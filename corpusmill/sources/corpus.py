@@ -65,7 +65,7 @@ def with_positions(
     offsets = sizes.withColumn("_at", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     offsets, fits = small_table(offsets)
     placed = attach(df, offsets, [*by, path], fits, spread=[row])
-    return placed.withColumn("ord", F.col("_at") + F.col(row)).drop("_at", path, row)
+    return placed.withColumn("ord", F.col("_at") + F.col(row)).drop("_at", row)
 
 
 def read_corpus(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
@@ -77,7 +77,7 @@ def read_corpus(spark: SparkSession, root: str, where: Column | None = None) ->
         return df
     return with_positions(df.withColumns({
         "_path": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")
-    }))
+    })).drop("_path")
 
 
 def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:

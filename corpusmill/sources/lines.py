@@ -13,11 +13,13 @@ from ..operators.lookup import attach, small_table
 def read_lines(
     spark: SparkSession, paths: str | Sequence[str], group: Column | None = None,
     line_sep: str | None = None, name: str = "lang", only: Column | None = None,
+    over: Column | None = None,
 ) -> DataFrame:
     """(group, value, line): the lines of text files (also .gz), numbered from 0 per group.
 
     The group defaults to the folder of a file. Files of a group follow each other by name.
-    `group` and `only`, a filter for files, are expressions over the column `_path`.
+    `group` and `only`, a filter for files, are expressions over the column `_path`. So is
+    `over`, a larger group: with it there is a second number, `ord`, that runs over it.
 
     Spark hands out a file in splits and knows where each begins, so the number of a line
     is the lines of earlier splits plus its place in its own split. The counts per split
@@ -38,8 +40,17 @@ def read_lines(
     splits = lines.groupBy(name, "_path", "_start").agg(
         F.count("*").alias("_n"), F.min("_id").alias("_first")
     )
-    before = Window.partitionBy(name).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    offsets, fits = small_table(offsets)
+    offsets = splits.withColumn("_line", _lines_before(F.col(name)))
+    numbers = {"line": "_line"}
+    if over is not None:
+        offsets = offsets.withColumn("_ord", _lines_before(over))
+        numbers["ord"] = "_ord"
+    offsets, fits = small_table(offsets.drop("_n"))
     numbered = attach(lines, offsets, [name, "_path", "_start"], fits)
-    return numbered.select(name, "value", (F.col("_offset") + F.col("_id") - F.col("_first")).alias("line"))
+    place = F.col("_id") - F.col("_first")
+    return numbered.select(name, "value", *[(F.col(c) + place).alias(n) for n, c in numbers.items()])
+
+
+def _lines_before(group: Column) -> Column:
+    w = Window.partitionBy(group).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_n").over(w), F.lit(0))

@@ -98,6 +98,17 @@ def test_mixture_is_the_same_with_and_without_early_stop(spark, monkeypatch):
         assert target <= total < target + 10
 
 
+def test_a_split_may_be_named_twice(spark, monkeypatch):
+    from corpusmill.plans import mixture
+
+    monkeypatch.setattr(mixture, "HEAD_ROWS", 1)
+    rows = [("l", s, i, "w w") for s in "ab" for i in range(4)]
+    config = spark.createDataFrame(
+        [("l", "a", 0, 21), ("l", "b", 1, 21), ("l", "a", 2, 21)], "lang string, split string, split_pos int, target long")
+    got = build_mixture(corpus_of(spark, rows, 2), config).orderBy("epoch", "split_pos", "ord").collect()
+    assert [(r.split, r.split_pos) for r in got] == [("a", 0)] * 4 + [("b", 1)] * 4 + [("a", 2)] * 3
+
+
 def test_shuffled_mixture_meets_its_budget(spark):
     rows = [("a", "s", i, "one two three") for i in range(300)]
     config = spark.createDataFrame([("a", "s", 0, 100)], "lang string, split string, split_pos int, target long")

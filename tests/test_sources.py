@@ -172,6 +172,7 @@ def test_raw_folder_to_corpus_and_back(spark, tmp_path):
         ("af", "extraData", "extra", "x", "extra_af_0"),
     }
     assert publish.normalize_folder(spark, raw_folder(tmp_path), ["eng_Latn"]).count() == 1
+    assert rows.select("lang", "split", "ord").distinct().count() == 6
     root = str(tmp_path / "corpus")
     writers.write_corpus(rows, root)
     config = spark.createDataFrame([("af", "wura", 0, 5), ("af", "fineweb2", 1, 5), ("zz", "wura", 0, 1)], "lang string, split string, split_pos int, target long")
@@ -181,6 +182,21 @@ def test_raw_folder_to_corpus_and_back(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "lang" in plan.split("PartitionFilters: [")[1]
 
 
+def test_positions_run_over_the_files_of_a_split(spark, tmp_path):
+    put(tmp_path / "af" / "b_ml400.jsonl", '{"text": "3"}\nbad\n{"text": "4"}\n')
+    put(tmp_path / "af" / "a_ml400.jsonl", '{"text": "1"}\n{"text": "2"}\n')
+    put_parquet(tmp_path / "af" / "b_fw2.parquet", text=["y", "z"])
+    put_parquet(tmp_path / "af" / "a_fw2.parquet", text=["x"])
+    put(tmp_path / "af" / "a_wura.jsonl", '{"text": "d"}\n')
+    put(tmp_path / "af" / "a_wura.txt", "p\n")
+    rows = publish.normalize_folder(spark, str(tmp_path)).orderBy("split", "ord").collect()
+    assert [(r.split, r.text) for r in rows] == [
+        ("fineweb2", "x"), ("fineweb2", "y"), ("fineweb2", "z"), ("madlad400", "1"), ("madlad400", "2"),
+        ("madlad400", "3"), ("madlad400", "4"), ("wura", "d"), ("wura", "p")]
+    assert {r.meta.id for r in rows if r.text in "34"} == {"madlad400_af_0", "madlad400_af_2"}
+    assert len({(r.split, r.ord) for r in rows}) == len(rows)
+
+
 def test_files_and_missing_splits(spark, tmp_path):
     for lang, stem in (("af", "a_fw2"), ("af", "b_fw2"), ("af", "a_wura"), ("sw", "a_ml400"), ("sw", "odd")):
         put_parquet(tmp_path / lang / f"{stem}.parquet", text=["x"])
