@@ -8,20 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "corpusmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators expect; the cluster's own settings win."""
+    """A session with the settings the operators expect; whatever is set already wins.
+
+    Shuffles get four partitions per core of the cluster: enough for partitions to fit in
+    memory at any size it can hold, and adaptive execution merges those that turn out small.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
     defaults = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(4 * spark.sparkContext.defaultParallelism, 8)),
     }
-    for key, value in {**defaults, **conf}.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+    for key, value in defaults.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
