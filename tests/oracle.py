@@ -23,6 +23,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
+
+
 def _plain(value):
     if isinstance(value, bool) or value is None or isinstance(value, str):
         return value
@@ -45,6 +50,11 @@ def rows_of_duckdb(con, sql: str) -> tuple[list[str], Counter]:
 
 def difference(df, con, sql: str) -> str | None:
     """None if both agree, else what differs."""
+    rel = con.sql(sql)
+    ours_types = {c: SPARK_TYPES.get(t, t) for c, t in df.dtypes}
+    theirs_types = dict(zip(rel.columns, map(str, rel.types)))
+    if ours_types != theirs_types:
+        return f"types {ours_types} != {theirs_types}"
     names, ours = rows_of_spark(df)
     theirs_names, theirs = rows_of_duckdb(con, sql)
     if names != theirs_names:

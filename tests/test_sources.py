@@ -315,3 +315,15 @@ def test_answers_of_a_model_keep_their_rows(spark):
     df = spark.createDataFrame([(i, f"p{i}" if i % 3 else None, f"t{i}") for i in range(50)], "i int, prompt string, text string").repartition(3)
     rows = inference.generate(df, lambda: lambda prompts: [p.upper() for p in prompts], batch_rows=7).collect()
     assert all(r.translation == (f"P{r.i}" if r.i % 3 else f"t{r.i}") for r in rows) and len(rows) == 50
+
+
+def test_a_large_language_goes_to_many_files(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(8)
+    writers.write_jsonl(docs, str(tmp_path / "o"), shard_bytes=200_000)
+    files = {k: len(v) for k, v in jsonl_below(tmp_path / "o").items()}
+    assert files["lang=en"] > 2 and files["lang=es"] <= 2
+    writers.write_jsonl(docs, str(tmp_path / "p"), order=["doc_id"], columns=["doc_id"], max_rows=100)
+    ids = [[r["doc_id"] for r in f] for f in jsonl_below(tmp_path / "p")["lang=en"]]
+    assert all(f == sorted(f) and len(f) <= 100 for f in ids) and len(ids) >= 7
+    spans = sorted((f[0], f[-1]) for f in ids)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
