@@ -7,6 +7,7 @@ import importlib
 import json
 from collections.abc import Callable
 
+from .functions.langs import read_language_names
 from .plans import publish, runs
 from .session import build_session
 from .sources.corpus import read_mixture_config
@@ -56,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
     command("merge", "shards", "manifest", "output")
     p = command("bitext", "bitext", "scores", "output")
     p.add_argument("--config", help="JSON or YAML: steps, task, templates, languages")
+    p.add_argument("--names", help="CSV with the columns code and name, for further languages")
+    p.add_argument("--compat_labels", action="store_true", help="labels of swapped rows follow the pair, not the text")
     p = command("recipe", "input", "output")
     p.add_argument("kind", choices=["math", "code"])
     p.add_argument("--max_tokens", type=int)
@@ -73,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--targets", nargs="+", required=True)
     p.add_argument("--source_language", default="eng_Latn")
     p.add_argument("--text_column", default="text")
+    p.add_argument("--names", help="CSV with the columns code and name, for further languages")
     p.add_argument("--max_samples", type=int)
     return parser
 
@@ -80,6 +84,10 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
     spark = build_session()
+
+    def names(path: str | None) -> dict[str, str] | None:
+        return read_language_names(spark, path) if path else None
+
     if a.command == "mixture":
         print(runs.mixture_run(spark, a.config, a.corpus, a.output, a.fraction, a.subsets, a.precomputed, a.shuffle_seed))
     elif a.command == "normalize":
@@ -98,7 +106,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "merge":
         runs.merge_run(spark, a.shards, a.manifest, a.output)
     elif a.command == "bitext":
-        runs.bitext_run(spark, a.bitext, a.scores, a.output, _config(a.config)).show(truncate=False)
+        stats = runs.bitext_run(
+            spark, a.bitext, a.scores, a.output, _config(a.config), names(a.names), compat_labels=a.compat_labels
+        )
+        stats.orderBy("pair", "step_no").show(1000, truncate=False)
     elif a.command == "recipe":
         runs.recipe_run(spark, a.kind, a.input, a.output, a.max_tokens, a.max_samples, a.part_size, a.seed)
     elif a.command == "extended":
@@ -108,7 +119,8 @@ def main(argv: list[str] | None = None) -> None:
         runs.sources_run(spark, a.kind, a.input, a.output, a.samples)
     elif a.command == "translate":
         runs.translate_run(
-            spark, a.input, a.output, a.targets, _load(a.model), a.source_language, a.max_samples, a.text_column
+            spark, a.input, a.output, a.targets, _load(a.model), a.source_language, a.max_samples,
+            a.text_column, names(a.names),
         )
 
 

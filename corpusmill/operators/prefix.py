@@ -78,6 +78,8 @@ class Cut:
         """The rows of `df` up to the cut of their group; groups without a row here are dropped."""
         if self.by == [GROUP]:
             only = self.table.first()
+            if only is not None and only["_limit"] is not None and only["_limit"] <= 0:
+                return df.where(F.lit(False))
             if only is None or only["_cut_before"] is None:
                 return df
             at = F.struct(*[F.lit(only[f"_cut{i}"]).alias(f"k{i}") for i in range(len(self.order.keys))])
@@ -101,7 +103,8 @@ class Cut:
     @property
     def within(self) -> Column:
         """True for rows up to the cut."""
-        return F.col("_cut_before").isNull() | (self.order.key <= self._key)
+        some = F.coalesce(F.col("_limit") > 0, F.lit(True))
+        return some & (F.col("_cut_before").isNull() | (self.order.key <= self._key))
 
     @property
     def _key(self) -> Column:
@@ -169,7 +172,7 @@ def prefix_cut(
 
     `limit` may use `_total` (the sum of the group), the group columns and the columns of
     `per_group`, a small table with one row per group; groups without such a row are left
-    out. A null limit is no limit; limits must not be <= 0.
+    out. A null limit is no limit; with one of 0 or less nothing is within the cut.
     """
     by = list(by) or [GROUP]
     names = _bucket_names(order)

@@ -82,7 +82,7 @@ def _read_pairs(spark: SparkSession, root: str, read: Callable[[SparkSession, st
 
 def bitext_run(
     spark: SparkSession, bitext: str, scores: str, output: str, config: Mapping[str, Any] | None = None,
-    names: Mapping[str, str] | None = None, seed: int = 42,
+    names: Mapping[str, str] | None = None, seed: int = 42, compat_labels: bool = False,
 ) -> DataFrame:
     """Filters, samples and formats bitext; gives the step counts it has added to `<output>_stats`.
 
@@ -103,7 +103,7 @@ def bitext_run(
         texts = skip_finished(texts, *before)
     steps = config.get("pipeline", {}).get("single", DEFAULT_STEPS)
     templates = config.get("task-templates", TASK_TEMPLATES)
-    rows, stats = run_bitext(texts, found, steps, task, templates, seed, names)
+    rows, stats = run_bitext(texts, found, steps, task, templates, seed, names, compat_labels)
     columns = ["text"] if task == "pt" else ["conversations", "system"]
     writers.write_jsonl(rows, output, "pair", columns, max_rows=2_000_000)
     final = stats.where("step = 'final'").select(
@@ -149,6 +149,7 @@ def sources_run(spark: SparkSession, kind: str, source: str, output: str, sample
 def translate_run(
     spark: SparkSession, source: str, output: str, targets: Sequence[str], load: Callable[[], Generator],
     source_language: str = "eng_Latn", max_samples: int | None = None, text_column: str = "text",
+    names: Mapping[str, str] | None = None,
 ) -> None:
     """Rows of a file in other languages, by target; finished targets are left alone."""
     rows = corpus_source.read_rows(spark, source, text_column=text_column, max_samples=max_samples)
@@ -157,5 +158,5 @@ def translate_run(
     if not todo:
         return
     stem = os.path.splitext(os.path.basename(source))[0]
-    out = synthetic.translate(rows, todo, load, stem, source_language, text=text_column)
+    out = synthetic.translate(rows, todo, load, stem, source_language, names, text_column)
     writers.write_jsonl(out, output, "target_language", ["text", "source_language", "source", "domain"])

@@ -180,6 +180,13 @@ def test_bounded_sample_sizes(spark, n, expected, copies):
     assert set(Counter(r.row_id for r in got).values()) == {copies}
 
 
+def test_samples_of_nothing_are_empty(spark):
+    df = frame(spark, [("p", i) for i in range(9)], "pair string, ord long")
+    assert sampling.take(df, 0).count() == sampling.take(df, 0, ["pair"]).count() == 0
+    assert sampling.bounded_sample(df, max_n=0, key=["ord"]).count() == 0
+    assert sampling.take(df.where("ord < 0"), 3).count() == 0
+
+
 def test_unknown_sampling_is_an_error_at_any_size(spark):
     df = frame(spark, [("p", 1)], "pair string, row_id long")
     with pytest.raises(ValueError):

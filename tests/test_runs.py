@@ -58,6 +58,9 @@ def test_bitext_from_lines_to_records(run, tmp_path, capsys):
     run(*args)  # everything is there already
     assert "en-sw" not in capsys.readouterr().out
     assert len([r for f in jsonl_below(tmp_path / "out")["pair=en-sw"] for r in f]) == 10
+    names = put(tmp_path / "names.csv", "code,name\nswa_Latn,Kiswahili\n")
+    run(*args[:-4], "--output", tmp_path / "named", "--config", config, "--names", names)
+    assert jsonl_below(tmp_path / "named")["pair=en-sw"][0][0]["system"].endswith("to Kiswahili.")
     run("split", "--input", tmp_path / "files", "--output", tmp_path / "shards", "--target_gb", 1)
     assert bitext and jsonl_below(tmp_path / "shards" / "manifest")
 

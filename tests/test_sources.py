@@ -318,7 +318,9 @@ def test_answers_of_a_model_keep_their_rows(spark):
 
 
 def test_a_large_language_goes_to_many_files(spark, tmp_path):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(8)
+    one = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one.repartition(8).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))  # many tasks write, as at scale
     writers.write_jsonl(docs, str(tmp_path / "o"), shard_bytes=200_000)
     files = {k: len(v) for k, v in jsonl_below(tmp_path / "o").items()}
     assert files["lang=en"] > 2 and files["lang=es"] <= 2
