@@ -9,13 +9,13 @@ from ..operators.budget import (
     HEAD_MARGIN, RATIO_CHARS, mix_to_budget, token_char_ratio, token_estimate,
 )
 from ..operators.lookup import attach, small_table
-from ..operators.prefix import BLOCK_BITS, Order, hash_order, source_order
+from ..operators.prefix import Order, hash_order, source_order
 
 MAX_EXTENTS = 2_000
-HEAD_ROWS = 1 << BLOCK_BITS
+HEAD_ROWS = 1 << 14
 
-# Per language: its splits in order, each with its number of rows and its first position.
-Extents = dict[str, list[tuple[str, int, int]]]
+# Per language: its splits in order, each with its number of rows, first and last position.
+Extents = dict[str, list[tuple[str, int, int, int]]]
 
 
 def build_mixture(
@@ -56,13 +56,15 @@ def build_mixture(
 
 def _extents(rows: DataFrame) -> Extents:
     """Reads positions only, no text. Empty if there are too many splits to list."""
-    sizes = rows.groupBy("lang", "split", "split_pos").agg(F.count("*").alias("n"), F.min("ord").alias("start"))
+    sizes = rows.groupBy("lang", "split", "split_pos").agg(
+        F.count("*").alias("n"), F.min("ord").alias("first"), F.max("ord").alias("last")
+    )
     listed = sizes.limit(MAX_EXTENTS + 1).collect()
     if len(listed) > MAX_EXTENTS:
         return {}
     out: Extents = {}
     for r in sorted(listed, key=lambda r: r.split_pos):
-        out.setdefault(r.lang, []).append((r.split, r.n, r.start))
+        out.setdefault(r.lang, []).append((r.split, r.n, r.first, r.last))
     return out
 
 
@@ -70,25 +72,28 @@ def _heads(extents: Extents, rows: dict[str, int]) -> tuple[Column, list[str]]:
     """A filter for the first rows of large languages, and which languages are large.
 
     A language is large if it has more rows than asked for; all others pass the filter. It
-    is made of constants on stored columns, so a scan can skip folders and row groups.
+    is made of constants on stored columns: the names let a scan skip folders, the last
+    position of all that pass lets it skip row groups.
     """
-    large, parts = [], []
+    large, parts, ends = [], [], []
     for lang, splits in extents.items():
         left = rows.get(lang, 0)
-        repeated = len({split for split, _, _ in splits}) < len(splits)  # no prefix by name then
-        if repeated or left >= sum(n for _, n, _ in splits):
+        repeated = len({s[0] for s in splits}) < len(splits)  # no prefix by name then
+        if repeated or left >= sum(n for _, n, _, _ in splits):
+            ends += [last for _, _, _, last in splits]
             continue
         large.append(lang)
-        for split, n, start in splits:
+        for split, n, first, last in splits:
             if left <= 0:
                 break
-            end = "" if left >= n else f" AND ord < {start + left}"
-            parts.append(f"(lang = {_literal(lang)} AND split = {_literal(split)}{end})")
+            end = last if left >= n else first + left - 1
+            parts.append(f"(lang = {_literal(lang)} AND split = {_literal(split)} AND ord <= {end})")
+            ends.append(end)
             left -= n
     if not large:
         return F.lit(True), []
     others = f"lang NOT IN ({', '.join(map(_literal, large))})"
-    return F.expr(" OR ".join([others, *parts])), large
+    return F.expr(f"({' OR '.join([others, *parts])}) AND ord <= {max(ends, default=-1)}"), large
 
 
 def _literal(value: str) -> str:

@@ -65,3 +65,19 @@ def test_tokens_are_counted_for_kept_rows_only(spark):
     mixed = budget.mix_to_budget(rows, targets, F.regexp_count("text", F.lit("\\S+")), order=prefix.source_order("ord"))
     plan = plan_of(mixed)
     assert plan.index("regexp_extract_all") < plan.index("BroadcastHashJoin")
+
+
+def test_heads_of_large_languages_reach_the_scan(spark, tmp_path):
+    from corpusmill.plans import mixture
+
+    rows = spark.range(0, 4000).select(
+        F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("lang"), F.lit("s").alias("split"), F.col("id").alias("ord"))
+    rows.where("lang = 'a' OR ord < 800").write.partitionBy("lang", "split").parquet(str(tmp_path / "c"))
+    corpus_ = spark.read.parquet(str(tmp_path / "c")).withColumn("split_pos", F.lit(0))
+    extents = mixture._extents(corpus_)
+    assert extents == {"a": [("s", 3000, 1, 3999)], "b": [("s", 200, 0, 796)]}
+    head, large = mixture._heads(extents, {"a": 1000, "b": 500})
+    plan = plan_of(corpus_.where(head))
+    assert large == ["a"] and "LessThanOrEqual(ord,1000)" in plan
+    assert corpus_.where(head).groupBy("lang").count().count() == 2
+    assert mixture._heads(extents, {"a": 3000, "b": 500})[1] == []
