@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from corpusmill.queries import QUERIES
 from tests import oracle
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -15,7 +16,7 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert oracle.difference(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
 
