@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .near_dedup import near_duplicates
+from .passages import repeated_passages
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +17,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 SQL: dict[str, str] = {}

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialize
 
@@ -20,7 +21,9 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == remainder
 
 
-def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+def per_batch(
+    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | StructType,
+) -> DataFrame:
     """`make` over every Arrow batch of `df`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
