@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import fingerprints
 from .near_dedup import near_duplicates
 from .passages import repeated_passages
 from .tables import table
@@ -17,12 +18,17 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
