@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import byte_tokens
 from .fingerprints import fingerprints
 from .near_dedup import near_duplicates
 from .passages import repeated_passages
@@ -22,6 +24,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -29,6 +36,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
     "op6_fingerprints": op6_fingerprints,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
