@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,10 +16,15 @@ COORDINATES = 64
 # Two texts with a similarity of 0.85 agree in 54 of 64 coordinates on average; fewer than
 # 40 have a chance of about 1 in 100,000.
 LEAST_MATCHES = 40
+# Candidates are counted on a finer signature of one byte a coordinate: 435 of 512 agree on
+# average at 0.85, and again fewer than 400 have a chance of less than 1 in 100,000.
+FINE = 512
+LEAST_FINE = 400
 THRESHOLD = 85
 BLOCK = 512
 
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
+_FINE_SEEDS = mix(np.arange(1001, FINE + 1001, dtype=np.uint64)) | np.uint64(1)
 
 
 def set_key(own: np.ndarray) -> tuple[int, int]:
@@ -55,7 +62,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
                 rows.extend(at)
                 found.append(np.stack(
-                    [np.minimum.reduceat(mix_fast(joined, seed), starts) for seed in _SEEDS], axis=1
+                    [np.minimum.reduceat(permuted(joined, seed), starts) for seed in _SEEDS], axis=1
                 ))
         flat = np.concatenate(found) if found else np.zeros((0, COORDINATES), np.uint64)
         values = pa.array(flat.astype(np.int64).ravel())
@@ -72,150 +79,153 @@ def signatures(docs: DataFrame) -> DataFrame:
     return per_batch(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema)
 
 
-def mix_fast(h: np.ndarray, seed: np.uint64) -> np.ndarray:
+def permuted(h: np.ndarray, seed: np.uint64) -> np.ndarray:
     """A cheap permutation of hashes that are well mixed already."""
     x = h * seed
     return x ^ (x >> np.uint64(32))
 
 
 def prefix_postings(classes: DataFrame, least: int = LEAST_MATCHES) -> DataFrame:
-    """(node, coordinate, value): the postings in which a pair with `least` matches must meet.
+    """(node, key, keys): the postings in which a pair with `least` matches must meet.
 
-    Pairs of coordinate and value are ordered from rare to frequent. Two signatures that
-    agree in `least` places share a posting among the first COORDINATES - least + 1 of both,
-    so frequent values (shared passages) are skipped. Values of one text alone match nothing,
-    and a text with fewer than `least` shared values has no partner.
+    `key` stands for a pair of coordinate and value; `keys` are all those of the node. Pairs
+    are ordered from rare to frequent. Two signatures that agree in `least` places share a
+    posting among the first COORDINATES - least + 1 of both, so frequent values (shared
+    passages) are skipped. Values of one text alone match nothing, and a text with fewer than
+    `least` shared values has no partner.
     """
-    postings = classes.select("node", F.posexplode("signature").alias("coordinate", "value"))
-    shared = postings.groupBy("coordinate", "value").agg(F.count("*").alias("n")).where("n > 1")
-    own = postings.join(shared, ["coordinate", "value"]).groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("n", "coordinate", "value"))).alias("own")
+    postings = classes.select("node", F.posexplode("signature").alias("coordinate", "value")).select(
+        "node", F.xxhash64("coordinate", "value").alias("key")
+    )
+    shared = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    own = postings.join(shared, "key").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("n", "key"))).alias("own")
     )
     first = F.slice("own", F.lit(1), F.size("own") - F.lit(least - 1))
-    return own.where(F.size("own") >= least).select("node", F.explode(first).alias("p")).select(
-        "node", "p.coordinate", "p.value"
+    keys = F.sort_array(F.transform(first, lambda p: p["key"]))
+    return own.where(F.size("own") >= least).select("node", keys.alias("keys")).select(
+        "node", F.explode("keys").alias("key"), "keys"
     )
 
 
 def head_pairs(postings: DataFrame) -> DataFrame:
     """Every node of a posting list with the list's first node in three different orders."""
     orders = [F.col("node"), F.xxhash64(F.lit(1), "node"), F.xxhash64(F.lit(2), "node")]
-    heads = postings.groupBy("coordinate", "value").agg(
-        *[F.min_by("node", order).alias(f"h{i}") for i, order in enumerate(orders)]
-    )
-    paired = postings.join(heads, ["coordinate", "value"]).select(
-        "node", F.explode(F.array("h0", "h1", "h2")).alias("head")
-    )
-    return _ordered(paired.where("node != head"), "node", "head").distinct()
-
-
-def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-
-
-def matching(pairs: DataFrame, classes: DataFrame, least: int = LEAST_MATCHES) -> DataFrame:
-    """The pairs whose signatures agree in `least` coordinates."""
-    left = classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    right = classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    same = F.aggregate(
-        F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
+    heads = postings.groupBy("key").agg(*[F.min_by("node", order).alias(f"h{i}") for i, order in enumerate(orders)])
+    paired = postings.select("node", "key").join(heads, "key").select(
+        "node", F.explode(F.array_distinct(F.array("h0", "h1", "h2"))).alias("head")
     )
-    return pairs.join(left, "a").join(right, "b").where(same >= least).select("a", "b").distinct()
+    return paired.where("node != head").select(
+        F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")
+    ).distinct()
 
 
-def crossing_pairs(postings: DataFrame, classes: DataFrame, labels: DataFrame, least: int = LEAST_MATCHES) -> DataFrame:
-    """Pairs of a posting list that are not connected yet and agree in `least` coordinates.
+def crossing_pairs(postings: DataFrame, full: DataFrame, labels: DataFrame, least: int = LEAST_FINE) -> DataFrame:
+    """Pairs of a posting list that are not connected yet and agree in `least` fine coordinates.
 
     Lists of one component are left out. Long lists are dealt out as pairs of blocks, so no
-    task holds a list, and pairs are counted inside the task and leave it only if they match:
-    after half of the coordinates, those that cannot reach `least` any more are skipped.
+    task holds a list. Pairs are counted inside the task and leave it only if they match, and
+    only from the first list that both share; after half of the coordinates, those that cannot
+    reach `least` any more are skipped.
     """
     labelled = postings.join(labels.withColumnRenamed("component", "c"), "node", "left").withColumn(
         "c", F.coalesce("c", "node")
     )
-    open_lists = labelled.groupBy("coordinate", "value").agg(
+    open_lists = labelled.groupBy("key").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")
-    ).where("lo != hi").select("coordinate", "value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = labelled.join(open_lists, ["coordinate", "value"]).join(
-        classes.select("node", "signature").distinct(), "node"
-    ).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = dealt.withColumn("other", other).select(
-        F.xxhash64("coordinate", "value", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+    ).where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = labelled.join(open_lists, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    fine = full.select(F.col("doc_id").alias("node"), "fine")
+    placed = dealt.join(fine, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "key",
         (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("whole"),
-        "node", "c", "signature",
+        "node", "c", "keys", "fine",
     )
     tasks = placed.repartition("cell").sortWithinPartitions("cell")
 
-    def run(batches):
-        kept = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            kept = rows if kept is None else pa.concat_tables([kept, rows])
-            cells = kept.column("cell").to_numpy()
-            if len(cells) and cells[0] == cells[-1]:
-                continue
-            cut = int(np.searchsorted(cells == cells[-1], True)) if len(cells) else 0
-            yield _count_cells(kept.slice(0, cut), least)
-            kept = kept.slice(cut).combine_chunks()
-        if kept is not None and kept.num_rows:
-            yield _count_cells(kept, least)
+            cells = batch.column("cell").to_numpy()
+            last = int(np.searchsorted(cells == cells[-1], True)) if len(cells) else 0
+            if last:  # what came before the last cell is complete
+                yield _count_cells(pa.Table.from_batches([*kept, batch.slice(0, last)]), least)
+                kept = []
+            elif kept and kept[-1].column("cell")[0].as_py() != cells[0]:
+                yield _count_cells(pa.Table.from_batches(kept), least)
+                kept = []
+            kept.append(batch.slice(last))
+        if kept:
+            yield _count_cells(pa.Table.from_batches(kept), least)
 
     return tasks.mapInArrow(run, "a long, b long").distinct()
 
 
 def _count_cells(rows: pa.Table, least: int) -> pa.RecordBatch:
-    cells, nodes, comps = (rows.column(c).to_numpy() for c in ("cell", "node", "c"))
-    second, whole = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("second", "whole"))
-    values = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    rows = rows.combine_chunks()
+    cells, lists, nodes, comps = (rows.column(c).to_numpy() for c in ("cell", "key", "node", "c"))
+    second, whole = (rows.column(c).to_numpy() for c in ("second", "whole"))
+    fine = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
     bounds = np.concatenate([[0], np.flatnonzero(cells[1:] != cells[:-1]) + 1, [len(cells)]])
+    keys = rows.column("keys")
+    memo: dict[int, np.ndarray] = {}
+
+    def own_keys(i: int) -> np.ndarray:
+        if i not in memo:
+            memo[i] = np.array(keys[i].as_py(), np.int64)
+        return memo[i]
+
     left, right = [], []
+    half = FINE // 2
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         own = np.arange(lo, hi)
-        if whole[lo]:
-            ones = others = own
-        else:
-            ones, others = own[~second[lo:hi]], own[second[lo:hi]]
+        ones, others = (own, own) if whole[lo] else (own[~second[lo:hi]], own[second[lo:hi]])
+        memo.clear()
         for i in ones:
-            js = others[(comps[others] != comps[i]) & (nodes[others] != nodes[i])]
+            js = others[comps[others] != comps[i]]
             if whole[lo]:
                 js = js[js > i]
             if not len(js):
                 continue
-            half = COORDINATES // 2
-            got = (values[js, :half] == values[i, :half]).sum(1)
+            got = np.count_nonzero(fine[js, :half] == fine[i, :half], axis=1)
             js, got = js[got >= least - half], got[got >= least - half]
-            got = got + (values[js, half:] == values[i, half:]).sum(1)
-            js = js[got >= least]
-            left.append(np.minimum(nodes[js], nodes[i]))
-            right.append(np.maximum(nodes[js], nodes[i]))
-    none = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(left) if left else none), pa.array(np.concatenate(right) if right else none)],
-        ["a", "b"],
-    )
+            got = got + np.count_nonzero(fine[js, half:] == fine[i, half:], axis=1)
+            for j in js[got >= least]:
+                if np.intersect1d(own_keys(i), own_keys(j), assume_unique=True)[0] == lists[lo]:
+                    left.append(min(nodes[i], nodes[j]))
+                    right.append(max(nodes[i], nodes[j]))
+    return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(doc_id, own): the sorted distinct shingle hashes of the documents in `nodes` (node)."""
+    """(doc_id, own, fine): sorted shingle hashes and fine signatures of the documents in `nodes`."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
         nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id"
     )
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
+        out, fine = [], []
         for chunk in chunks(batch.column("text")):
             own = words(chunk)
             for i in range(chunk.last - chunk.first):
-                out.append(shingle_set(own.hashes[own.first[i] : own.first[i + 1]]).tobytes())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "own"])
+                one = shingle_set(own.hashes[own.first[i] : own.first[i + 1]])
+                out.append(one.tobytes())
+                least = np.array([permuted(one, seed).min() for seed in _FINE_SEEDS]) if len(one) else np.zeros(FINE)
+                fine.append(least.astype(np.uint8).tobytes())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(out, pa.binary()), pa.array(fine, pa.binary())], ["doc_id", "own", "fine"]
+        )
 
-    return per_batch(texts, sets, "doc_id long, own binary")
+    return per_batch(texts, sets, "doc_id long, own binary, fine binary")
 
 
-def confirmed(pairs: DataFrame, full: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose full sets of shingles are similar enough."""
-    both = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("own").alias("sa")), "a").join(
+def confirmed(
+    pairs: DataFrame, full: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_FINE,
+) -> DataFrame:
+    """The pairs (a, b) that agree in `least` fine coordinates and whose full sets are similar enough."""
+    fine = [full.select(F.col("doc_id").alias(x), F.col("fine").alias(f"f{x}")) for x in ("a", "b")]
+    near = per_batch(pairs.join(fine[0], "a").join(fine[1], "b"), lambda batch: _alike(batch, least), "a long, b long")
+    both = near.distinct().join(full.select(F.col("doc_id").alias("a"), F.col("own").alias("sa")), "a").join(
         full.select(F.col("doc_id").alias("b"), F.col("own").alias("sb")), "b"
     )
 
@@ -234,6 +244,12 @@ def confirmed(pairs: DataFrame, full: DataFrame, threshold: int = THRESHOLD) ->
     return per_batch(both, compare, "a long, b long").distinct()
 
 
+def _alike(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, FINE) for c in ("fa", "fb"))
+    mask = pa.array(np.count_nonzero(x == y, axis=1) >= least)
+    return pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_MATCHES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs`.
 
@@ -253,9 +269,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int = LE
     ))
     postings = materialize(prefix_postings(classes, least))
     full = materialize(full_sets(docs, postings))
-    first = materialize(confirmed(matching(head_pairs(postings), classes, least), full, threshold))
-    so_far = components(first)
-    rest = confirmed(materialize(crossing_pairs(postings, classes, so_far, least)), full, threshold)
+    first = materialize(confirmed(head_pairs(postings), full, threshold))
+    so_far = materialize(components(first))
+    rest = confirmed(materialize(crossing_pairs(postings, full, so_far)), full, threshold)
     labels = components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
     of_class = classes.select(*keys, "node").join(labels, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component")
