@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import byte_tokens
 from .fingerprints import fingerprints
 from .near_dedup import near_duplicates
+from .packing import pack
 from .passages import repeated_passages
 from .tables import table
 
@@ -33,11 +34,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {}
