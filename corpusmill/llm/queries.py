@@ -13,10 +13,15 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
 from .tables import table
+from .topk import TOP_K_SQL, similar_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
@@ -46,4 +52,6 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_top_k": TOP_K_SQL,
+}
