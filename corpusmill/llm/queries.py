@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import byte_tokens
 from .fingerprints import fingerprints
+from .lattice import score_texts
 from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
@@ -35,6 +36,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_lm_score": op8_lm_score,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
