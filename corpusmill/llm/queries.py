@@ -14,6 +14,7 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
 from .tables import table
+from .toxicity import toxicity
 from .topk import TOP_K_SQL, similar_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
+    "op3_toxicity": op3_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_lm_score": op8_lm_score,
