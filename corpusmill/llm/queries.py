@@ -13,6 +13,7 @@ from .lattice import score_texts
 from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
+from .quality import quality
 from .tables import table
 from .toxicity import toxicity
 from .topk import TOP_K_SQL, similar_vectors
@@ -32,6 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
     "op3_toxicity": op3_toxicity,
+    "op5_quality": op5_quality,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_lm_score": op8_lm_score,
