@@ -14,6 +14,8 @@ def build_session(app: str = "corpusmill", master: str | None = None, **conf: st
     memory at any size it can hold, and adaptive execution merges those that turn out small.
     """
     builder = SparkSession.builder.appName(app)
+    # what was materialised is deleted when no plan refers to it any more
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -30,7 +32,8 @@ def build_session(app: str = "corpusmill", master: str | None = None, **conf: st
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Sets the folder of intermediate tables if the session has none yet."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
@@ -50,5 +53,5 @@ def materialize(df: DataFrame) -> DataFrame:
     Used for tables which several later jobs read, so that neither a later job nor a
     lost executor has to scan the corpus again.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
