@@ -1,16 +1,62 @@
-"""A corpus from raw documents to packed training sequences."""
+"""A corpus from raw documents to packed training sequences, in five stages."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from corpusmill.llm import quality as qualities, toxicity as toxicities
+from corpusmill.llm.near_dedup import near_duplicates
+from corpusmill.llm.packing import pack
+from corpusmill.llm.passages import repeated_passages, without_passages
+from corpusmill.llm.tables import stored, table
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject."""
+    return toxicities.without_toxic(docs, toxicities.train(docs, table(spark, sf_dir, "labels")))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model, _ = qualities.train(docs, table(spark, sf_dir, "labels"))
+    return qualities.of_quality(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates; a null id is kept."""
+    copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also stand in documents with smaller ids."""
+    return without_passages(docs, repeated_passages(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of up to 4096 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("packing", packing),
+]
+# Classifiers, signatures and tokenizers are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents after all stages."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The packed pieces of the documents that are left; every stage reads what the last one wrote."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = stored(docs)
     return docs

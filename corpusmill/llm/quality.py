@@ -132,21 +132,31 @@ def fit(rows: DataFrame, edges: np.ndarray, prior: float, steps: int = STEPS) ->
     return weights
 
 
-def quality(
-    docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, threshold: float = THRESHOLD,
-    positive_rows: int = POSITIVE_ROWS,
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted): how likely each whole text is of good quality.
+class QualityModel:
+    """Bounds of the features' ranges and the weights of the steps between them."""
+
+    def __init__(self, edges: np.ndarray, weights: np.ndarray) -> None:
+        self.edges, self.weights = edges, weights
 
-    Trusted positives are at most about `positive_rows` texts whose `quality` label is 1 and may
-    be learnt; all texts together are the unlabelled ones. Bounds of the features' ranges, the
-    unlabelled risk and scores cover all texts. A null or empty text has the features of the
-    empty text. One row per row of `docs`; without any positive every score is 0.5 or less.
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """How likely each text is of good quality, from 0 to 1."""
+        x = np.array([features(text or "") for text in texts], np.float32).reshape(-1, N_FEATURES)
+        total = indicators(x, self.edges) @ self.weights[:-1].astype(np.float32) + self.weights[-1]
+        return 1 / (1 + np.exp(-np.clip(total.astype(float), -30, 30)))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, positive_rows: int = POSITIVE_ROWS,
+) -> tuple[QualityModel, DataFrame]:
+    """The classifier of `docs`, and the table (doc_id, x, trusted) of all texts' features.
+
+    Trusted positives are at most about `positive_rows` documents whose `quality` label is 1 and
+    may be learnt; all texts together are the unlabelled ones.
     """
     usable = labels.where(~held_out("doc_id", modulus, remainder))
     prior = class_prior(usable, "quality")
     chosen = labelled(
-        docs.select("doc_id", F.lit("").alias("text")), usable, "quality", None, int(positive_rows / max(prior, 0.01))
+        docs.select("doc_id", F.lit("").alias("text")), usable, "quality", int(positive_rows / max(prior, 0.01))
     ).where("label = 1").select("doc_id").distinct()
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -160,11 +170,24 @@ def quality(
     trusted = F.broadcast(chosen.withColumn("trusted", F.lit(True)))
     rows = materialize(rows.join(trusted, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))))
     edges = bin_edges(rows)
-    weights = fit(rows, edges, prior)
+    return QualityModel(edges, fit(rows, edges, prior)), rows
+
+
+def quality(
+    docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, threshold: float = THRESHOLD,
+    positive_rows: int = POSITIVE_ROWS,
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted): how likely each whole text is of good quality.
+
+    See `train`: bounds of the features' ranges, the unlabelled risk and scores cover all texts. A
+    null or empty text has the features of the empty text. One row per row of `docs`; without any
+    positive, all texts count as unlabelled only and score low.
+    """
+    model, rows = train(docs, labels, modulus, remainder, positive_rows)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = batch.column("x").flatten().to_numpy().reshape(-1, N_FEATURES)
-        total = indicators(x, edges) @ weights[:-1].astype(np.float32) + weights[-1]
+        total = indicators(x, model.edges) @ model.weights[:-1].astype(np.float32) + model.weights[-1]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(total.astype(float), -30, 30))))], ["doc_id", "score"]
         )
@@ -174,3 +197,12 @@ def quality(
         "doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def of_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, as they are, whose texts reach the threshold."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(model.scores(batch.column("text").to_pylist()) >= threshold))
+
+    return per_batch(docs, make, docs.schema)

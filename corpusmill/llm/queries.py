@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import byte_tokens
+from .extraction import main_texts
 from .fingerprints import fingerprints
 from .lattice import score_texts
 from .near_dedup import near_duplicates
@@ -33,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_html_extraction": op4_html_extraction,
     "op5_quality": op5_quality,
     "op6_fingerprints": op6_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,

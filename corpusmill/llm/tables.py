@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,15 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == remainder
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet to the shared checkpoint folder and read from there."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}.parquet"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def per_batch(
     df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | StructType,
 ) -> DataFrame:

@@ -11,7 +11,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
@@ -50,14 +49,14 @@ def terms(text: str) -> set[str]:
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: DataFrame, most: int) -> DataFrame:
-    """(label, text) of documents with a label, about `most` of them at most, chosen by a hash of the id.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(doc_id, text, label) of documents with a label, about `most` at most, chosen by a hash of the id.
 
-    `usable` are the ids whose labels may be learnt. The chosen labels are few enough to be
-    broadcast, so texts are not shuffled.
+    The chosen labels are few enough to be broadcast, so texts are not shuffled.
     """
-    own = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
-    own = own.join(usable, "doc_id", "left_semi") if usable is not None else own
+    own = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).where(
+        "doc_id is not null and label in (0, 1)"
+    )
     n = own.count()
     if n > most:
         own = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
@@ -199,21 +198,29 @@ def _tree(gain: np.ndarray) -> np.ndarray:
     return parent
 
 
-def toxicity(
-    docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, threshold: float = THRESHOLD,
-    labelled_rows: int = LABELLED_ROWS,
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted): how likely each whole text is toxic.
+class ToxicityModel:
+    """The terms of the lexicons with their weights, and a bias."""
 
-    Lexicons come from the `toxic` labels of at most about `labelled_rows` documents that are not
-    held out. Their votes on all texts, without labels, fit the label model; its posteriors are
-    the labels on which a logistic regression over the terms of the lexicons is trained, and that
-    scores every text. A null or empty text has no terms and gets the score of such texts. One row
-    per row of `docs`; without any usable label every score is that of the prior.
-    """
+    def __init__(self, weights: dict[str, tuple[int, float]], bias: float) -> None:
+        self.weights, self.bias = weights, bias
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """How likely each text is toxic, from 0 to 1."""
+        out = []
+        for text in texts:
+            # terms that share a place of the classifier count once
+            places = dict(self.weights[t] for t in terms(text or "") if t in self.weights)
+            out.append(self.bias + sum(places.values()))
+        return 1 / (1 + np.exp(-np.clip(np.array(out, float), -50, 50)))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, labelled_rows: int = LABELLED_ROWS,
+) -> ToxicityModel:
+    """The classifier of `docs`, learnt from the labels that are not held out and from all texts."""
     spark = docs.sparkSession
     usable = labels.where(~held_out("doc_id", modulus, remainder))
-    entries = lexicon(labelled(docs, usable, "toxic", None, labelled_rows))
+    entries = lexicon(labelled(docs, usable, "toxic", labelled_rows))
     known = spark.sparkContext.broadcast(frozenset(entries))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -224,38 +231,64 @@ def toxicity(
             hits.append(found)
             votes.append(vote(found, len(own)))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(hits, pa.list_(pa.string())), pa.array(votes, pa.int32())],
-            ["doc_id", "hits", "votes"],
+            [pa.array(hits, pa.list_(pa.string())), pa.array(votes, pa.int32())], ["hits", "votes"]
         )
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = materialize(per_batch(texts, make, "doc_id long, hits array<string>, votes int"))
+    rows = per_batch(docs.select(F.col("text").cast("string")), make, "hits array<string>, votes int")
+    # texts with equal terms and votes are one row from here on
+    rows = materialize(rows.groupBy("hits", "votes").agg(F.count("*").alias("n")))
     # no more patterns than 2 to the number of voters, whatever the number of texts
-    seen = rows.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").toArrow()
-    names = voter_names()
-    patterns = (seen.column("votes").to_numpy()[:, None] >> np.arange(len(names)) & 1).astype(int)
+    seen = rows.groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").toArrow()
+    if not seen.num_rows:
+        return ToxicityModel({}, -50.0)
+    patterns = (seen.column("votes").to_numpy()[:, None] >> np.arange(len(voter_names())) & 1).astype(int)
     model = LabelModel(patterns, seen.column("n").to_numpy().astype(float))
-    posterior = spark.createDataFrame(pa.table({
-        "votes": seen.column("votes"), "posterior": model.posterior(patterns) if len(patterns) else np.zeros(0),
-    }), "votes int, posterior double")
-
-    hashed = HashingTF(numFeatures=FEATURES, binary=True, inputCol="hits", outputCol="features").transform(rows)
-    flag = held_out("doc_id", modulus, remainder)
-    if not len(patterns):
-        return rows.select(
-            "doc_id", flag.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted")
-        )
-    # texts with equal terms are one row with a weight, for each of both labels
-    weighed = rows.join(F.broadcast(posterior), "votes").groupBy("hits").agg(
-        F.sum("posterior").alias("one"), F.sum(1 - F.col("posterior")).alias("zero")
-    ).select("hits", F.inline(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("one").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), F.col("zero").alias("weight")),
+    posterior = spark.createDataFrame(
+        pa.table({"votes": seen.column("votes"), "posterior": model.posterior(patterns)}), "votes int, posterior double"
+    )
+    weighed = rows.join(F.broadcast(posterior), "votes").select("hits", F.inline(F.array(
+        F.struct(F.lit(1.0).alias("label"), (F.col("n") * F.col("posterior")).alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("n") * (1 - F.col("posterior"))).alias("weight")),
     ))).where("weight > 0")
+    hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="hits", outputCol="features")
     trained = LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, regParam=1e-4, standardization=False,
-    ).fit(materialize(HashingTF(numFeatures=FEATURES, binary=True, inputCol="hits", outputCol="features").transform(weighed)))
-    score = vector_to_array("probability")[1]
-    return trained.transform(hashed).select(
-        "doc_id", flag.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted")
+    ).fit(materialize(hashing.transform(weighed).select("features", "label", "weight")))
+    places = {term: hashing.indexOf(term) for term in entries}
+    weights = {term: (place, float(trained.coefficients[place])) for term, place in places.items()}
+    return ToxicityModel(weights, float(trained.intercept))
+
+
+def toxicity(
+    docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, threshold: float = THRESHOLD,
+    labelled_rows: int = LABELLED_ROWS,
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted): how likely each whole text is toxic.
+
+    Lexicons come from the `toxic` labels of at most about `labelled_rows` documents that are not
+    held out. Their votes on all texts, without labels, fit the label model; its posteriors are
+    the labels on which a logistic regression over the terms of the lexicons is trained, and that
+    scores every text. A null or empty text has no terms and gets the score of such texts. One row
+    per row of `docs`; without any lexicon all texts have the same low score.
+    """
+    model = train(docs, labels, modulus, remainder, labelled_rows)
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(model.scores(batch.column("text").to_pylist()))], ["doc_id", "score"]
+        )
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return per_batch(texts, make, "doc_id long, score double").select(
+        "doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, as they are, whose texts score below the threshold."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(model.scores(batch.column("text").to_pylist()) < threshold))
+
+    return per_batch(docs, make, docs.schema)
