@@ -16,9 +16,10 @@ _BASE = _U(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # each byte's value in a hash: A-Z as a-z, white space 0, everything else from 1
-_VALUE = np.arange(1, 257, dtype=np.uint64)
+_EXACT = np.arange(1, 257, dtype=np.uint64)
+_EXACT[_SPACE] = 0
+_VALUE = _EXACT.copy()
 _VALUE[65:91] += 32
-_VALUE[_SPACE] = 0
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -82,8 +83,8 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def words(chunk: Chunk) -> Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of each text, hashed with A-Z as a-z."""
+def words(chunk: Chunk, fold: bool = True) -> Words:
+    """The words `[^\\x20\\x09-\\x0D]+` of each text, hashed with A-Z as a-z if `fold`."""
     data, starts = chunk.data, chunk.starts
     n = len(data)
     if not n:
@@ -101,7 +102,7 @@ def words(chunk: Chunk) -> Words:
     if not len(begin):
         return Words(begin, end, np.zeros(0, _U), first)
     up, down = POWERS.upto(n)
-    sums = np.add.reduceat(_VALUE[data] * up[:n], begin)
+    sums = np.add.reduceat((_VALUE if fold else _EXACT)[data] * up[:n], begin)
     return Words(begin, end, mix(sums * down[begin]), first)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from ..session import materialize
-from .hashing import chunks
+from .hashing import Chunk, chunks, words
 from .tables import per_batch
 
 CAPACITY = 4096
@@ -22,48 +23,57 @@ GROUP_WINDOWS = 256
 # What is left of a document beside full windows is cut into pieces of this length: windows of
 # four or more pieces come out nearly equal, which those of one or two whole texts cannot.
 PIECE = 1024
-CACHED = 250_000
-
-_SPACE = b" \t\n\x0b\x0c\r"
+CACHED = 400_000
 
 
 class WordTokenizer:
-    """Token ids of texts as bytes, by a tokenizer that drops white space.
+    """Token ids of texts, by a tokenizer that drops white space.
 
     Texts are cut at ASCII white space, across which such a tokenizer neither merges nor
-    normalises, so every distinct word goes through the tokenizer once. What recent words come
-    to is kept, in two generations of bounded size.
+    normalises, so every distinct word of a chunk is looked up or encoded once, under its 64-bit
+    hash. What recent words come to is kept, in two generations of bounded size.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
 
-    def _learn(self, parts: set[bytes]) -> None:
-        if len(self.known) + len(parts) > CACHED:
+    def _of_words(self, hashes: np.ndarray, spelt: Callable[[int], str]) -> list[bytes]:
+        """The ids of distinct words, 4 bytes each; `spelt` gives the word at a place."""
+        if len(self.known) > CACHED:
             self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        keys = hashes.tolist()
+        out = [known.get(key) for key in keys]
         missing = []
-        for part in parts:
-            if (found := self.older.get(part)) is not None:
-                self.known[part] = found
-            else:
-                missing.append(part)
-        encodings = self.tokenizer.encode_batch_fast([part.decode() for part in missing], add_special_tokens=False)
-        for part, encoding in zip(missing, encodings):
-            self.known[part] = np.array(encoding.ids, "<u4").tobytes()
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """For each text its ids, 4 bytes each."""
-        split = [text.split() for text in texts]
-        known = self.known
-        new = {part for parts in split for part in parts if part not in known}
-        if new:
-            if len(known) + len(new) > CACHED:
-                new = {part for parts in split for part in parts}
-            self._learn(new)
-            known = self.known
-        return [b"".join([known[part] for part in parts]) for parts in split]
+        for at, found in enumerate(out):
+            if found is None:
+                found = older.get(keys[at])
+                if found is None:
+                    missing.append(at)
+                else:
+                    out[at] = known[keys[at]] = found
+        encodings = self.tokenizer.encode_batch_fast([spelt(at) for at in missing], add_special_tokens=False)
+        for at, encoding in zip(missing, encodings):
+            out[at] = known[keys[at]] = np.array(encoding.ids, "<u4").tobytes()
+        return out
+
+    def ids(self, chunk: Chunk) -> list[bytes]:
+        """For each text of a chunk its ids, 4 bytes each."""
+        own = words(chunk, fold=False)
+        distinct, place, inverse = np.unique(own.hashes, return_index=True, return_inverse=True)
+        begin, end = own.begin[place], own.end[place]
+        found = self._of_words(distinct, lambda at: chunk.data[begin[at] : end[at]].tobytes().decode())
+        lengths = np.array([len(f) // 4 for f in found], np.int64)
+        table = np.frombuffer(b"".join(found), "<u4")
+        # the ids of word after word: its run in the table, moved to where it stands in the texts
+        counts = lengths[inverse]
+        ends = np.cumsum(counts)
+        moved = (np.cumsum(lengths) - lengths)[inverse] - (ends - counts)
+        ids = table[np.repeat(moved, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        edges = np.concatenate([[0], ends])[own.first]
+        return [ids[lo:hi].tobytes() for lo, hi in zip(edges[:-1], edges[1:])]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -96,8 +106,7 @@ def token_pieces(
         own, end = tokenizer(path), np.array([end_id], "<u4").tobytes()
         rows, starts, lengths, sums, totals = [], [], [], [], []
         for chunk in chunks(batch.column("text")):
-            texts = [chunk.data[lo:hi].tobytes() for lo, hi in zip(chunk.starts[:-1], chunk.starts[1:])]
-            for i, ids in enumerate(own.ids(texts), chunk.first):
+            for i, ids in enumerate(own.ids(chunk), chunk.first):
                 ids += end
                 edges = cuts(len(ids) // 4, capacity, piece)
                 for lo, hi in zip(edges, edges[1:]):
