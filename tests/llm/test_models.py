@@ -328,8 +328,11 @@ def test_wrapper_is_learnt_from_pages_of_the_host():
 
 def test_tree_matching_counts_nodes():
     one, two = ex.parse("<ul><li>a</li><li>b</li></ul><p>x</p>"), ex.parse("<ul><li>a</li></ul><div></div><p>y</p>")
-    assert ex.tree_matching(one, one) == one.size == 8
-    assert ex.tree_matching(one, two) == 6  # the page, the list, an item and its text, p and its text
+    assert ex.tree_matching(one, one) == one.size == 6  # the page, the list, its items and their texts, p and its text
+    assert ex.tree_matching(one, two) == 6
+    pairs = []
+    assert ex.tree_matching(one, ex.parse("<ul><li><b>a</b></li></ul>"), pairs) == 3
+    assert [x.tag for x, _ in pairs] == ["#page", "ul", "li"]
 
 
 def test_main_texts_of_a_table(spark):
