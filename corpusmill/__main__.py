@@ -7,6 +7,8 @@ import importlib
 import json
 from collections.abc import Callable
 
+from pyspark.sql import DataFrame
+
 from .functions.langs import read_language_names
 from .plans import publish, runs
 from .session import build_session
@@ -81,6 +83,13 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _print(df: DataFrame) -> None:
+    """All rows, tab-separated, a partition at a time."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
     spark = build_session()
@@ -95,8 +104,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "check-splits":
         for path in a.mixture_config:
             found, missing = publish.check_splits(spark, a.input, read_mixture_config(spark, path))
-            found.show(truncate=False)
-            missing.show(truncate=False)
+            _print(found.orderBy("lang", "split"))
+            print("missing:")
+            _print(missing.orderBy("lang", "split"))
     elif a.command == "align":
         runs.align_run(spark, a.input, a.output)
     elif a.command == "split":
@@ -109,7 +119,7 @@ def main(argv: list[str] | None = None) -> None:
         stats = runs.bitext_run(
             spark, a.bitext, a.scores, a.output, _config(a.config), names(a.names), compat_labels=a.compat_labels
         )
-        stats.orderBy("pair", "step_no").show(1000, truncate=False)
+        _print(stats.orderBy("pair", "step_no"))
     elif a.command == "recipe":
         runs.recipe_run(spark, a.kind, a.input, a.output, a.max_tokens, a.max_samples, a.part_size, a.seed)
     elif a.command == "extended":

@@ -1,7 +1,8 @@
 """Seeded randomness as plain column expressions.
 
 Every random choice is a function of (seed, row id), so it does not depend on the
-partitioning, on retries, or on how often a plan is evaluated.
+partitioning, on retries, or on how often a plan is evaluated. Choices of different kinds
+put the name of the kind before the row id, so that equal seeds do not tie them together.
 """
 
 from __future__ import annotations

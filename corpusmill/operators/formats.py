@@ -58,7 +58,7 @@ def _filled(
         "_filled",
         fill_one_of(
             list(templates),
-            rand.choice(seed, len(templates), *key),
+            rand.choice(seed, len(templates), F.lit("template"), *key),
             {n: F.col(f"_f.{n}") for n in (
                 "source", "target", "source_code", "target_code", "source_content", "target_content")},
         ),

@@ -1,7 +1,7 @@
 """A caller's model as a table operator.
 
 The model itself is not part of this package: the caller passes a function that loads it.
-It is called once per task, so an executor loads the model once for all its batches.
+A Python worker calls it once and keeps the model for all tasks that it runs.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -17,17 +18,23 @@ from .layout import score_direction
 Scorer = Callable[[list[str], list[str]], list[float]]
 Generator = Callable[[list[str]], list[str]]
 
+# The model of this Python worker, by its loader; one at a time.
+_MODELS: dict[bytes, Callable] = {}
+
 
 def _with_model(
     df: DataFrame, schema: StructType, load: Callable[[], Callable],
     apply: Callable[[Callable, pd.DataFrame], pd.DataFrame],
 ) -> DataFrame:
-    """`apply(model, rows)` on each Arrow batch; the model is loaded with the first one."""
+    """`apply(model, rows)` on each Arrow batch; a worker loads the model with its first one."""
+    key = cloudpickle.dumps(load)  # one loader with other settings is another model
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = None
         for frame in frames:
-            model = model or load()
-            yield apply(model, frame)
+            if key not in _MODELS:
+                _MODELS.clear()
+                _MODELS[key] = load()
+            yield apply(_MODELS[key], frame)
 
     return df.mapInPandas(run, schema)
 

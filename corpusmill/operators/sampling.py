@@ -54,7 +54,7 @@ def swap_bitext(
     key: Sequence[str] = ("pair", "row_id"),
 ) -> DataFrame:
     """Exchanges both sides of a row with probability `prob`; `swapped` tells which."""
-    df = df.withColumn("swapped", rand.uniform(seed, *key) < F.lit(prob))
+    df = df.withColumn("swapped", rand.uniform(seed, F.lit("swap"), *key) < F.lit(prob))
     return df.withColumns({
         src: F.when(F.col("swapped"), F.col(tgt)).otherwise(F.col(src)),
         tgt: F.when(F.col("swapped"), F.col(src)).otherwise(F.col(tgt)),

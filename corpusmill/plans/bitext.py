@@ -41,7 +41,7 @@ class _State:
     number: int = 0
     uncounted: list[tuple[int, str, Column]] = field(default_factory=list)
     counts: list[DataFrame] = field(default_factory=list)
-    swaps: list[dict[str, Any]] = field(default_factory=list)
+    n_swaps: int = 0
 
     def done(self, name: str) -> None:
         self.uncounted.append((self.number, name, self.keep))
@@ -80,8 +80,11 @@ def _by_score(state: _State, strategy: str = "percentile", threshold: float = 0.
 
 
 def _swap(state: _State, prob: float = 1.0, seed: int = 42) -> None:
-    # Swapping changes no count and no later decision, so it is left for the end.
-    state.swaps.append({"prob": prob, "seed": seed})
+    # Drawn here, so that later copies of a row share it; two swaps of a row undo each other.
+    purpose = F.lit(f"swap{state.n_swaps}")
+    hit = rand.uniform(seed, purpose, "pair", "row_id", "copy") < F.lit(prob)
+    state.rows = state.rows.withColumn("swapped", F.col("swapped") != hit)
+    state.n_swaps += 1
     state.done("SwapBitext")
 
 
@@ -91,7 +94,7 @@ def _sample(
 ) -> None:
     state.count()
     rows = state.rows.where(state.keep).select(
-        "pair", "row_id", F.col("copy").alias("_earlier"), "len1", "len2", "blank", "comet_score"
+        "pair", "row_id", F.col("copy").alias("_earlier"), "len1", "len2", "blank", "comet_score", "swapped"
     )
     sampled = bounded_sample(
         rows, "pair", max_num_samples, min_num_samples, seed, ["row_id", "_earlier"], strategy
@@ -137,7 +140,7 @@ def run_bitext(
     blank = ~(is_nonblank("sentence1") & is_nonblank("sentence2"))
     narrow = bitext.select(
         "pair", "row_id", F.length("sentence1").alias("len1"), F.length("sentence2").alias("len2"),
-        blank.alias("blank"), F.lit("0").alias("copy"),
+        blank.alias("blank"), F.lit("0").alias("copy"), F.lit(False).alias("swapped"),
     )
     state = _State(materialize(join_scores(narrow, scores.select("pair", "row_id", "comet_score"))))
     state.done("original")
@@ -149,22 +152,14 @@ def run_bitext(
     stats = reduce(DataFrame.unionByName, state.counts)
     stats = stats.groupBy("pair", "step_no", "step").agg(F.sum("n_rows").alias("n_rows"))
 
-    kept = state.rows.where(state.keep).select("pair", "row_id", "copy")
-    rows = _swapped(bitext.join(kept, ["pair", "row_id"]), state.swaps)
+    kept = state.rows.where(state.keep).select("pair", "row_id", "copy", "swapped")
+    rows = _swapped(bitext.join(kept, ["pair", "row_id"]))
     make = format_pt if task == "pt" else format_sft
     key = ("pair", "row_id", "copy")
     return make(rows, templates, seed, key, names=names, compat_labels=compat_labels), stats
 
 
-def _swapped(rows: DataFrame, swaps: Sequence[Mapping[str, Any]]) -> DataFrame:
-    """Applies the swap steps; two swaps of the same row undo each other."""
-    if not swaps:
-        return rows
-    flip = F.lit(False)
-    for i, swap in enumerate(swaps):
-        hit = rand.uniform(swap["seed"], F.lit(i), "pair", "row_id", "copy") < F.lit(swap["prob"])
-        flip = flip != hit
-    rows = rows.withColumn("swapped", flip)
+def _swapped(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "sentence1": F.when(F.col("swapped"), F.col("sentence2")).otherwise(F.col("sentence1")),
         "sentence2": F.when(F.col("swapped"), F.col("sentence1")).otherwise(F.col("sentence2")),

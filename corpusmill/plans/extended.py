@@ -55,6 +55,9 @@ def repeated_languages(
     fallback = FALLBACK_SPLITS if fallback is None else fallback
     languages = list(languages or fallback)
     splits, fits = small_table(discover_splits(corpus.select("lang", "split"), languages, fallback))
+    present = {r["lang"] for r in corpus.where(F.col("lang").isin(languages)).select("lang").distinct().collect()}
+    if absent := sorted(set(languages) - present):
+        raise ValueError(f"no rows of {', '.join(absent)}")
     rows = corpus.where(F.col("lang").isin(languages))
     rows = attach(rows, splits, ["lang", "split"], fits, spread=["ord"])
     return repeat_epochs(rows, times, seed, ("lang", "split", "ord"))

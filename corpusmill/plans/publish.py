@@ -23,6 +23,7 @@ KINDS = [
     ("web", ".parquet", "fw2"),
     ("passages", ".txt", "wura"),
     ("json_lines", ".jsonl", "ml400"),
+    ("json_lines_gz", ".jsonl.gz", "ml400"),
     ("extra", ".jsonl", "extra"),
 ]
 KIND_BITS = 48
@@ -57,7 +58,7 @@ def _read(spark: SparkSession, kind: str, glob: str) -> DataFrame:
         return normalize_documents(parse_json_lines(lines, ["text"]), keep=keep)
     if kind == "passages":
         return normalize_passages(lines, keep=keep)
-    if kind == "json_lines":
+    if kind.startswith("json_lines"):
         return normalize_json_lines(lines, keep=keep)
     return normalize_extra(lines, keep=keep)
 

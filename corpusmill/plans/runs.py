@@ -49,34 +49,53 @@ def normalize_run(
 
 
 def align_run(spark: SparkSession, source: str, output: str) -> None:
-    """Line-aligned files to bitext by pair."""
-    rows = bitext_source.read_moses(spark, source)
-    rows.write.mode("overwrite").partitionBy("pair").parquet(output)
+    """Line-aligned files to bitext by pair; pairs that are there already are left alone."""
+    writers.write_pairs(bitext_source.read_moses(spark, source), output)
 
 
 def split_run(spark: SparkSession, source: str, output: str, target_gb: float = 5.0) -> None:
     """Bitext files in shards of a byte budget, with their manifest."""
-    rows = bitext_source.read_bitext(spark, source).withColumnRenamed("pair", "source")
+    rows = _read_pairs(spark, source, bitext_source.read_bitext).withColumnRenamed("pair", "source")
     size = row_bytes(["sentence1", "sentence2"])
     writers.write_shards(*assign_shards(rows, int(target_gb * writers.GIB), size), output)
 
 
 def score_run(spark: SparkSession, source: str, output: str, load: Callable[[], Scorer], batch_rows: int = 256) -> None:
-    """Scores of bitext files by pair, from a caller's model."""
-    scored = score_pairs(bitext_source.read_bitext(spark, source), load, batch_rows)
-    scored.write.mode("overwrite").partitionBy("pair").parquet(output)
+    """Scores of bitext by pair, from a caller's model; scored pairs are left alone.
+
+    `source` is what `align` or `split` wrote, or single files by pair. Rows of shards keep
+    the number of their shard.
+    """
+    rows = _read_pairs(spark, source, bitext_source.read_bitext)
+    keys = ("pair", "row_id", "shard") if "shard" in rows.columns else ("pair", "row_id")
+    todo = writers.pending_pairs(rows, output)
+    writers.write_pairs(score_pairs(todo, load, batch_rows, keys), output)
 
 
 def merge_run(spark: SparkSession, shards: str, manifest: str, output: str) -> None:
-    """Scores of shards as one table per pair, numbered like the bitext."""
+    """Scores of shards as one table per pair, numbered like the bitext.
+
+    `shards` is what `score` wrote for shards, or files `<pair>/<pair><number>.parquet`.
+    """
     parts = spark.read.json(manifest).select(F.col("source").alias("pair"), "index", "num_rows")
-    merged = bitext_source.merge_scored_shards(bitext_source.read_scored_shards(spark, shards), parts)
-    merged.write.mode("overwrite").partitionBy("pair").parquet(output)
+    scored = spark.read.option("recursiveFileLookup", False).parquet(shards) if _is_table(spark, shards) else None
+    if scored is not None and {"pair", "row_id", "shard"} <= set(scored.columns):
+        merged = bitext_source.complete_shards(scored.withColumnRenamed("shard", "index"), parts).drop("index")
+    else:
+        merged = bitext_source.merge_scored_shards(bitext_source.read_scored_shards(spark, shards), parts)
+    writers.write_pairs(merged, output)
+
+
+def _is_table(spark: SparkSession, root: str) -> bool:
+    """Whether parts by pair lie there, as `write_pairs` writes them."""
+    return not writers.finished_keys(spark, root, "pair").isEmpty()
 
 
 def _read_pairs(spark: SparkSession, root: str, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """Tables by pair written here carry their keys; single files get them from their place."""
     df = spark.read.parquet(root)
+    if {"source", "shard", "row_id"} <= set(df.columns):  # shards
+        df = df.withColumnRenamed("source", "pair")
     return df if {"pair", "row_id"} <= set(df.columns) else read(spark, root)
 
 
@@ -91,8 +110,10 @@ def bitext_run(
     config = config or {}
     texts = allow_pairs(_read_pairs(spark, bitext, bitext_source.read_bitext), config.get("languages", []))
     found = allow_pairs(_read_pairs(spark, scores, bitext_source.read_scores), config.get("languages", []))
-    for row in missing_scores(texts, found).limit(1000).toLocalIterator():
+    for row in missing_scores(texts, found).toLocalIterator():
         print(f"no scores for {row.pair}")
+    if not texts.isEmpty() and texts.select("pair").join(found.select("pair").distinct(), "pair", "left_semi").isEmpty():
+        raise ValueError("no pair of the bitext has scores")
     task = config.get("task", "sft")
     stats_path = output.rstrip("/") + "_stats"
     try:
@@ -121,13 +142,14 @@ def recipe_run(
     if recipe == "code":
         df, make = corpus_source.read_code_shards(spark, source), recipes.code_sample
     else:
-        df, make = _with_file_and_row(spark.read.parquet(source)), recipes.math_sample
+        df, make = _with_file_and_row(spark.read.parquet(source), source), recipes.math_sample
     rows = make(df, max_tokens, max_samples, seed, FILE_KEY)
     writers.write_parts(rows, output, part_size, hash_order(seed, *FILE_KEY))
 
 
-def _with_file_and_row(df: DataFrame) -> DataFrame:
-    return df.withColumns({"_file": F.col("_metadata.file_name"), "ord": F.col("_metadata.row_index")})
+def _with_file_and_row(df: DataFrame, root: str) -> DataFrame:
+    file = corpus_source.relative_path(F.col("_metadata.file_path"), root)
+    return df.withColumns({"_file": file, "ord": F.col("_metadata.row_index")})
 
 
 def extended_run(
@@ -141,7 +163,7 @@ def extended_run(
 
 def sources_run(spark: SparkSession, kind: str, source: str, output: str, samples: int = 2000) -> None:
     """Sampled sources for synthetic data, by topic."""
-    df = _with_file_and_row(spark.read.parquet(source))
+    df = _with_file_and_row(spark.read.parquet(source), source)
     make = synthetic.web_sources if kind == "web" else synthetic.math_sources
     writers.write_jsonl(make(df, samples, key=FILE_KEY), output, "domain", ["text", "source"])
 
@@ -151,12 +173,17 @@ def translate_run(
     source_language: str = "eng_Latn", max_samples: int | None = None, text_column: str = "text",
     names: Mapping[str, str] | None = None,
 ) -> None:
-    """Rows of a file in other languages, by target; finished targets are left alone."""
+    """Rows of a file in other languages, below a folder of its name and by target.
+
+    Targets that this file has already are left alone.
+    """
     rows = corpus_source.read_rows(spark, source, text_column=text_column, max_samples=max_samples)
-    done = {r[0] for r in writers.finished_keys(spark, output, "target_language").limit(10_000).collect()}
+    stem = os.path.splitext(os.path.basename(source))[0]
+    output = f"{output.rstrip('/')}/{stem}"
+    finished = writers.finished_keys(spark, output, "target_language").where(F.col("target_language").isin(list(targets)))
+    done = {r[0] for r in finished.collect()}  # no more than the targets asked for
     todo = [t for t in targets if t not in done]
     if not todo:
         return
-    stem = os.path.splitext(os.path.basename(source))[0]
     out = synthetic.translate(rows, todo, load, stem, source_language, names, text_column)
     writers.write_jsonl(out, output, "target_language", ["text", "source_language", "source", "domain"])

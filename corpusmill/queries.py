@@ -260,10 +260,11 @@ def moses_align(spark, sf):
 
 
 @query("""
-SELECT doc_id, 'shard-' || lpad((doc_id % 240)::VARCHAR, 5, '0') || '.jsonl.gz' AS name FROM documents WHERE (doc_id % 240) % 2 = 1
+SELECT doc_id, 'shard-' || lpad((doc_id % 300)::VARCHAR, 5, '0') || '.jsonl.gz' AS name FROM documents
+WHERE (doc_id % 300) % 2 = 1 AND doc_id % 300 <= 239
 """)
 def odd_shards(spark, sf):
-    name = F.concat(F.lit("shard-"), F.lpad((F.col("doc_id") % 240).cast("string"), 5, "0"), F.lit(".jsonl.gz"))
+    name = F.concat(F.lit("shard-"), F.lpad((F.col("doc_id") % 300).cast("string"), 5, "0"), F.lit(".jsonl.gz"))
     files = table(spark, sf, "documents").select("doc_id", name.alias("name"))
     return files.where(corpus_source.odd_shard("name"))
 
@@ -740,7 +741,7 @@ def shuffle_order(spark, sf):
 @query(f"""
 SELECT pair, row_id, swapped, md5(CASE WHEN swapped THEN sentence2 ELSE sentence1 END) AS sentence1_md5,
        md5(CASE WHEN swapped THEN sentence1 ELSE sentence2 END) AS sentence2_md5
-FROM (SELECT *, {sql_uniform(42, 'pair', 'row_id')} < 0.5 AS swapped FROM ({BITEXT}))
+FROM (SELECT *, {sql_uniform(42, "'swap'", 'pair', 'row_id')} < 0.5 AS swapped FROM ({BITEXT}))
 """)
 def swap_bitext(spark, sf):
     rows = sampling.swap_bitext(bitext(spark, sf), prob=0.5)
@@ -790,7 +791,7 @@ FROM ({BITEXT}) WHERE {sql_strip('sentence1')} <> '' AND {sql_strip('sentence2')
 
 
 @query(f"""
-SELECT pair, row_id, md5(CASE floor({sql_uniform(5, 'pair', 'row_id')} * 2)
+SELECT pair, row_id, md5(CASE floor({sql_uniform(5, "'template'", 'pair', 'row_id')} * 2)
   WHEN 0 THEN names[a] || ': ' || sentence1 || chr(10) || names[b] || ': ' || sentence2
   ELSE '[' || codes[a] || '>' || codes[b] || '] ' || sentence1 || ' = ' || sentence2 END) AS text_md5
 FROM ({SIDES})
@@ -804,7 +805,7 @@ def template_pt(spark, sf):
 SELECT pair, row_id, md5(CASE WHEN w THEN sentence2 ELSE sentence1 END) AS human_md5,
        md5(CASE WHEN w THEN sentence1 ELSE sentence2 END) AS gpt_md5,
        'Translate the ' || names[CASE WHEN w THEN b ELSE a END] || ' content to ' || names[CASE WHEN w THEN a ELSE b END] || '.' AS system
-FROM (SELECT *, {sql_uniform(42, 'pair', 'row_id')} < 0.5 AS w FROM ({SIDES}))
+FROM (SELECT *, {sql_uniform(42, "'swap'", 'pair', 'row_id')} < 0.5 AS w FROM ({SIDES}))
 """)
 def sft_format(spark, sf):
     rows = formats.format_sft(sampling.swap_bitext(bitext(spark, sf), prob=0.5), names=NAMES)
@@ -889,7 +890,7 @@ FROM ({LONG_ENOUGH}) JOIN (SELECT pair, quantile_cont(comet_score, 0.7) AS cutof
 WHERE comet_score >= cutoff
 """
 SAMPLED = f"""
-SELECT *, {sql_uniform(2026, '0', 'pair', 'row_id', 'copy')} < 0.5 AS w
+SELECT *, {sql_uniform(2026, "'swap0'", 'pair', 'row_id', "'0'")} < 0.5 AS w
 FROM (SELECT *, unnest(generate_series(0, CASE WHEN n < 12 THEN 24 // n ELSE 1 END - 1)) AS copy FROM ({GOOD}) WHERE n <= 30 OR r <= 30)
 """
 FINAL = f"SELECT * FROM ({SAMPLED}) WHERE {sql_strip('sentence1')} <> '' AND {sql_strip('sentence2')} <> ''"

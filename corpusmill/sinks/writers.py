@@ -69,7 +69,10 @@ def write_parts(
 def write_corpus(df: DataFrame, root: str, shard_bytes: int = GIB, mode: str = "overwrite") -> None:
     """Parquet by language and split, replacing the folders it writes."""
     with _conf(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(shard_bytes)):
-        (_rebalanced(df, "lang", "split").write.mode(mode)
+        rows = _rebalanced(df, "lang", "split")
+        if "ord" in df.columns:  # row groups of a file then hold ranges of positions
+            rows = rows.sortWithinPartitions("lang", "split", "ord")
+        (rows.write.mode(mode)
             .option("partitionOverwriteMode", "dynamic").partitionBy("lang", "split").parquet(root))
 
 
@@ -77,7 +80,30 @@ def write_shards(rows: DataFrame, manifest: DataFrame, path: str, source: str =
     """Rows by source and shard, and the manifest beside them."""
     (rows.repartition(source, "shard").sortWithinPartitions(source, "shard", "row_id")
         .write.mode("overwrite").partitionBy(source, "shard").parquet(f"{path}/rows"))
-    manifest.write.mode("overwrite").json(f"{path}/manifest")
+    files = list_files(rows.sparkSession, f"{path}/rows").groupBy(
+        F.regexp_extract("path", f"/{source}=([^/]+)/", 1).alias(source),
+        F.regexp_extract("path", "/shard=([0-9]+)/", 1).cast("bigint").alias("index"),
+    ).agg(F.sum("length").alias("file_size"))
+    folder = F.concat(F.lit(f"rows/{source}="), F.col(source), F.lit("/shard="), F.col("index").cast("string"))
+    written = manifest.withColumn("path", folder).join(files, [source, "index"], "left")
+    written.write.mode("overwrite").json(f"{path}/manifest")
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of all files below a folder. Contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"), "length")
+
+
+def pending_pairs(df: DataFrame, path: str) -> DataFrame:
+    """The rows of `df` whose pair has no output at `path` yet."""
+    return pending_work(df, finished_keys(df.sparkSession, path, "pair"), ["pair"], ["row_id"])
+
+
+def write_pairs(df: DataFrame, path: str) -> None:
+    """Parquet by pair, beside the pairs that are there already; those are not written again."""
+    (pending_pairs(df, path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("pair").parquet(path))
 
 
 def append_stats(stats: DataFrame, path: str) -> None:

@@ -69,23 +69,33 @@ def read_moses(spark: SparkSession, root: str) -> DataFrame:
     return align_lines(first, second, scores)
 
 
+def complete_shards(shards: DataFrame, manifest: DataFrame) -> DataFrame:
+    """`shards` (pair, index, ..) as they are; any shard whose rows are not those of the manifest fails the job."""
+    found = shards.groupBy("pair", "index").agg(F.count("*").alias("_n"))
+    both = manifest.select("pair", "index", "num_rows").join(found, ["pair", "index"], "full")
+    named = F.concat(
+        F.lit("missing scored shard "), F.col("pair"), F.col("index").cast("string"), F.lit(": rows "),
+        F.coalesce(F.col("_n"), F.lit(0)).cast("string"), F.lit(", manifest "), F.coalesce(F.col("num_rows").cast("string"), F.lit("none")),
+    )
+    same = F.coalesce(F.col("_n") == F.col("num_rows"), F.lit(False))
+    checked, fits = small_table(both.select(
+        "pair", "index", F.when(same, F.lit(True)).otherwise(F.raise_error(named).cast("boolean")).alias("_ok")
+    ))
+    return attach(shards, checked, ["pair", "index"], fits, spread=["row_id"]).where("_ok").drop("_ok")
+
+
 def merge_scored_shards(
     shards: DataFrame, manifest: DataFrame, score: str = "comet_score"
 ) -> DataFrame:
     """Scores of shards as one table, numbered like the rows that were split.
 
     `shards` has (pair, index, row_id within the shard, score); `manifest` one row per
-    expected shard with its `num_rows`. A shard without scores fails the job.
+    expected shard with its `num_rows`. A shard with more or fewer scores, or one that the
+    manifest lacks, fails the job.
     """
-    found = shards.select("pair", "index").distinct().withColumn("_found", F.lit(True))
+    shards = complete_shards(shards, manifest)
     before = Window.partitionBy("pair").orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
-    named = F.concat(F.lit("missing scored shard "), F.col("pair"), F.col("index").cast("string"))
-    offsets = (
-        manifest.select("pair", "index", "num_rows").join(found, ["pair", "index"], "left")
-        .withColumn("_at", F.coalesce(F.sum("num_rows").over(before), F.lit(0)))
-        .withColumn("_at", F.when(F.col("_found"), F.col("_at")).otherwise(F.raise_error(named).cast("bigint")))
-        .select("pair", "index", "_at")
-    )
+    offsets = manifest.select("pair", "index", F.coalesce(F.sum("num_rows").over(before), F.lit(0)).alias("_at"))
     offsets, fits = small_table(offsets)
     numbered = attach(shards, offsets, ["pair", "index"], fits, spread=["row_id"])
     return numbered.select("pair", (F.col("_at") + F.col("row_id")).alias("row_id"), score)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Sequence
 from fractions import Fraction
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
@@ -17,6 +20,7 @@ from .lines import read_lines
 from .normalize import parse_json_lines
 
 MAX_CONFIG_ROWS = 10_000
+LAST_SHARD = 239  # fixed value
 CONFIG_COLUMNS = ("subset", "token_count", "split")
 
 
@@ -139,17 +143,27 @@ def read_rows(
 
 
 def odd_shard(name: str | Column) -> Column:
-    """True for `shard-NNNNN.jsonl.gz` with an odd number."""
-    return F.rlike(F.col(name) if isinstance(name, str) else name, F.lit(r"shard-\d{4}[13579]\.jsonl\.gz$"))
+    """True for `shard-NNNNN.jsonl.gz` with an odd number up to LAST_SHARD."""
+    number = F.regexp_extract(F.col(name) if isinstance(name, str) else name, r"shard-(\d{5})\.jsonl\.gz$", 1)
+    number = number.try_cast("int")
+    return F.coalesce((number <= LAST_SHARD) & (number % 2 == 1), F.lit(False))
 
 
 def read_code_shards(spark: SparkSession, root: str) -> DataFrame:
     """(_file, ord, query, document) of the odd-numbered shards; the others are not read."""
     names = "shard-[0-9][0-9][0-9][0-9][13579].jsonl.gz"
-    lines = read_lines(spark, f"{root}/{names}", F.col("_path"), name="_file")
+    file = relative_path(F.col("_path"), root)
+    lines = read_lines(spark, f"{root}/{names}", file, name="_file", only=odd_shard("_path"))
     return parse_json_lines(lines.withColumnRenamed("line", "ord"), ["query", "document"])
 
 
+def relative_path(path: Column, root: str) -> Column:
+    """The part of a file's path below `root`, the same wherever the data lies."""
+    plain = root if "://" in root or root.startswith("/") else os.path.abspath(root)
+    below = F.split(path, re.escape(quote(plain.rstrip("/"), safe="/:")), 2)
+    return F.coalesce(F.try_element_at(below, F.lit(2)), path)
+
+
 def file_inventory(spark: SparkSession, root: str, languages: Sequence[str] | None = None) -> DataFrame:
     """Files per (lang, split) below `<root>/<lang>/`. Lists names; contents are not read."""
     files = spark.read.format("binaryFile").load(f"{root}/*/*.parquet").select("path")

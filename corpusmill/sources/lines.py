@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.layout import path_lang
 from ..operators.lookup import attach, small_table
+from ..session import stored
 
 
 def read_lines(
@@ -22,8 +23,11 @@ def read_lines(
     `over`, a larger group: with it there is a second number, `ord`, that runs over it.
 
     Spark hands out a file in splits and knows where each begins, so the number of a line
-    is the lines of earlier splits plus its place in its own split. The counts per split
-    are a small table; the lines themselves are neither shuffled nor sorted.
+    is the lines of earlier splits plus its place in its own split. How a file is split
+    depends on the cluster at that moment, so the files are read once: lines are written to
+    the shared folder with their split and place, and everything is numbered from there.
+    The counts per split are a small table; the lines themselves are neither shuffled nor
+    sorted. A line whose split or place is unknown fails the job.
     """
     reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -36,7 +40,7 @@ def read_lines(
     if only is not None:
         files = files.where(only)
     # the id grows by one from line to line within a task, so also within a split
-    lines = files.withColumn("_id", F.monotonically_increasing_id()).withColumn(name, group)
+    lines = stored(files.withColumn("_id", F.monotonically_increasing_id())).withColumn(name, group)
     splits = lines.groupBy(name, "_path", "_start").agg(
         F.count("*").alias("_n"), F.min("_id").alias("_first")
     )
@@ -45,9 +49,12 @@ def read_lines(
     if over is not None:
         offsets = offsets.withColumn("_ord", _lines_before(over))
         numbers["ord"] = "_ord"
-    offsets, fits = small_table(offsets.drop("_n"))
-    numbered = attach(lines, offsets, [name, "_path", "_start"], fits)
+    offsets, fits = small_table(offsets)
+    numbered = attach(lines, offsets, [name, "_path", "_start"], fits, "left")
     place = F.col("_id") - F.col("_first")
+    place = F.when(place.between(0, F.col("_n") - 1), place).otherwise(
+        F.raise_error(F.concat(F.lit("a line without a number in "), F.col("_path"))).cast("bigint")
+    )
     return numbered.select(name, "value", *[(F.col(c) + place).alias(n) for n, c in numbers.items()])
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from corpusmill.queries import QUERIES
 from corpusmill.operators import budget, prefix, sampling
 from corpusmill.queries import corpus
 
@@ -15,9 +15,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - PYTHON))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON))
 def test_only_models_run_python(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert not any(word in plan for word in ("PythonUDF", "MapInPandas", "ArrowEvalPython", "FlatMapGroups"))
 
 
@@ -27,12 +27,12 @@ def test_only_models_run_python(spark, name):
 ])
 def test_the_corpus_itself_is_not_shuffled(spark, name):
     # the joins of test tables to make an input are broadcast at this size
-    assert "Exchange hashpartitioning" not in plan_of(entry.queries()[name](spark, SF))
+    assert "Exchange hashpartitioning" not in plan_of(QUERIES[name](spark, SF))
 
 
 @pytest.mark.parametrize("name", ["shuffle_order", "part_assign", "bitext_pipeline", "join_scores"])
 def test_rows_are_shuffled_by_a_balanced_key(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "Exchange SinglePartition" not in plan.split("BroadcastExchange")[0]
 
 
