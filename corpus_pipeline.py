@@ -11,7 +11,8 @@ from corpusmill.llm import quality as qualities, toxicity as toxicities
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.llm.packing import pack
 from corpusmill.llm.passages import repeated_passages, without_passages
-from corpusmill.llm.tables import stored, table
+from corpusmill.llm.tables import table
+from corpusmill.session import stored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .hashing import POWERS, mix
+from .tables import bounded_batches
 
 ROLLING = 7
 SMALLEST = 3
@@ -133,6 +134,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     ids go through the driver.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("ord"),

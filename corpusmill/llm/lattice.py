@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .hashing import chunks, words
-from .tables import held_out, per_batch
+from .tables import bounded_batches, held_out, per_batch
 
 ADDED = 0.1
 ROUNDS = 2
@@ -211,6 +211,7 @@ def score_texts(docs: DataFrame, path: str, modulus: int = 10, rounds: int = ROU
     of the end. Rows with a null id count as the id ''. One row per row of `docs`.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(
         F.col("doc_id").cast("long"), held_out("doc_id", modulus, 0).alias("held_out"), F.col("text").cast("string")
     )

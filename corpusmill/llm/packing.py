@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Callable
 
@@ -23,7 +24,7 @@ GROUP_WINDOWS = 256
 # What is left of a document beside full windows is cut into pieces of this length: windows of
 # four or more pieces come out nearly equal, which those of one or two whole texts cannot.
 PIECE = 1024
-CACHED = 400_000
+CACHED = 200_000
 
 
 class WordTokenizer:
@@ -35,6 +36,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[int, bytes] = {}
         self.older: dict[int, bytes] = {}

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import materialize
+
+
+BATCH_ROWS = 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,13 +24,11 @@ def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == remainder
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df` written as Parquet to the shared checkpoint folder and read from there."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}.parquet"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers get few rows at a time, as texts may be long; smaller settings are left."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def per_batch(
@@ -41,6 +41,7 @@ def per_batch(
             out = make(batch)
             yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -14,7 +14,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .tables import held_out, per_batch
+from .tables import bounded_batches, held_out, per_batch
 
 # At most about so many labelled rows are used to make the lexicons.
 LABELLED_ROWS = 30_000
@@ -219,6 +219,7 @@ def train(
 ) -> ToxicityModel:
     """The classifier of `docs`, learnt from the labels that are not held out and from all texts."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     usable = labels.where(~held_out("doc_id", modulus, remainder))
     entries = lexicon(labelled(docs, usable, "toxic", labelled_rows))
     known = spark.sparkContext.broadcast(frozenset(entries))
