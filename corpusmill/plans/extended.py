@@ -51,12 +51,16 @@ def repeated_languages(
     corpus: DataFrame, languages: Sequence[str] | None = None, times: int = 5,
     seed: int | None = 2025, fallback: dict[str, list[str]] | None = None,
 ) -> DataFrame:
-    """All splits of the languages, `times` over; `split_pos` is the place of a split."""
+    """All splits of the languages, `times` over; `split_pos` is the place of a split.
+
+    A language that is asked for but has no rows is an error; of the default list, those with
+    rows are taken.
+    """
     fallback = FALLBACK_SPLITS if fallback is None else fallback
-    languages = list(languages or fallback)
+    asked, languages = languages, list(languages or fallback)
     splits, fits = small_table(discover_splits(corpus.select("lang", "split"), languages, fallback))
     present = {r["lang"] for r in corpus.where(F.col("lang").isin(languages)).select("lang").distinct().collect()}
-    if absent := sorted(set(languages) - present):
+    if absent := sorted(set(asked or ()) - present):
         raise ValueError(f"no rows of {', '.join(absent)}")
     rows = corpus.where(F.col("lang").isin(languages))
     rows = attach(rows, splits, ["lang", "split"], fits, spread=["ord"])

@@ -1,0 +1,158 @@
+"""Commands on each other's outputs, repeated runs, and choices that must not depend on each other."""
+
+import json
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from corpusmill.operators import formats, joins, sampling
+from corpusmill.plans import bitext as plan, runs
+from corpusmill.sources import bitext, corpus, lines
+from tests.test_runs import run, texts  # noqa: F401
+from tests.test_sources import jsonl_below, moses, put, put_parquet
+
+TEMPLATES = ["1 {source_content} {target_content}", "2 {source_content} {target_content}"]
+
+
+@pytest.mark.parametrize("files", [1, 8])
+@pytest.mark.parametrize("before, after", [("1", "64"), ("4", "2")])
+def test_lines_survive_a_cluster_that_changes(spark, tmp_path, files, before, after):
+    rng, n = random.Random(2), 40_000 // files
+    for k in range(files):
+        put(tmp_path / "aa" / f"f_{k}.txt", "".join(f"{k * n + i} {'x' * rng.randint(0, 30)}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", before)
+        rows = lines.read_lines(spark, f"{tmp_path}/aa/*.txt")
+        spark.conf.set("spark.sql.files.minPartitionNum", after)
+        got = rows.select("line", F.split("value", " ")[0].cast("bigint").alias("n")).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (got.line == got.n).all() and sorted(got.line) == list(range(n * files))
+
+
+def two_pairs(tmp_path, n=30):
+    for pair in ("en-sw", "fr-ha"):
+        moses(tmp_path / "m", pair, [f"{pair} left {'x' * i}" for i in range(n)], [f"right {i:03d} y" for i in range(n)], ["1"] * n)
+
+
+SCORER = "tests.stand_in_models:scorer"
+
+
+def test_aligned_pairs_are_scored_and_formatted(run, spark, tmp_path):  # noqa: F811
+    two_pairs(tmp_path)
+    run("align", "--input", tmp_path / "m", "--output", tmp_path / "b")
+    run("score", "--input", tmp_path / "b", "--output", tmp_path / "s", "--model", SCORER)
+    config = put(tmp_path / "c.json", json.dumps({"task": "pt", "pipeline": {"single": []}}))
+    args = ("bitext", "--bitext", tmp_path / "b", "--scores", tmp_path / "s", "--config", config)
+    names = put(tmp_path / "n.csv", "code,name\nhau_Latn,Hausa\nswa_Latn,Swahili\n")
+    run(*args, "--output", tmp_path / "o", "--names", names)
+    found = {k: len(v) for k, v in texts(tmp_path / "o").items() if k.startswith("pair")}
+    assert found == {"pair=en-sw": 30, "pair=fr-ha": 30}
+    other = put_parquet(tmp_path / "other" / "de-ha.parquet", score=[1.0])
+    with pytest.raises(ValueError, match="no pair"):
+        runs.bitext_run(spark, str(tmp_path / "b"), other, str(tmp_path / "none"))
+
+
+def test_shards_are_scored_and_merged(run, spark, tmp_path):  # noqa: F811
+    two_pairs(tmp_path)
+    run("align", "--input", tmp_path / "m", "--output", tmp_path / "b")
+    run("split", "--input", tmp_path / "b", "--output", tmp_path / "sh", "--target_gb", 1)
+    run("score", "--input", tmp_path / "sh" / "rows", "--output", tmp_path / "ss", "--model", SCORER)
+    run("merge", "--shards", tmp_path / "ss", "--manifest", tmp_path / "sh" / "manifest", "--output", tmp_path / "s")
+    run("score", "--input", tmp_path / "b", "--output", tmp_path / "direct", "--model", SCORER)
+    one, two = (
+        sorted(map(tuple, spark.read.parquet(str(tmp_path / p)).select("pair", "row_id", "comet_score").collect())) for p in ("s", "direct")
+    )
+    assert one == two and len(one) == 60
+    for row in spark.read.json(str(tmp_path / "sh" / "manifest")).collect():
+        assert spark.read.parquet(f"{tmp_path}/sh/{row.path}").count() == row.num_rows and row.file_size > 0
+
+
+def test_shards_must_be_complete(spark):
+    shards = spark.createDataFrame([("a", 1, 0, 1.0), ("a", 1, 1, 1.0), ("a", 2, 2, 1.0)], "pair string, index long, row_id long, comet_score double")
+    for rows in ([("a", 1, 2)], [("a", 1, 2), ("a", 2, 2)], [("a", 1, 2), ("a", 2, 1), ("a", 3, 1)]):
+        manifest = spark.createDataFrame(rows, "pair string, index long, num_rows long")
+        with pytest.raises(PySparkException, match="missing scored shard"):
+            bitext.merge_scored_shards(shards, manifest).collect()
+
+
+def test_earlier_pairs_are_kept_and_not_scored_again(run, spark, tmp_path):  # noqa: F811
+    put_parquet(tmp_path / "1" / "en-sw.parquet", sentence1=["a", "bb"], sentence2=["x", "y"])
+    put_parquet(tmp_path / "2" / "en-sw.parquet", sentence1=["other"] * 2, sentence2=["x", "y"])
+    put_parquet(tmp_path / "2" / "en-fr.parquet", sentence1=["ccc"], sentence2=["x"])
+    for k in "12":
+        run("score", "--input", tmp_path / k, "--output", tmp_path / "s", "--model", SCORER)
+    rows = spark.read.parquet(str(tmp_path / "s")).orderBy("pair", "row_id").collect()
+    assert [(r.pair, r.comet_score) for r in rows] == [("en-fr", 0.03), ("en-sw", 0.01), ("en-sw", 0.02)]
+
+
+def test_a_second_file_is_translated(run, tmp_path):  # noqa: F811
+    for name in "ab":
+        source = put(tmp_path / f"{name}.jsonl", json.dumps({"text": name}) + "\n")
+        run("translate", "--input", source, "--output", tmp_path / "t", "--model", "tests.stand_in_models:generator", "--targets", "swa_Latn")
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["a", "b"]
+    assert len(jsonl_below(tmp_path / "t")["target_language=swa_Latn"]) == 2
+
+
+def test_rows_of_equal_file_names_differ(run, tmp_path):  # noqa: F811
+    for folder in ("x", "y"):
+        put_parquet(tmp_path / "in" / folder / "f.parquet", problem=[f"{folder} {i}" for i in range(40)], generated_solution=["s"] * 40)
+    run("sources", "math", "--input", f"{tmp_path}/in/*", "--output", tmp_path / "out", "--samples", 21)
+    assert sum(len(f) for v in jsonl_below(tmp_path / "out").values() for f in v) == 21
+
+
+def test_relative_paths(spark):
+    paths = spark.createDataFrame([("file:/data/my%20root/a/f.parquet",)], "p string")
+    assert paths.select(corpus.relative_path(F.col("p"), "/data/my root/")).first()[0] == "/a/f.parquet"
+    assert paths.select(corpus.relative_path(F.col("p"), "/elsewhere")).first()[0] == "file:/data/my%20root/a/f.parquet"
+
+
+def test_choices_of_equal_seeds_are_independent(spark):
+    rows = spark.range(4000).select(
+        F.lit("en-fr").alias("pair"), F.col("id").alias("row_id"), F.lit("left").alias("sentence1"), F.lit("right").alias("sentence2")
+    )
+    sampled = sampling.bounded_sample(rows, "pair", 1000, 0, 42, ["row_id"], "uniform")
+    swapped = sampling.swap_bitext(sampled, prob=0.5, seed=42)
+    made = formats.format_pt(swapped, TEMPLATES, seed=42)
+    counts = {tuple(r)[:2]: r["count"] for r in made.groupBy("swapped", F.substring("text", 1, 1)).count().collect()}
+    assert sum(counts.values()) == 1000 and len(counts) == 4
+    assert all(190 <= n <= 310 for n in counts.values()), counts  # more than four deviations on either side
+
+
+@pytest.mark.parametrize("swap_first", [True, False])
+def test_swap_is_drawn_at_its_step(spark, swap_first):
+    rows = spark.range(40).select(
+        F.lit("en-fr").alias("pair"), F.col("id").alias("row_id"), F.concat(F.lit("l"), "id").alias("sentence1"), F.lit("r").alias("sentence2")
+    )
+    scores = rows.select("pair", "row_id", F.lit(1.0).alias("comet_score"))
+    steps = [
+        {"name": "SwapBitext", "kargs": {"prob": 0.5, "seed": 3}},
+        {"name": "Sampling", "kargs": {"max_num_samples": 1000, "min_num_samples": 400, "seed": 3}},
+    ]
+    out, _ = plan.run_bitext(rows, scores, steps if swap_first else steps[::-1], task="pt", templates=["{source_content}"])
+    ways = out.groupBy("row_id").agg(F.count("*").alias("n"), F.countDistinct("text").alias("ways")).collect()
+    assert sum(r.n for r in ways) == 400
+    assert all(r.ways == 1 for r in ways) if swap_first else sum(r.ways == 2 for r in ways) > 30
+
+
+def test_languages_without_rows_fail(spark):
+    from corpusmill.plans.extended import repeated_languages
+
+    rows = spark.createDataFrame([("twi_Latn", "s", 0, "t")], "lang string, split string, ord long, text string")
+    assert repeated_languages(rows, ["twi_Latn"], 2).count() == 2
+    with pytest.raises(ValueError, match="xx_Latn"):
+        repeated_languages(rows, ["twi_Latn", "xx_Latn"], 2)
+
+
+def test_odd_shards_end_at_the_last(spark):
+    names = spark.createDataFrame([(f"shard-{i:05d}.jsonl.gz",) for i in (1, 2, 239, 241)] + [("other",)], "n string")
+    assert [r.n for r in names.where(corpus.odd_shard("n")).collect()] == ["shard-00001.jsonl.gz", "shard-00239.jsonl.gz"]
+
+
+def test_missing_pairs_are_all_listed(spark):
+    rows = spark.range(1500).select(F.concat(F.lit("p"), "id").alias("pair"), F.lit(0).alias("row_id"))
+    assert joins.missing_scores(rows, rows.limit(0)).count() == 1500
