@@ -21,6 +21,7 @@ from ..functions import rand
 from .lookup import attach, small_table
 
 HASH_DIGITS = 3  # 4096 buckets per group
+BUCKET_ROWS = 16_384
 BLOCK_BITS = 16  # 65 536 positions per block
 MAX_RANGES = 500
 GROUP = "_all"
@@ -48,6 +49,14 @@ def hash_order(seed: int, *ids: str, digits: int = HASH_DIGITS) -> Order:
     return Order((key, *map(F.col, ids)), (rand.leading_digits(key, digits),))
 
 
+def digits_for(n_rows: int) -> int:
+    """Leading digits that cut so many rows into buckets of about BUCKET_ROWS at most."""
+    digits = HASH_DIGITS
+    while 16**digits * BUCKET_ROWS < n_rows and digits < 8:
+        digits += 1
+    return digits
+
+
 def source_order(ord_col: str, *leading: str) -> Order:
     """The order of the files: `leading` columns first, then a bigint position."""
     pos = F.col(ord_col)

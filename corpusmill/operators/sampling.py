@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import rand
 from ..functions.text import is_nonempty, math_record
-from .prefix import Order, hash_order, prefix_cut, running_sum, source_order
+from .prefix import digits_for, hash_order, Order, prefix_cut, running_sum, source_order
 
 
 def take(df: DataFrame, n: int, by: Sequence[str] = (), order: Order | None = None) -> DataFrame:
@@ -69,8 +69,11 @@ def shuffle_order(df: DataFrame, seed: int = 42, key: Sequence[str] = ("ord",))
 def shuffle_position(
     df: DataFrame, seed: int = 42, key: Sequence[str] = ("ord",), name: str = "position"
 ) -> DataFrame:
-    """The place of each row in the order of `shuffle_order`, from 0."""
-    return running_sum(df, [], hash_order(seed, *key), F.lit(1), name)
+    """The place of each row in the order of `shuffle_order`, from 0.
+
+    Buckets are as small for many rows as for few.
+    """
+    return running_sum(df, [], hash_order(seed, *key, digits=digits_for(df.count())), F.lit(1), name)
 
 
 def repeat_epochs(

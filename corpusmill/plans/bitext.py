@@ -42,6 +42,7 @@ class _State:
     uncounted: list[tuple[int, str, Column]] = field(default_factory=list)
     counts: list[DataFrame] = field(default_factory=list)
     n_swaps: int = 0
+    of_text: list[Column] = field(default_factory=list)
 
     def done(self, name: str) -> None:
         self.uncounted.append((self.number, name, self.keep))
@@ -68,6 +69,7 @@ class _State:
 
 def _by_length(state: _State, min_char: int = 0, max_char: int = 10**9) -> None:
     inside = F.col("len1").between(min_char, max_char) & F.col("len2").between(min_char, max_char)
+    state.of_text += [F.length(c).between(min_char, max_char) for c in ("sentence1", "sentence2")]
     state.narrow_to(F.coalesce(inside, F.lit(False)))
     state.done("FilterbyLength")
 
@@ -153,7 +155,9 @@ def run_bitext(
     stats = stats.groupBy("pair", "step_no", "step").agg(F.sum("n_rows").alias("n_rows"))
 
     kept = state.rows.where(state.keep).select("pair", "row_id", "copy", "swapped")
-    rows = _swapped(bitext.join(kept, ["pair", "row_id"]))
+    # what the text itself tells is applied before texts are shuffled
+    long_enough = reduce(Column.__and__, state.of_text, ~blank)
+    rows = _swapped(bitext.where(long_enough).join(kept, ["pair", "row_id"]))
     make = format_pt if task == "pt" else format_sft
     key = ("pair", "row_id", "copy")
     return make(rows, templates, seed, key, names=names, compat_labels=compat_labels), stats

@@ -633,14 +633,15 @@ def mixture_totals(spark, sf):
 
 
 @query(f"""
-SELECT pair, row_id, unnest(generate_series(0, CASE WHEN n <= 100 AND n < 40 // 2 THEN 40 // n ELSE 1 END - 1))::BIGINT AS copy
+SELECT pair, row_id, unnest(generate_series(0, CASE WHEN n <= 100 AND n < 40 // 2 THEN 40 // n ELSE 1 END - 1))::BIGINT AS copy,
+       md5(sentence1) AS sentence1_md5
 FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY {sql_key(42, 'pair', 'row_id')}, row_id) AS r,
              count(*) OVER (PARTITION BY pair) AS n FROM ({BITEXT}))
 WHERE n <= 100 OR r <= 100
 """)
 def bounded_sample(spark, sf):
-    rows = bitext(spark, sf).select("pair", "row_id")
-    return sampling.bounded_sample(rows, max_n=100, min_n=40)
+    rows = bitext(spark, sf).select("pair", "row_id", "sentence1")
+    return sampling.bounded_sample(rows, max_n=100, min_n=40).select("pair", "row_id", "copy", md5_of("sentence1"))
 
 
 @query(f"""
@@ -732,10 +733,10 @@ def web_recipe(spark, sf):
     return recipes.web_sample(gaps(spark, sf), 50_000).select("ord", md5_of("text"))
 
 
-@query(f"SELECT doc_id, (row_number() OVER (ORDER BY {sql_key(42, 'doc_id')}, doc_id) - 1)::BIGINT AS position FROM documents")
+@query(f"SELECT doc_id, (row_number() OVER (ORDER BY {sql_key(42, 'doc_id')}, doc_id) - 1)::BIGINT AS position, md5(text) AS text_md5 FROM documents")
 def shuffle_order(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id")
-    return sampling.shuffle_position(rows, key=("doc_id",)).select("doc_id", "position")
+    rows = table(spark, sf, "documents").select("doc_id", "text")
+    return sampling.shuffle_position(rows, key=("doc_id",)).select("doc_id", "position", md5_of("text"))
 
 
 @query(f"""
@@ -749,11 +750,26 @@ def swap_bitext(spark, sf):
 
 
 @query("""
-SELECT lang, doc_id, ((row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 25 + 1)::BIGINT AS part_id FROM documents
+SELECT lang, doc_id, ((row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 25 + 1)::BIGINT AS part_id, md5(text) AS text_md5 FROM documents
 """)
 def part_assign(spark, sf):
-    rows = table(spark, sf, "documents").select("lang", "doc_id")
-    return sampling.assign_parts(rows, 25, prefix.source_order("doc_id"), ["lang"]).select("lang", "doc_id", "part_id")
+    rows = table(spark, sf, "documents").select("lang", "doc_id", "text")
+    numbered = sampling.assign_parts(rows, 25, prefix.source_order("doc_id"), ["lang"])
+    return numbered.select("lang", "doc_id", "part_id", md5_of("text"))
+
+
+@query(f"SELECT pair, row_id, md5(sentence1) AS sentence1_md5, comet_score FROM ({SCORED})")
+def scored_shards(spark, sf):
+    # shards of the bitext, their scores checked against the manifest, and joined with the bitext
+    rows = bitext(spark, sf)
+    sharded, manifest = shards.assign_shards(
+        rows.withColumnRenamed("pair", "source"), 20_000, shards.row_bytes(["sentence1", "sentence2"]), block_rows=8
+    )
+    scored = sharded.select(
+        F.col("source").alias("pair"), F.col("shard").alias("index"), "row_id", rand.uniform(7, "row_id").alias("comet_score")
+    )
+    whole = bitext_source.complete_shards(scored, manifest.withColumnRenamed("source", "pair")).drop("index")
+    return joins.join_scores(rows, whole).select("pair", "row_id", md5_of("sentence1"), "comet_score")
 
 
 @query("""
