@@ -57,8 +57,8 @@ class Lattice:
     """All segmentations of a word into weighted pieces.
 
     A word is spelt with a mark before it, as the vocabulary's pieces are, and ends with a piece
-    of its own, so the probabilities of all words add up to one at most. A character is also
-    spelt with its bytes.
+    of its own, so the probabilities of all words add up to one at most. A character that is no
+    piece is spelt with its bytes.
     """
 
     def __init__(self, weights: Weights) -> None:
@@ -71,55 +71,91 @@ class Lattice:
                 for k in range(1, len(piece)):
                     self.tree.setdefault(piece[:k], None)
                 self.tree[piece] = weight
+        self.shares = {p: 0.0 if w is None else math.exp(w) for p, w in self.tree.items()}
 
-    def edges(self, spelt: str) -> list[list[tuple[int, float, str]]]:
-        """For each place the edges (begin, log weight, piece) that end there; '' for bytes."""
+    def _spelt_out(self, char: str) -> float:
+        return sum([self.bytes[b] for b in char.encode()])
+
+    def forward(self, spelt: str) -> list[float]:
+        """Log-probability of each prefix, summed over its segmentations."""
         tree, n = self.tree, len(spelt)
-        into: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            char = spelt[i]
-            into[i + 1].append((i, sum([self.bytes[b] for b in char.encode()]), ""))
+        into: list[list[float]] = [[] for _ in range(n + 1)]
+        into[0].append(0.0)
+        reached = []
+        for i in range(n + 1):
+            here = _log_sum(into[i])
+            reached.append(here)
+            if i < n and tree.get(spelt[i]) is None:
+                into[i + 1].append(here + self._spelt_out(spelt[i]))
             for j in range(i + 1, n + 1):
-                piece = spelt[i:j]
-                weight = tree.get(piece, 0.0)
+                weight = tree.get(spelt[i:j], 0.0)
                 if weight == 0.0:
                     break
                 if weight is not None:
-                    into[j].append((i, weight, piece))
-        return into
-
-    def forward(self, into: list[list[tuple[int, float, str]]]) -> list[float]:
-        """Log-probability of each prefix, summed over its segmentations."""
-        reached = [0.0]
-        for edges in into[1:]:
-            reached.append(_log_sum([reached[i] + weight for i, weight, _ in edges]))
+                    into[j].append(here + weight)
         return reached
 
     def log_probability(self, word: str) -> float:
         """Natural logarithm of the sum over all segmentations of the word."""
-        return self.forward(self.edges(WORD_BEGIN + word))[-1] + self.end
-
-    def expect(self, word: str, weight: float, into: Counter[str]) -> None:
-        """Adds how often each piece is expected in the word, given the word."""
-        spelt = WORD_BEGIN + word
-        edges = self.edges(spelt)
-        reached = self.forward(edges)
-        total = reached[-1]
-        left: list[float] = [-math.inf] * len(reached)
-        left[-1] = 0.0
-        for j in range(len(spelt), 0, -1):
-            if left[j] == -math.inf:
-                continue
-            for i, w, piece in edges[j]:
-                after = left[j] + w
-                share = weight * math.exp(reached[i] + after - total)
-                if piece:
-                    into[piece] += share
-                else:
-                    for b in spelt[i].encode():
-                        into[f"<0x{b:02X}>"] += share
-                left[i] = after if left[i] == -math.inf else _log_sum([left[i], after])
-        into[WORD_END] += weight
+        return self.forward(WORD_BEGIN + word)[-1] + self.end
+
+    def expect(self, word: str, into: Counter[str]) -> None:
+        """Adds how often each piece is expected in the word, given the word.
+
+        Sums of probabilities in both directions; a word too improbable for them goes by logarithms.
+        """
+        spelt, shares = WORD_BEGIN + word, self.shares
+        n = len(spelt)
+        edges: list[tuple[int, int, float, str]] = []
+        ahead = [0.0] * (n + 1)
+        ahead[0] = 1.0
+        for i in range(n):
+            here = ahead[i]
+            if not shares.get(spelt[i]):
+                p = math.exp(self._spelt_out(spelt[i]))
+                edges.append((i, i + 1, p, ""))
+                ahead[i + 1] += here * p
+            for j in range(i + 1, n + 1):
+                piece = spelt[i:j]
+                p = shares.get(piece)
+                if p is None:
+                    break
+                if p:
+                    edges.append((i, j, p, piece))
+                    ahead[j] += here * p
+        if ahead[n] < 1e-250:
+            self._expect_long(spelt, into)
+            return
+        behind = [0.0] * (n + 1)
+        behind[n] = 1.0 / ahead[n]
+        for i, j, p, piece in reversed(edges):
+            b = behind[j] * p
+            behind[i] += b
+            if piece:
+                into[piece] += ahead[i] * b
+            else:
+                for byte in spelt[i].encode():
+                    into[f"<0x{byte:02X}>"] += ahead[i] * b
+        into[WORD_END] += 1
+
+    def _expect_long(self, spelt: str, into: Counter[str]) -> None:
+        """As `expect` in logarithms, for words whose probability is too small for a number."""
+        reached, n = self.forward(spelt), len(spelt)
+        left = [-math.inf] * n + [-reached[-1]]
+        for i in range(n - 1, -1, -1):
+            edges = [] if self.tree.get(spelt[i]) is not None else [(i + 1, self._spelt_out(spelt[i]), "")]
+            for j in range(i + 1, n + 1):
+                weight = self.tree.get(spelt[i:j], 0.0)
+                if weight == 0.0:
+                    break
+                if weight is not None:
+                    edges.append((j, weight, spelt[i:j]))
+            left[i] = _log_sum([left[j] + w for j, w, _ in edges])
+            for j, w, piece in edges:
+                share = math.exp(reached[i] + w + left[j])
+                for own in [piece] if piece else [f"<0x{b:02X}>" for b in spelt[i].encode()]:
+                    into[own] += share
+        into[WORD_END] += 1
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -177,7 +213,7 @@ def fitted(weights: Weights, counted: DataFrame, rounds: int = ROUNDS) -> Weight
             lattice, found = Lattice(sent.value), Counter()
             for batch in batches:
                 for word in batch.column("word").to_pylist():
-                    lattice.expect(word, 1.0, found)
+                    lattice.expect(word, found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())], ["piece", "n"]
             )
