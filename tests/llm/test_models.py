@@ -169,7 +169,7 @@ def brute_probability(model, word):
     def rest(i):
         if i == len(spelt):
             return math.exp(model.end)
-        total = math.exp(sum(model.bytes[b] for b in spelt[i].encode())) * rest(i + 1)
+        total = 0 if spelt[i] in weights else math.exp(sum(model.bytes[b] for b in spelt[i].encode())) * rest(i + 1)
         return total + sum(math.exp(weights[spelt[i:j]]) * rest(j) for j in range(i + 1, len(spelt) + 1) if spelt[i:j] in weights)
 
     return rest(0)
@@ -182,11 +182,17 @@ def test_lattice_sums_all_segmentations():
     for word in ("a", "there", "über", "日本x", "abc1"):
         assert math.isclose(model.log_probability(word), math.log(brute_probability(model, word)), rel_tol=1e-9)
         found = Counter()
-        model.expect(word, 2.0, found)
-        assert found[lattice.WORD_END] == 2.0
+        model.expect(word, found)
+        assert found[lattice.WORD_END] == 1
+        slow = Counter()
+        model._expect_long(lattice.WORD_BEGIN + word, slow)
+        assert set(slow) == set(found) and all(math.isclose(slow[p], n, rel_tol=1e-6) for p, n in found.items())
         letters = sum(n * (1 if p.startswith("<0x") else len(p.encode())) for p, n in found.items() if p != lattice.WORD_END)
-        assert math.isclose(letters, 2 * len((lattice.WORD_BEGIN + word).encode()), rel_tol=1e-6)
+        assert math.isclose(letters, len((lattice.WORD_BEGIN + word).encode()), rel_tol=1e-6)
     assert math.isfinite(model.log_probability("z" * 3000))
+    found = Counter()
+    model.expect("z" * 3000, found)
+    assert sum(n * len(p) for p, n in found.items() if p != lattice.WORD_END) > 2999
 
 
 @pytest.mark.parametrize("hot", [0, 10, 10**6])
