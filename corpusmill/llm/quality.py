@@ -74,9 +74,15 @@ def indicators(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def class_prior(labels: DataFrame, label: str) -> float:
-    """The share of positives, estimated from the labels that may be learnt (0.5 without any)."""
+    """The share of positives, estimated from the labels that may be learnt (0.5 without any).
+
+    It is one standard error below what the labels say: with too large a share the unlabelled
+    texts seem to hold no negatives at all, and none are learnt.
+    """
     row = labels.where(f"{label} in (0, 1)").agg(F.count("*").alias("n"), F.sum(label).alias("ones")).first()
-    return (row["ones"] + 1) / (row["n"] + 2) if row["n"] else 0.5
+    n = row["n"] + 2
+    share = ((row["ones"] or 0) + 1) / n
+    return max(share - math.sqrt(share * (1 - share) / n), 0.01) if row["n"] else 0.5
 
 
 def fit(rows: DataFrame, edges: np.ndarray, prior: float, steps: int = STEPS) -> np.ndarray:
@@ -153,7 +159,9 @@ def train(
     Trusted positives are at most about `positive_rows` documents whose `quality` label is 1 and
     may be learnt; all texts together are the unlabelled ones.
     """
-    usable = labels.where(~held_out("doc_id", modulus, remainder))
+    usable = labels.where(~held_out("doc_id", modulus, remainder)).join(
+        docs.select("doc_id").distinct(), "doc_id", "left_semi"  # the share among these very documents
+    )
     prior = class_prior(usable, "quality")
     chosen = labelled(
         docs.select("doc_id", F.lit("").alias("text")), usable, "quality", int(positive_rows / max(prior, 0.01))
