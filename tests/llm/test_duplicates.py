@@ -142,6 +142,28 @@ def test_repeated_passages_cover_all_exact_repetitions(make_docs):
     assert all(max(sources) < i for i, spans in found.items() for _, _, sources in spans)
 
 
+def test_passages_that_open_with_a_shorter_common_one(make_docs):
+    rng = random.Random(15)
+    texts, pairs = [], []
+    for i in range(30):
+        common, more = prose(rng, 44), prose(rng, 7 + i % 10)
+        texts += [f"{prose(rng, 20)} {common} {prose(rng, 20)}" for _ in range(3)]
+        texts += [f"{prose(rng, 20)} {common} {more} {prose(rng, 20)}" for _ in range(2)]
+        pairs.append((len(texts) - 1, len(texts) - 2, 51 + i % 10))
+    got = {r["doc_id"]: r for r in ps.repeated_passages(make_docs(texts)).collect()}
+    assert [p for p in pairs if p[0] not in got] == []
+    for doc, source, n in pairs:
+        assert got[doc]["source_ids"] == [source] and got[doc]["start_word"] == 20 and got[doc]["n_words"] >= n
+
+
+def test_a_passage_that_stands_twice_in_a_text_is_found_twice(make_docs):
+    rng = random.Random(16)
+    passage = prose(rng, 60)
+    docs = make_docs([passage, f"{passage} {prose(rng, 30)} {passage}"]).repartition(1)
+    rows = ps.repeated_passages(docs.where("doc_id = 0").union(docs.where("doc_id = 1"))).collect()
+    assert sorted((r["start_word"], r["end_word"]) for r in rows) == [(0, 60), (90, 150)]
+
+
 def test_inexact_passages_are_found(make_docs):
     rng = random.Random(6)
     misses = 0
