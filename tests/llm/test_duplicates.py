@@ -142,6 +142,12 @@ def test_repeated_passages_cover_all_exact_repetitions(make_docs):
     assert all(max(sources) < i for i, spans in found.items() for _, _, sources in spans)
 
 
+def test_windows_of_four_hash_functions_with_wide_contexts(make_docs):
+    rows = ps.compact_windows(make_docs([prose(random.Random(17), 400)])).collect()
+    assert {r["value"] & 3 for r in rows} == {0, 1, 2, 3}
+    assert sum(abs(r["context"]) >> 32 > 0 for r in rows) == len({r["context"] for r in rows}) == len(rows)
+
+
 def test_passages_that_open_with_a_shorter_common_one(make_docs):
     rng = random.Random(15)
     texts, pairs = [], []
