@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates; a null id is kept."""
-    copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    copies = near_duplicates(docs, threshold=80).where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,18 @@ _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
 _FINE_SEEDS = mix(np.arange(1001, FINE + 1001, dtype=np.uint64)) | np.uint64(1)
 
 
+def fewer(coordinates: int, threshold: int, least: int) -> float:
+    """The chance that a pair at `threshold` agrees in fewer than `least` coordinates."""
+    p = threshold / 100
+    return sum(math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k) for k in range(least))
+
+
+def as_sure(coordinates: int, least: int, threshold: int) -> int:
+    """What is as sure at `threshold` as `least` coordinates are at THRESHOLD."""
+    chance = fewer(coordinates, THRESHOLD, least)
+    return max(m for m in range(1, coordinates + 1) if m == 1 or fewer(coordinates, threshold, m) <= chance)
+
+
 def set_key(own: np.ndarray) -> tuple[int, int]:
     """128 bits that tell sets of shingles apart."""
     with np.errstate(over="ignore"):
@@ -250,7 +263,7 @@ def _alike(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_MATCHES) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of `docs`.
 
     Documents are linked when 100 * |A & B| >= threshold * |A | B| for their sets of 5-word
@@ -258,9 +271,12 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int = LE
     form a class, and only classes are compared. First each class is compared with the heads
     of its posting lists, which connects groups of copies by few pairs; then all pairs of a
     list that are not connected by then are counted, so no link between components is lost.
+    How many coordinates must agree follows from `threshold`, unless `least` is given.
     Null or empty texts have no shingles and stay alone; rows that repeat an id are documents
     of their own; a null id is never linked and kept.
     """
+    least = as_sure(COORDINATES, LEAST_MATCHES, threshold) if least is None else least
+    fine = as_sure(FINE, LEAST_FINE, threshold)
     rows = materialize(signatures(docs))
     named = rows.where("n_shingles > 0 and doc_id is not null")
     keys = ["key1", "key2", "n_shingles"]
@@ -269,9 +285,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int = LE
     ))
     postings = materialize(prefix_postings(classes, least))
     full = materialize(full_sets(docs, postings))
-    first = materialize(confirmed(head_pairs(postings), full, threshold))
+    first = materialize(confirmed(head_pairs(postings), full, threshold, fine))
     so_far = materialize(components(first))
-    rest = confirmed(materialize(crossing_pairs(postings, full, so_far)), full, threshold)
+    rest = confirmed(materialize(crossing_pairs(postings, full, so_far, fine)), full, threshold, fine)
     labels = components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
     of_class = classes.select(*keys, "node").join(labels, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from corpusmill.llm import fingerprints as fp, hashing, passages as ps
+from corpusmill.llm import near_dedup as nd
 from corpusmill.llm.near_dedup import near_duplicates
 from corpusmill.llm.tables import components
 
@@ -80,6 +81,22 @@ def test_near_duplicates_equal_brute_force(spark, make_docs):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_links_between_80_and_85_are_all_found(make_docs):
+    rng = random.Random(18)
+    texts, linked = [], []
+    for _ in range(60):
+        text = prose(rng, 204).split()
+        other = list(text)
+        for place in (20, 70, 120, 170):  # 20 of 200 shingles: 180 / 220
+            other[place] = "changed"
+        linked.append((len(texts), len(texts) + 1))
+        texts += [" ".join(text), " ".join(other)]
+    assert all(0.8 <= len(sets(texts[a]) & sets(texts[b])) / len(sets(texts[a]) | sets(texts[b])) < 0.85 for a, b in linked)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(make_docs(texts), threshold=80).collect()}
+    assert [(a, b) for a, b in linked if got[b] != a] == []
+    assert (nd.as_sure(64, 40, 85), nd.as_sure(512, 400, 85)) == (40, 400)
+
+
 def test_near_duplicates_odd_rows(make_docs):
     text = "a b c d e f g"
     rows = near_duplicates(make_docs([text, text, text, "", None], [None, 5, 5, None, 7])).collect()

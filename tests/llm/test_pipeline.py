@@ -81,3 +81,10 @@ def test_pipeline_of_empty_tables(spark, make_docs, make_labels, tmp_path):
     make_docs([]).drop("cuts", "own").write.parquet(f"{tmp_path}/documents.parquet")
     make_labels([]).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_stage_links_from_80(spark, make_docs):
+    text = prose(random.Random(19), 204).split()
+    other = ["changed" if i in (20, 70, 120, 170) else w for i, w in enumerate(text)]  # 180 of 220 shingles
+    docs = make_docs([" ".join(text), " ".join(other), prose(random.Random(20), 80)])
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {0, 2}
