@@ -11,6 +11,7 @@ from .byte_bpe import byte_tokens
 from .extraction import main_texts
 from .fingerprints import fingerprints
 from .lattice import score_texts
+from .lexical import RANKED_SQL, ranked_documents
 from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
@@ -63,6 +64,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
@@ -74,8 +79,10 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 SQL: dict[str, str] = {
     "op1_top_k": TOP_K_SQL,
+    "op12_ranked_search": RANKED_SQL,
 }
