@@ -16,6 +16,7 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .passages import repeated_passages
 from .quality import quality
+from .spelling import spelling_variants
 from .tables import table
 from .toxicity import toxicity
 from .topk import TOP_K_SQL, similar_vectors
@@ -68,6 +69,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), damage=True)
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_near_dedup": op2_near_dedup,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
     "op12_ranked_search": op12_ranked_search,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
