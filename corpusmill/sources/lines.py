@@ -8,7 +8,47 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.layout import path_lang
 from ..operators.lookup import attach, small_table
-from ..session import stored
+
+SPLIT = ["_path", "_start", "_length"]
+
+
+def pinned_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of `spark` whose scans cut files at the same places whenever they run.
+
+    How Spark cuts files follows from the size of the cluster at that moment, unless the least
+    number of partitions is given. A scan keeps the settings of the session that made it.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    if own.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        own.conf.set("spark.sql.files.minPartitionNum", str(max(spark.sparkContext.defaultParallelism, 1)))
+    return own
+
+
+def split_lines(
+    spark: SparkSession, paths: str | Sequence[str], line_sep: str | None = None, only: Column | None = None,
+) -> DataFrame:
+    """(value, _path, _start, _length, _id): the lines of text files, the byte range each was read with, an id.
+
+    Files and ranges are listed once and are the same in every job over the result. Ids grow by
+    one from line to line of a range. `only`, a filter for files, is an expression over `_path`;
+    other files are not opened.
+    """
+    reader = pinned_session(spark).read
+    reader = reader.option("lineSep", line_sep) if line_sep else reader
+    files = reader.text([paths] if isinstance(paths, str) else list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.col("_metadata.file_block_length").alias("_length"),
+    )
+    if only is not None:
+        files = files.where(only)
+    lines = files.withColumn("_id", F.monotonically_increasing_id())
+    # a union with nothing belongs to the caller's session, whose settings hold for all that follows the scan
+    return spark.createDataFrame([], lines.schema).where(F.lit(False)).union(lines)
 
 
 def read_lines(
@@ -22,35 +62,21 @@ def read_lines(
     `group` and `only`, a filter for files, are expressions over the column `_path`. So is
     `over`, a larger group: with it there is a second number, `ord`, that runs over it.
 
-    Spark hands out a file in splits and knows where each begins, so the number of a line
-    is the lines of earlier splits plus its place in its own split. How a file is split
-    depends on the cluster at that moment, so the files are read once: lines are written to
-    the shared folder with their split and place, and everything is numbered from there.
-    The counts per split are a small table; the lines themselves are neither shuffled nor
-    sorted. A line whose split or place is unknown fails the job.
+    The number of a line is the lines of earlier byte ranges plus its place in its own range.
+    One job counts the lines of every range; the table that is returned reads the files a
+    second time, with exactly those ranges. Lines are neither copied, shuffled nor sorted. A
+    line whose range or place is unknown fails the job.
     """
-    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
-    paths = [paths] if isinstance(paths, str) else list(paths)
     group = group if group is not None else path_lang(F.col("_path"))
-    files = reader.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-    )
-    if only is not None:
-        files = files.where(only)
-    # the id grows by one from line to line within a task, so also within a split
-    lines = stored(files.withColumn("_id", F.monotonically_increasing_id())).withColumn(name, group)
-    splits = lines.groupBy(name, "_path", "_start").agg(
-        F.count("*").alias("_n"), F.min("_id").alias("_first")
-    )
-    offsets = splits.withColumn("_line", _lines_before(F.col(name)))
+    lines = split_lines(spark, paths, line_sep, only)
+    counted = lines.groupBy(*SPLIT).agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).withColumn(name, group)
+    offsets = counted.withColumn("_line", _lines_before(F.col(name)))
     numbers = {"line": "_line"}
     if over is not None:
         offsets = offsets.withColumn("_ord", _lines_before(over))
         numbers["ord"] = "_ord"
     offsets, fits = small_table(offsets)
-    numbered = attach(lines, offsets, [name, "_path", "_start"], fits, "left")
+    numbered = attach(lines, offsets, SPLIT, fits, "left")
     place = F.col("_id") - F.col("_first")
     place = F.when(place.between(0, F.col("_n") - 1), place).otherwise(
         F.raise_error(F.concat(F.lit("a line without a number in "), F.col("_path"))).cast("bigint")
