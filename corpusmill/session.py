@@ -58,10 +58,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}.{kind}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """`df` written as Parquet to the shared checkpoint folder and read from there."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}.parquet"
+    path = shared_path(df.sparkSession, "parquet")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

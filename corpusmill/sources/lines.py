@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -12,18 +13,29 @@ from ..operators.lookup import attach, small_table
 SPLIT = ["_path", "_start", "_length"]
 
 
-def pinned_session(spark: SparkSession) -> SparkSession:
-    """A session with the settings of `spark` whose scans cut files at the same places whenever they run.
+def _bytes(setting: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << (10 * " kmgtp".index(unit or " "))
 
-    How Spark cuts files follows from the size of the cluster at that moment, unless the least
-    number of partitions is given. A scan keeps the settings of the session that made it.
+
+def pinned_session(spark: SparkSession, paths: Sequence[str]) -> SparkSession:
+    """A session with the settings of `spark` whose scans of these files always cut them at the same places.
+
+    How Spark cuts files follows from the size of the cluster at that moment and from the sum of
+    the files that a plan reads. Here the length of a range is settled once, as Spark would
+    choose it now for all files, and neither counts any more. A scan keeps the settings of the
+    session that made it.
     """
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             own.conf.set(key, value)
-    if own.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        own.conf.set("spark.sql.files.minPartitionNum", str(max(spark.sparkContext.defaultParallelism, 1)))
+    total = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    most, least = (_bytes(spark.conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes"))
+    share = total // max(spark.sparkContext.defaultParallelism, 1) + 1
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(min(most, max(least, share))))
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.unset("spark.sql.files.maxPartitionNum")
     return own
 
 
@@ -36,9 +48,10 @@ def split_lines(
     one from line to line of a range. `only`, a filter for files, is an expression over `_path`;
     other files are not opened.
     """
-    reader = pinned_session(spark).read
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = pinned_session(spark, paths).read
     reader = reader.option("lineSep", line_sep) if line_sep else reader
-    files = reader.text([paths] if isinstance(paths, str) else list(paths)).select(
+    files = reader.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
