@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_path
+
 from .byte_bpe import byte_tokens
 from .extraction import main_texts
 from .fingerprints import fingerprints
@@ -20,6 +22,7 @@ from .spelling import spelling_variants
 from .tables import table
 from .toxicity import toxicity
 from .topk import TOP_K_SQL, similar_vectors
+from .warc import ARCHIVED_SQL, archived_pages, records, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +68,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    write_warc(records(table(spark, sf_dir, "pages")), path)
+    return archived_pages(spark, path)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,11 +93,13 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_warc": op11_warc,
     "op12_ranked_search": op12_ranked_search,
     "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
     "op1_top_k": TOP_K_SQL,
+    "op11_warc": ARCHIVED_SQL,
     "op12_ranked_search": RANKED_SQL,
 }
