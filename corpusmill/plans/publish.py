@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.filters import select_langs
 from ..operators.joins import missing_splits
@@ -24,6 +24,7 @@ KINDS = [
     ("passages", ".txt", "wura"),
     ("json_lines", ".jsonl", "ml400"),
     ("json_lines_gz", ".jsonl.gz", "ml400"),
+    ("json_lines_chunks", ".jsonl.gz", "_clean_"),
     ("extra", ".jsonl", "extra"),
 ]
 KIND_BITS = 48
@@ -39,10 +40,15 @@ def file_kind(path: Column) -> Column:
     return out
 
 
-def _read(spark: SparkSession, kind: str, glob: str) -> DataFrame:
+def _whole(path: Column) -> Column:
+    """The file that a path is a part of: chunks as published, `<lang>_clean_<number>`, make up one `ml400` file."""
+    return F.regexp_replace(path, r"_clean_\d+(?=\.[^/]*$)", "_ml400")
+
+
+def _read(spark: SparkSession, kind: str, glob: str, seen: Observation | None) -> DataFrame:
     """All files of one kind, normalised, with `split`, `ord` and the `_path` of each row."""
     path = F.col("_path")
-    lang, split = path_lang(path), infer_split(path_lang(path), path_stem(path))
+    lang, split = path_lang(path), infer_split(path_lang(path), path_stem(_whole(path)))
     keep = ("_path", "split", "ord")
     if kind == "web":
         files = spark.read.option("mergeSchema", True).parquet(glob).withColumns({
@@ -51,30 +57,35 @@ def _read(spark: SparkSession, kind: str, glob: str) -> DataFrame:
         placed = with_positions(files.withColumns({"_lang": lang, "split": split}), ("_lang", "split"))
         return normalize_web(placed, "_lang", keep=keep)
     lines = read_lines(
-        spark, glob, path, name="_file", only=file_kind(path) == kind, over=F.concat_ws("/", lang, split)
+        spark, glob, _whole(path), name="_file", only=file_kind(path) == kind, over=F.concat_ws("/", lang, split)
     )
     lines = lines.withColumnRenamed("_file", "_path").withColumns({"lang": lang, "split": split})
     if kind == "documents":
-        return normalize_documents(parse_json_lines(lines, ["text"]), keep=keep)
+        return normalize_documents(parse_json_lines(lines, ["text"], seen=seen), keep=keep)
     if kind == "passages":
         return normalize_passages(lines, keep=keep)
     if kind.startswith("json_lines"):
-        return normalize_json_lines(lines, keep=keep)
-    return normalize_extra(lines, keep=keep)
+        return normalize_json_lines(lines, keep=keep, seen=seen)
+    return normalize_extra(lines, keep=keep, seen=seen)
 
 
 def normalize_folder(
-    spark: SparkSession, root: str, languages: Sequence[str] | None = None
+    spark: SparkSession, root: str, languages: Sequence[str] | None = None,
+    seen: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """(lang, split, ord, text, meta, dataset_origin) of the files `<root>/<lang>/<name>`.
 
     A file of an unknown kind is not read. All languages are read at once, a kind at a time.
+    `seen` gets, for each kind of JSON lines, what the next job counts: `lines` and `skipped`.
     """
     listed = spark.read.format("binaryFile").load(f"{root}/*/*")
     kinds = {r[0] for r in listed.select(file_kind(F.col("path"))).distinct().limit(len(KINDS) + 1).collect()}
+    counted = [k for k, *_ in KINDS if k in kinds and k not in ("web", "passages")] if seen is not None else []
+    if seen is not None:
+        seen.update({k: Observation(f"normalize {k}") for k in counted})
     parts = [
         # files of two kinds may belong to one split: the second kind follows the first
-        _read(spark, kind, f"{root}/*/*{part}*{extension}").withColumn("ord", F.col("ord") + (i << KIND_BITS))
+        _read(spark, kind, f"{root}/*/*{part}*{extension}", seen[kind] if kind in counted else None).withColumn("ord", F.col("ord") + (i << KIND_BITS))
         for i, (kind, extension, part) in enumerate(KINDS) if kind in kinds
     ]
     if not parts:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.filters import allow_pairs
 from ..operators.formats import TASK_TEMPLATES
@@ -44,13 +44,23 @@ def mixture_run(
 def normalize_run(
     spark: SparkSession, source: str, root: str, languages: Sequence[str] | None = None
 ) -> None:
-    """Raw source folders to a corpus by language and split."""
-    writers.write_corpus(publish.normalize_folder(spark, source, languages), root)
+    """Raw source folders to a corpus by language and split; tells which lines were no JSON objects."""
+    seen: dict[str, Observation] = {}
+    writers.write_corpus(publish.normalize_folder(spark, source, languages, seen), root)
+    for kind, counts in seen.items():
+        got = counts.get
+        if got.get("skipped"):
+            print(f"{kind}: skipped {got['skipped']} of {got['lines']} lines")
 
 
 def align_run(spark: SparkSession, source: str, output: str) -> None:
-    """Line-aligned files to bitext by pair; pairs that are there already are left alone."""
-    writers.write_pairs(bitext_source.read_moses(spark, source), output)
+    """Line-aligned files to bitext by pair; pairs that are there already are left alone. Tells which cannot be aligned."""
+
+    def report(rejected: DataFrame) -> None:
+        for r in rejected.orderBy("pair").toLocalIterator():
+            print(f"left out {r.pair}: {r.n_src} and {r.n_tgt} lines, {r.n_scores} scores, {r.n_numbers} of them numbers")
+
+    writers.write_pairs(bitext_source.read_moses(spark, source, report), output)
 
 
 def split_run(spark: SparkSession, source: str, output: str, target_gb: float = 5.0) -> None:

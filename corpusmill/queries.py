@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from .functions import langs, rand, text as T
 from .functions.text import WHITESPACE, count_tokens
@@ -17,7 +17,9 @@ from .operators import (
     budget, checks, filters, formats, inference, joins, layout, prefix, sampling, scores, shards,
 )
 from .plans import bitext as bitext_plan, extended, mixture, recipes, synthetic
+from .session import shared_path
 from .sources import bitext as bitext_source, corpus as corpus_source, normalize
+from .sources.lines import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,7 +170,23 @@ def norm_web(spark, sf):
     )
 
 
-PASSAGES = "SELECT lang, doc_id AS line, CASE WHEN doc_id % 2 = 0 THEN doc_id || chr(9) || text ELSE text END AS value FROM documents"
+def text_files(spark: SparkSession, rows: DataFrame, by: str, order: str) -> str:
+    """`value` of the rows as lines of text files, a folder `<by>=<value>` each, in the order of a column; gives the root."""
+    root = shared_path(spark, "lines")
+    ordered = rows.repartitionByRange(order).sortWithinPartitions(by, order)
+    ordered.select(by, "value").write.option("lineSep", "\n").partitionBy(by).text(root)
+    return root
+
+
+def folder_value(name: str) -> Column:
+    return F.regexp_extract("_path", f"/{name}=([^/]+)/", 1)
+
+
+ONE_LINE = "replace(replace(text, chr(10), ' '), chr(13), ' ')"
+PASSAGES = f"""
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS line,
+       CASE WHEN doc_id % 2 = 0 THEN doc_id || chr(9) || {ONE_LINE} ELSE {ONE_LINE} END AS value FROM documents
+"""
 
 
 @query(f"""
@@ -178,18 +196,31 @@ SELECT lang, CASE WHEN instr(value, chr(9)) > 0 THEN substr(value, 1, instr(valu
 FROM ({PASSAGES})
 """)
 def norm_passages(spark, sf):
-    rows = table(spark, sf, "documents").select(
-        "lang", F.col("doc_id").alias("line"),
-        F.when(F.col("doc_id") % 2 == 0, F.concat_ws("\t", "doc_id", "text")).otherwise(F.col("text")).alias("value"),
-    )
+    text = F.translate("text", "\n\r", "  ")
+    value = F.when(F.col("doc_id") % 2 == 0, F.concat_ws("\t", "doc_id", text)).otherwise(text)
+    root = text_files(spark, table(spark, sf, "documents").withColumn("value", value), "lang", "doc_id")
+    rows = read_lines(spark, root, folder_value("lang"), line_sep="\n")
     return normalize.normalize_passages(rows).select("lang", F.col("meta.id").alias("id"), md5_of("text"))
 
 
-@query("""
-SELECT lang, 'wura_' || lang || '_' || doc_id AS id, 'wura' AS dataset, md5(text) AS text_md5 FROM documents
+DOC_LINES = "SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS line FROM documents"
+
+
+def json_lines(spark, sf, *fields: str, broken: bool = True) -> DataFrame:
+    """(lang, value, line) of files of documents as JSON lines; every seventh document is cut off and so no JSON."""
+    docs = table(spark, sf, "documents").withColumn("source-category", F.concat("lang", F.lit("-news")))
+    whole = F.to_json(F.struct(*fields))
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 1)
+    bad = (F.col("doc_id") % 7 == 3) & F.lit(broken)
+    root = text_files(spark, docs.withColumn("value", F.when(bad, cut).otherwise(whole)), "lang", "doc_id")
+    return read_lines(spark, root, folder_value("lang"), line_sep="\n")
+
+
+@query(f"""
+SELECT lang, 'wura_' || lang || '_' || line AS id, 'wura' AS dataset, md5(text) AS text_md5 FROM ({DOC_LINES})
 """)
 def norm_documents(spark, sf):
-    rows = table(spark, sf, "documents").withColumn("line", F.col("doc_id"))
+    rows = normalize.parse_json_lines(json_lines(spark, sf, "text", broken=False), ["text"])
     return normalize.normalize_documents(rows).select(
         "lang", F.col("meta.id").alias("id"), F.col("meta.dataset").alias("dataset"), md5_of("text")
     )
@@ -206,30 +237,34 @@ def headline_concat(spark, sf):
     return normalize.build_documents(rows).select("rest.doc_id", "rest.lang", md5_of("text"))
 
 
-def _json_lines(spark, sf, *fields: str) -> DataFrame:
-    """Documents as JSON lines; every seventh is cut off and so no JSON."""
-    docs = table(spark, sf, "documents").withColumn("source-category", F.concat("lang", F.lit("-news")))
-    line = F.to_json(F.struct(*fields))
-    cut = F.substring(line, F.lit(1), F.length(line) - 1)
-    return docs.select(
-        "lang", F.col("doc_id").alias("line"), F.when(F.col("doc_id") % 7 == 3, cut).otherwise(line).alias("value")
-    )
-
-
-@query("""
-SELECT lang, 'madlad400_' || lang || '_' || doc_id AS id, md5(text) AS text_md5 FROM documents WHERE doc_id % 7 <> 3
+@query(f"""
+SELECT lang, 'madlad400_' || lang || '_' || line AS id, md5(text) AS text_md5 FROM ({DOC_LINES}) WHERE doc_id % 7 <> 3
 """)
 def json_lines_skip_bad(spark, sf):
-    rows = normalize.normalize_json_lines(_json_lines(spark, sf, "text"))
+    rows = normalize.normalize_json_lines(json_lines(spark, sf, "text"))
     return rows.select("lang", F.col("meta.id").alias("id"), md5_of("text"))
 
 
 @query("""
-SELECT lang, 'extra_' || lang || '_' || doc_id AS id, source, lang || '-news' AS source_category, md5(text) AS text_md5
-FROM documents WHERE doc_id % 7 <> 3
+SELECT lang, count(*)::BIGINT AS lines, (count(*) FILTER (doc_id % 7 = 3))::BIGINT AS skipped FROM documents GROUP BY lang
+""")
+def json_lines_skipped(spark, sf):
+    lines = json_lines(spark, sf, "text")
+    found = []
+    for r in table(spark, sf, "documents").select("lang").distinct().orderBy("lang").collect():
+        seen = Observation(f"skipped {r.lang}")
+        rows = normalize.parse_json_lines(lines.where(F.col("lang") == r.lang), ["text"], seen=seen)
+        rows.write.format("noop").mode("overwrite").save()
+        found.append((r.lang, seen.get["lines"], seen.get["skipped"]))
+    return spark.createDataFrame(found, "lang string, lines long, skipped long")
+
+
+@query(f"""
+SELECT lang, 'extra_' || lang || '_' || line AS id, source, lang || '-news' AS source_category, md5(text) AS text_md5
+FROM ({DOC_LINES}) WHERE doc_id % 7 <> 3
 """)
 def norm_extra(spark, sf):
-    rows = normalize.normalize_extra(_json_lines(spark, sf, "text", "source", "source-category"))
+    rows = normalize.normalize_extra(json_lines(spark, sf, "text", "source", "source-category"))
     return rows.select(
         "lang", *[F.col(f"meta.{f}").alias(f) for f in ("id", "source", "source_category")], md5_of("text")
     )
@@ -241,22 +276,44 @@ def text_fallback(spark, sf):
     return normalize.text_fallback(rows).select(md5_of("text"))
 
 
+def sql_line(c: str) -> str:
+    return f"replace({c}, chr(10), ' ')"
+
+
 @query(f"""
-SELECT pair, row_id, md5({sql_strip('sentence1')}) AS sentence1_md5, md5({sql_strip('sentence2')}) AS sentence2_md5, comet_score AS score
+SELECT pair, row_number() OVER (PARTITION BY pair ORDER BY row_id) - 1 AS row_id, md5({sql_strip(sql_line('sentence1'))}) AS sentence1_md5,
+       md5({sql_strip(sql_line('sentence2'))}) AS sentence2_md5, comet_score AS score
 FROM ({SCORED}) WHERE pair NOT IN ('es-es', 'de-de')
 """)
 def moses_align(spark, sf):
-    rows = scored(spark, sf)
-    padded = F.concat(F.lit(" "), "sentence1", F.lit("\r"))
-    # one pair lacks a line on one side, one has a score that is no number
-    src = rows.select("pair", F.col("row_id").alias("line"), padded.alias("value"))
-    tgt = rows.select("pair", F.col("row_id").alias("line"), F.col("sentence2").alias("value"))
-    first = rows.groupBy("pair").agg(F.min("row_id").alias("row_id")).where("pair = 'es-es'")
-    tgt = tgt.join(first.withColumnRenamed("row_id", "line"), ["pair", "line"], "left_anti")
-    value = F.when(F.col("pair") == "de-de", F.lit("n/a")).otherwise(F.col("comet_score").cast("string"))
-    lines = rows.select("pair", F.col("row_id").alias("line"), value.alias("value"))
-    out = bitext_source.align_lines(src, tgt, lines)
-    return out.select("pair", "row_id", md5_of("sentence1"), md5_of("sentence2"), "score")
+    return bitext_source.align_lines(*moses_lines(spark, sf)).select(
+        "pair", "row_id", md5_of("sentence1"), md5_of("sentence2"), "score"
+    )
+
+
+def moses_lines(spark, sf) -> list[DataFrame]:
+    """Lines of source, target and score files; one pair lacks a line on one side, one has scores that are no numbers."""
+    rows = scored(spark, sf).withColumn("line", F.col("row_id"))
+    lacking = rows.where("pair = 'es-es'").agg(F.min("row_id")).first()[0]
+    padded = F.concat(F.lit(" "), F.translate("sentence1", "\n", " "), F.lit("\r"))
+    number = F.when(F.col("pair") == "de-de", F.lit("n/a")).otherwise(F.col("comet_score").cast("string"))
+    tables = [
+        rows.withColumn("value", padded),
+        rows.withColumn("value", F.translate("sentence2", "\n", " ")).where((F.col("pair") != "es-es") | (F.col("row_id") != lacking)),
+        rows.withColumn("value", number),
+    ]
+    return [
+        read_lines(spark, text_files(spark, t, "pair", "row_id"), folder_value("pair"), line_sep="\n", name="pair") for t in tables
+    ]
+
+
+@query("""
+SELECT pair, count(*)::BIGINT AS n_src, (count(*) - CASE WHEN pair = 'es-es' THEN 1 ELSE 0 END)::BIGINT AS n_tgt,
+       count(*)::BIGINT AS n_scores, (CASE WHEN pair = 'de-de' THEN 0 ELSE count(*) END)::BIGINT AS n_numbers
+FROM ({bitext}) WHERE pair IN ('es-es', 'de-de') GROUP BY pair
+""".format(bitext=BITEXT))
+def moses_rejected(spark, sf):
+    return bitext_source.pair_sizes(*moses_lines(spark, sf)).where("not aligned").drop("aligned")
 
 
 @query("""

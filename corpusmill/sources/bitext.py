@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
@@ -32,31 +34,42 @@ def read_scores(spark: SparkSession, root: str, score: str = "comet_score") -> D
     return df.select("pair", "row_id", F.col(value[0]).cast("double").alias(score))
 
 
-def align_lines(src: DataFrame, tgt: DataFrame, scores: DataFrame) -> DataFrame:
-    """Bitext from three tables (pair, line, value) which belong together line by line.
+def pair_sizes(src: DataFrame, tgt: DataFrame, scores: DataFrame) -> DataFrame:
+    """(pair, n_src, n_tgt, n_scores, n_numbers, aligned): lines of each table (pair, line, value), scores that are numbers.
 
-    A pair is left out when the numbers of lines differ or a score is not a number.
+    A pair is aligned if all numbers agree.
     """
     number = F.expr("try_cast(value AS double)")
-    scored = scores.select("pair", "line", number.alias("score"))
-    sizes = [
-        df.groupBy("pair").agg(F.count("*").alias(f"n{i}")) for i, df in enumerate((src, tgt))
-    ]
-    sizes.append(scored.groupBy("pair").agg(F.count("*").alias("n2"), F.count("score").alias("n_numbers")))
-    same = (F.col("n0") == F.col("n1")) & (F.col("n1") == F.col("n2")) & (F.col("n2") == F.col("n_numbers"))
-    good, fits = small_table(
-        sizes[0].join(sizes[1], "pair").join(sizes[2], "pair").where(same).select("pair")
-    )
+    one, two = (df.groupBy("pair").agg(F.count("*").alias(n)) for df, n in ((src, "n_src"), (tgt, "n_tgt")))
+    three = scores.groupBy("pair").agg(F.count("*").alias("n_scores"), F.count(number).alias("n_numbers"))
+    sizes = one.join(two, "pair", "full").join(three, "pair", "full").na.fill(0)
+    same = (F.col("n_src") == F.col("n_tgt")) & (F.col("n_tgt") == F.col("n_scores")) & (F.col("n_scores") == F.col("n_numbers"))
+    return sizes.withColumn("aligned", same)
+
+
+def align_lines(
+    src: DataFrame, tgt: DataFrame, scores: DataFrame, report: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """Bitext from three tables (pair, line, value) which belong together line by line.
+
+    A pair is left out when the numbers of lines differ or a score is not a number. `report`
+    gets the `pair_sizes` of those left out.
+    """
+    sizes, fits = small_table(pair_sizes(src, tgt, scores))
+    if report is not None:
+        report(sizes.where("not aligned").drop("aligned"))
+    good = sizes.where("aligned").select("pair")
+    scored = scores.select("pair", "line", F.expr("try_cast(value AS double)").alias("score"))
     first = src.select("pair", "line", strip("value").alias("sentence1"))
     second = tgt.select("pair", "line", strip("value").alias("sentence2"))
-    first = attach(first, good, ["pair"], fits, spread=["line"])
+    first, second, scored = (attach(df, good, ["pair"], fits, spread=["line"]) for df in (first, second, scored))
     return (
         first.join(second, ["pair", "line"]).join(scored, ["pair", "line"])
         .withColumnRenamed("line", "row_id")
     )
 
 
-def read_moses(spark: SparkSession, root: str) -> DataFrame:
+def read_moses(spark: SparkSession, root: str, report: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Bitext from extracted files `*.<src>-<tgt>.<src>`, `*.<src>-<tgt>.<tgt>` and `*.<src>-<tgt>.scores`."""
     parts = F.split(F.element_at(F.split(F.col("_path"), "/"), -1), "\\.")
     pair, kind = F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-1))
@@ -66,7 +79,7 @@ def read_moses(spark: SparkSession, root: str) -> DataFrame:
         read_lines(spark, root, pair, line_sep="\n", name="pair", only=only)
         for only in (kind == F.get(sides, 0), kind == F.get(sides, 1), kind == "scores")
     )
-    return align_lines(first, second, scores)
+    return align_lines(first, second, scores, report)
 
 
 def complete_shards(shards: DataFrame, manifest: DataFrame) -> DataFrame:

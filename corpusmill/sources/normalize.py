@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions.text import or_empty, strip
@@ -83,15 +83,21 @@ def normalize_passages(
     )
 
 
-def parse_json_lines(df: DataFrame, fields: list[str], value: str = "value") -> DataFrame:
+def parse_json_lines(
+    df: DataFrame, fields: list[str], value: str = "value", seen: Observation | None = None
+) -> DataFrame:
     """String fields of JSON objects, '' where missing; lines that are no JSON object are dropped.
 
-    Parsing keeps the rest of the row, so a dropped line still uses up its line number.
+    Parsing keeps the rest of the row, so a dropped line still uses up its line number. `seen`
+    gets the numbers of `lines` and of those `skipped`, from the pass that drops them.
     """
     schema = StructType([StructField(f, StringType()) for f in [*fields, "_bad"]])
     parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": "_bad"})
-    good = df.withColumn("_json", parsed).where(F.col("_json").isNotNull() & F.col("_json._bad").isNull())
-    return good.select(
+    good = F.col("_json").isNotNull() & F.col("_json._bad").isNull()
+    rows = df.withColumn("_json", parsed)
+    if seen is not None:
+        rows = rows.observe(seen, F.count("*").alias("lines"), F.count_if(~good).alias("skipped"))
+    return rows.where(good).select(
         *[c for c in df.columns if c != value],
         *[or_empty(F.col("_json")[f]).alias(f) for f in fields],
     )
@@ -107,10 +113,10 @@ def normalize_documents(
 
 def normalize_json_lines(
     df: DataFrame, dataset: str = "madlad400", lang: str = "lang", value: str = "value",
-    line: str = "line", keep: Sequence[str] = (),
+    line: str = "line", keep: Sequence[str] = (), seen: Observation | None = None,
 ) -> DataFrame:
     """JSON lines with a text."""
-    parsed = parse_json_lines(df, ["text"], value)
+    parsed = parse_json_lines(df, ["text"], value, seen)
     return _with_generated_id(parsed, dataset, lang, "text", line, keep)
 
 
@@ -127,10 +133,10 @@ def _with_generated_id(
 
 def normalize_extra(
     df: DataFrame, lang: str = "lang", value: str = "value", line: str = "line",
-    keep: Sequence[str] = (),
+    keep: Sequence[str] = (), seen: Observation | None = None,
 ) -> DataFrame:
     """JSON lines with a text, a source and a source category."""
-    parsed = parse_json_lines(df, ["text", "source", "source-category"], value)
+    parsed = parse_json_lines(df, ["text", "source", "source-category"], value, seen)
     return parsed.select(
         *keep,
         F.col(lang).alias("lang"),

@@ -156,3 +156,30 @@ def test_odd_shards_end_at_the_last(spark):
 def test_missing_pairs_are_all_listed(spark):
     rows = spark.range(1500).select(F.concat(F.lit("p"), "id").alias("pair"), F.lit(0).alias("row_id"))
     assert joins.missing_scores(rows, rows.limit(0)).count() == 1500
+
+
+def test_lines_are_not_copied_and_other_files_not_opened(spark, tmp_path):
+    for lang in ("aa", "bb"):
+        put(tmp_path / lang / "x.txt", "".join(f"{lang} {i}\n" for i in range(500)))
+    rows = lines.read_lines(spark, f"{tmp_path}/*/*.txt", only=F.col("_path").contains("/aa/"))
+    assert sorted((r.line, r.value) for r in rows.collect()) == [(i, f"aa {i}") for i in range(500)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan.replace("FileScan text", "Scan text") and "hashpartitioning" not in plan and "Sort" not in plan
+    assert str(spark.sparkContext.getCheckpointDir()) not in plan
+    # a caller who needs no numbers and asks for one language only still gets the same byte ranges
+    few = lines.read_lines(spark, f"{tmp_path}/*/*.txt").where("lang = 'bb'").select("value")
+    assert few.count() == 500
+
+
+def test_settings_of_the_caller_hold_after_the_scan(spark, tmp_path):
+    put(tmp_path / "aa" / "x.txt", "a\nb\n")
+    rows = lines.read_lines(spark, f"{tmp_path}/aa/*.txt")
+    assert rows.sparkSession is spark
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        assert rows.repartition("line").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -99,3 +99,26 @@ def test_sources_and_translation(run, tmp_path):
     assert got["target_language=eng_Latn"] == ["hello"] and "HELLO" in got["target_language=swa_Latn"][0]
     run(*args, "--targets", "swa_Latn", "hau_Latn")
     assert len(texts(tmp_path / "tr")) == 3
+
+
+def test_what_was_left_out_is_told(run, tmp_path, capsys):
+    put(tmp_path / "raw" / "af" / "af_clean_0000.jsonl.gz", '{"text": "a"}\nbad\n[1]\n')
+    put(tmp_path / "raw" / "af" / "af_clean_0001.jsonl.gz", '{"text": "b"}\n{"text"\n')
+    run("normalize", "--input", tmp_path / "raw", "--output", tmp_path / "corpus")
+    assert "json_lines_chunks: skipped 3 of 5 lines\n" in capsys.readouterr().out
+    moses(tmp_path / "m", "en-sw", ["a", "b"], ["x", "y"], ["1", "2"])
+    moses(tmp_path / "m", "en-so", ["a", "b"], ["x"], ["1", "2"])
+    moses(tmp_path / "m", "en-xh", ["a"], ["x"], ["high"])
+    run("align", "--input", tmp_path / "m", "--output", tmp_path / "b")
+    told = capsys.readouterr().out.splitlines()
+    assert [line for line in told if line.startswith("left out")] == [
+        "left out en-so: 2 and 1 lines, 2 scores, 2 of them numbers", "left out en-xh: 1 and 1 lines, 1 scores, 0 of them numbers"]
+
+
+def test_published_chunks_are_one_split(run, spark, tmp_path):
+    put(tmp_path / "raw" / "af" / "af_clean_0000.jsonl.gz", '{"text": "a"}\n')
+    put(tmp_path / "raw" / "af" / "af_clean_0001.jsonl.gz", 'bad\n{"text": "b"}\n')
+    run("normalize", "--input", tmp_path / "raw", "--output", tmp_path / "corpus")
+    rows = spark.read.parquet(str(tmp_path / "corpus")).orderBy("ord")
+    assert [(r.split, r.text, r.meta.id, r.dataset_origin) for r in rows.collect()] == [
+        ("madlad400", "a", "madlad400_af_0", "madlad400"), ("madlad400", "b", "madlad400_af_2", "madlad400")]
