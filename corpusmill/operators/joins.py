@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialize
 from .lookup import attach, small_table
 
+MAX_BITMAPS = 16_384  # 64 MB
+
 
 def _fingerprint(df: DataFrame, pair: str, row: str, name: str) -> DataFrame:
     """Per pair: the number of rows, and a checksum of the set of row numbers."""
@@ -95,3 +98,25 @@ def discover_splits(
         .select("lang", F.posexplode(F.coalesce("splits", "backup")).alias("split_pos", "split"))
         .select("lang", "split", "split_pos")
     )
+
+
+def only_rows(
+    df: DataFrame, kept: DataFrame, group: str, row: str, max_bitmaps: int = MAX_BITMAPS
+) -> DataFrame:
+    """The rows of `df` whose (group, row number) stand in `kept`, without a shuffle of `df`.
+
+    The numbers become bitmaps, one for each 32 768 numbers of a group, which are broadcast:
+    4 KB where a shuffle would move that many rows. Up to `max_bitmaps`; with more of them `df`
+    comes back as it is, so a join with `kept` has to follow in any case.
+    """
+    number = F.col(row).cast("bigint")
+    bitmaps = materialize(
+        kept.select(F.col(group), F.bitmap_bucket_number(number).alias("_bucket"), F.bitmap_bit_position(number).alias("_bit"))
+        .groupBy(group, "_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    )
+    if bitmaps.limit(max_bitmaps + 1).count() > max_bitmaps:
+        return df
+    bit = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring("_bits", F.expr("_bit div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = df.withColumns({"_bucket": F.bitmap_bucket_number(number), "_bit": bit}).join(F.broadcast(bitmaps), [group, "_bucket"])
+    return found.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).drop("_bucket", "_bit", "_bits")

@@ -238,3 +238,31 @@ def running_sum(
         name, F.col("_lo") + _before([*by, *names], "_k")
     )
     return out.drop(*names, "_k", "_w", "_lo", GROUP)
+
+
+def part_numbers(
+    df: DataFrame, by: Sequence[str], order: Order, part_size: int, name: str = "part_id"
+) -> DataFrame:
+    """Adds the number, from 1, of the part of `part_size` rows that a row belongs to in its group.
+
+    One scan counts the rows of each bucket. Most buckets lie within one part. Only of those
+    that do not, the keys (no other columns) are sorted, to find the first key of each part.
+    Every row then compares its key with the few that begin a part in its bucket; rows
+    themselves are neither shuffled nor sorted.
+    """
+    by = list(by) or [GROUP]
+    names = _bucket_names(order)
+    size = int(part_size)
+    sums, fits = small_table(_bucket_sums(df, by, order, F.lit(1)))
+    first, last = F.expr(f"_lo div {size} + 1"), F.expr(f"(_lo + _w - 1) div {size} + 1")
+    crossed = sums.where(first != last).select(*by, *names, "_lo")
+    keyed = _grouped(df, by).withColumns(dict(zip(names, order.buckets)))
+    own = attach(keyed, crossed, [*by, *names], fits, spread=order.keys).select(*by, *names, "_lo", order.key.alias("_k"))
+    rank = F.row_number().over(Window.partitionBy(*by, *names).orderBy("_k")) - 1 + F.col("_lo")
+    starts = own.withColumn("_rank", rank).where(f"_rank % {size} = 0 AND _rank > _lo")
+    starts = starts.groupBy(*by, *names).agg(F.sort_array(F.collect_list("_k")).alias("_starts"))
+    parts, fits = small_table(sums.join(starts, [*by, *names], "left").select(*by, *names, first.alias("_first"), "_starts"))
+    placed = attach(keyed, parts, [*by, *names], fits, spread=order.keys)
+    passed = F.coalesce(F.size(F.filter("_starts", lambda k: k <= order.key)), F.lit(0))
+    passed = F.when(F.col("_starts").isNull(), F.lit(0)).otherwise(passed)
+    return placed.withColumn(name, F.col("_first") + passed).drop(*names, "_first", "_starts", GROUP)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import rand
 from ..functions.text import is_nonempty, math_record
-from .prefix import digits_for, hash_order, Order, prefix_cut, running_sum, source_order
+from .prefix import digits_for, hash_order, Order, part_numbers, prefix_cut, running_sum, source_order
 
 
 def take(df: DataFrame, n: int, by: Sequence[str] = (), order: Order | None = None) -> DataFrame:
@@ -127,13 +127,7 @@ def sample_math(
 
 
 def assign_parts(
-    df: DataFrame, part_size: int, order: Order | None = None, by: Sequence[str] = (),
-    row: str | None = None,
+    df: DataFrame, part_size: int, order: Order | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Numbers output parts of `part_size` rows from 1, in order; adds `part_id`.
-
-    The number of each row is kept in the column `row`, if that is given.
-    """
-    numbered = running_sum(df, by, order or source_order("ord"), F.lit(1), row or "_row")
-    parts = numbered.withColumn("part_id", F.expr(f"{row or '_row'} div {int(part_size)} + 1"))
-    return parts if row else parts.drop("_row")
+    """Numbers output parts of `part_size` rows from 1, in order; adds `part_id`. Rows stay where they are."""
+    return part_numbers(df, by, order or source_order("ord"), part_size)

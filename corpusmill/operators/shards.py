@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .lookup import attach, small_table
 
 BLOCK_ROWS = 65_536
+# Up to so many units a source is walked in one expression.
+WALKED_UNITS = 4_096
 
 
 def row_bytes(cols: Sequence[str]) -> Column:
@@ -36,25 +35,50 @@ def units(
 def pack_units(unit_table: DataFrame, target_bytes: int, source: str = "source") -> DataFrame:
     """Adds `shard` (from 1): a unit that would exceed the target opens the next shard.
 
-    Where a shard ends depends on where it began, so the units of one source are walked in
-    order. That table has a few numbers per block of rows; the rows stay where they are.
-    A shard is found at a time, by searching the running sum.
+    Where a shard ends depends on where it began. So every unit points to the one that opens the
+    next shard if it opens one itself, which running sums of bytes tell; these pointers are
+    followed from the first unit of a source on, one by one or, where sources have many units,
+    in jumps of doubling length. The tables have a few numbers per block of rows; the rows stay
+    where they are.
     """
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("unit", ignore_index=True)
-        ends = pdf["n_bytes"].cumsum().to_numpy()
-        shard = np.empty(len(pdf), dtype="int64")
-        start, number = 0, 0
-        while start < len(pdf):
-            filled = ends[start - 1] if start else 0
-            stop = max(int(np.searchsorted(ends, filled + target_bytes, side="right")), start + 1)
-            number += 1
-            shard[start:stop] = number
-            start = stop
-        return pdf.assign(shard=shard)
-
-    schema = StructType([*unit_table.schema.fields, StructField("shard", LongType())])
-    return unit_table.groupBy(source).applyInPandas(pack, schema)
+    in_order = Window.partitionBy(source).orderBy("unit")
+    placed = unit_table.withColumns({"_n": F.row_number().over(in_order), "_end": F.sum("n_bytes").over(in_order)})
+    placed = placed.withColumn("_at", F.col("_end") - F.col("n_bytes"))
+    ahead = Window.partitionBy(source).orderBy("_at").rangeBetween(0, int(target_bytes))
+    # the last unit that begins within the target: it does not fit, unless there are no others
+    edge = F.max(F.struct("_n", "_end")).over(ahead)
+    fits = edge["_end"] <= F.col("_at") + F.lit(int(target_bytes))
+    pointers = placed.withColumn("_next", F.when(~fits, F.greatest(edge["_n"], F.col("_n") + 1)))
+    pointers, _ = small_table(pointers)
+    most = pointers.agg(F.max("_n")).first()[0] or 0
+    openers = _walked(pointers, source) if most <= WALKED_UNITS else _jumped(pointers, source)
+    numbered = pointers.join(openers.withColumn("_opens", F.lit(1)), [source, "_n"], "left")
+    return numbered.withColumn("shard", F.count("_opens").over(in_order)).select(*unit_table.columns, "shard")
+
+
+def _walked(pointers: DataFrame, source: str) -> DataFrame:
+    """(source, _n) of the units that open shards, by following the pointers of a source one by one."""
+    units = F.sort_array(F.collect_list(F.struct("_n", "_next")))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("opened"))
+    step = F.aggregate(units, start, lambda done, u: F.when(
+        u["_n"] == done["at"], F.struct(u["_next"].alias("at"), F.array_append(done["opened"], u["_n"]).alias("opened"))
+    ).otherwise(done))
+    return pointers.groupBy(source).agg(step.alias("_w")).select(source, F.explode("_w.opened").alias("_n"))
+
+
+def _jumped(pointers: DataFrame, source: str) -> DataFrame:
+    """As `_walked`, for any number of units: jumps that double in length until no further unit is reached."""
+    nodes = pointers.select(source, "_n", "_next", (F.col("_n") == 1).alias("_opens"))
+    opened, before = 0, -1
+    while opened != before:
+        jump = nodes.select(source, F.col("_n").alias("_next"), F.col("_next").alias("_then"))
+        reached = nodes.where("_opens and _next is not null").select(source, F.col("_next").alias("_n"), F.lit(True).alias("_reached"))
+        nodes, _ = small_table(
+            nodes.join(jump, [source, "_next"], "left").join(reached, [source, "_n"], "left")
+            .select(source, "_n", F.col("_then").alias("_next"), (F.col("_opens") | F.col("_reached").isNotNull()).alias("_opens"))
+        )
+        opened, before = nodes.where("_opens").count(), opened
+    return nodes.where("_opens").select(source, "_n")
 
 
 def assign_shards(

@@ -13,7 +13,7 @@ from ..functions import rand
 from ..functions.text import is_nonblank
 from ..operators.checks import count_steps, validate_outputs
 from ..operators.formats import TASK_TEMPLATES, format_pt, format_sft
-from ..operators.joins import join_scores, pending_work
+from ..operators.joins import join_scores, only_rows, pending_work
 from ..operators.sampling import bounded_sample
 from ..operators.scores import flag_score
 from ..session import materialize
@@ -157,7 +157,7 @@ def run_bitext(
     kept = state.rows.where(state.keep).select("pair", "row_id", "copy", "swapped")
     # what the text itself tells is applied before texts are shuffled
     long_enough = reduce(Column.__and__, state.of_text, ~blank)
-    rows = _swapped(bitext.where(long_enough).join(kept, ["pair", "row_id"]))
+    rows = _swapped(only_rows(bitext.where(long_enough), kept, "pair", "row_id").join(kept, ["pair", "row_id"]))
     make = format_pt if task == "pt" else format_sft
     key = ("pair", "row_id", "copy")
     return make(rows, templates, seed, key, names=names, compat_labels=compat_labels), stats

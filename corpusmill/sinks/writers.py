@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import pending_work
-from ..operators.prefix import Order
+from ..operators.prefix import Order, source_order
 from ..operators.sampling import assign_parts
 
 GIB = 1024**3
@@ -61,8 +61,10 @@ def write_parts(
     columns: Sequence[str] = ("text",),
 ) -> None:
     """JSON lines in numbered parts of exactly `part_size` rows (the last may be smaller), in order."""
-    numbered = assign_parts(df, part_size, order, row="_row").select("part_id", "_row", *columns)
-    ordered = numbered.repartition("part_id").sortWithinPartitions("part_id", "_row").drop("_row")
+    order = order or source_order("ord")
+    keys = [f"_key{i}" for i in range(len(order.keys))]
+    numbered = assign_parts(df, part_size, order).select("part_id", *[k.alias(n) for k, n in zip(order.keys, keys)], *columns)
+    ordered = numbered.repartition("part_id").sortWithinPartitions("part_id", *keys).drop(*keys)
     ordered.write.mode("overwrite").partitionBy("part_id").json(path)
 
 

@@ -19,7 +19,7 @@ from ..operators.sampling import take
 from .lines import read_lines
 from .normalize import parse_json_lines
 
-MAX_CONFIG_ROWS = 10_000
+MAX_LISTED = 10_000
 LAST_SHARD = 239  # fixed value
 CONFIG_COLUMNS = ("subset", "token_count", "split")
 
@@ -87,16 +87,20 @@ def read_corpus(spark: SparkSession, root: str, where: Column | None = None) ->
 def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
     """The rows of a corpus that a config names, with their `split_pos`.
 
-    The config is a small file, so its (lang, split) pairs become a filter on the partition
-    columns: other folders are not read.
+    Up to MAX_LISTED (lang, split) pairs become a filter on the partition columns. With more
+    the config is joined; Spark prunes the folders by its keys when it runs. Either way other
+    folders are not read.
     """
-    wanted = config.select("lang", "split").distinct().limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(wanted) > MAX_CONFIG_ROWS:
-        raise ValueError(f"mixture config names more than {MAX_CONFIG_ROWS} splits")
+    places = config.select("lang", "split", "split_pos")
+    wanted = config.select("lang", "split").distinct().limit(MAX_LISTED + 1).collect()
+    if len(wanted) > MAX_LISTED:
+        places, fits = small_table(places)
+        # a filter on the dimension, if one that all rows pass, is what makes Spark prune by it
+        return attach(read_corpus(spark, root), places.where("split_pos >= 0"), ["lang", "split"], fits)
     langs, splits = sorted({r.lang for r in wanted}), sorted({r.split for r in wanted})
     named = F.struct("lang", "split").isin([F.struct(F.lit(r.lang), F.lit(r.split)) for r in wanted])
     rows = read_corpus(spark, root, F.col("lang").isin(langs) & F.col("split").isin(splits) & named)
-    return rows.join(F.broadcast(config.select("lang", "split", "split_pos")), ["lang", "split"])
+    return rows.join(F.broadcast(places), ["lang", "split"])
 
 
 def select_subset(corpus: DataFrame, lang: str, splits: Sequence[str]) -> DataFrame:

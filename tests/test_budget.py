@@ -1,5 +1,6 @@
 """Budgets and samples against the plain loops they stand for."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import budget, prefix, sampling, shards
 from corpusmill.plans.mixture import build_mixture
+from tests.test_plans import plan_of
 
 
 def frame(spark, rows, schema, parts=4):
@@ -266,3 +268,54 @@ def test_budget_in_source_order_tries_the_head_first(spark, monkeypatch):
     for limit in (1, 30, 200, 10**5):
         got = budget.take_token_budget(df, F.col("w"), limit, order=prefix.source_order("ord"))
         assert sorted(r.ord for r in got.collect()) == loop_prefix(rows, limit, None)
+
+
+@pytest.mark.parametrize("walked", [4096, 2])
+def test_pointers_lead_to_the_shards_of_a_plain_loop(spark, monkeypatch, walked):
+    monkeypatch.setattr(shards, "WALKED_UNITS", walked)
+    rng = random.Random(6)
+    sizes = {"a": [rng.choice([0, 0, 1, 5, 9, 30]) for _ in range(300)], "b": [50], "c": [0, 0], "d": [3] * 64}
+    rows = [(s, i, 1, n) for s, own in sizes.items() for i, n in enumerate(own)]
+    table = frame(spark, rows, "source string, unit long, n_rows long, n_bytes long")
+    want = {}
+    for source, own in sizes.items():
+        number, filled = 0, 0
+        for i, n in enumerate(own):
+            if number == 0 or filled + n > 20 and not (filled == 0 and i == opened):
+                number, filled, opened = number + 1, 0, i
+            filled += n
+            want[source, i] = number
+    packed = shards.pack_units(table, 20)
+    assert packed.columns == ["source", "unit", "n_rows", "n_bytes", "shard"]
+    assert {(r.source, r.unit): r.shard for r in packed.collect()} == want
+    assert "Python" not in plan_of(packed) and "Pandas" not in plan_of(packed)
+
+
+def test_part_numbers_move_no_rows(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("aab"), i, "text") for i in rng.sample(range(400_000), 3000)]
+    df = frame(spark, rows, "lang string, ord long, text string")
+    for order, key in ((prefix.source_order("ord"), lambda r: r[1]), (prefix.hash_order(3, "ord"), lambda r: hashlib.md5(f"3:{r[1]}".encode()).hexdigest())):
+        for by in ([], ["lang"]):
+            for size in (1, 7, 400, 5000):
+                parted = sampling.assign_parts(df, size, order, by)
+                got = {r.ord: r.part_id for r in parted.collect()}
+                want, seen = {}, {}
+                for r in sorted(rows, key=key):
+                    n = seen[r[0] if by else ""] = seen.get(r[0] if by else "", 0) + 1
+                    want[r[1]] = (n - 1) // size + 1
+                assert got == want, (by, size)
+    assert parted.columns == ["lang", "ord", "text", "part_id"] and "Exchange hashpartitioning" not in plan_of(parted)
+
+
+def test_bitmaps_hold_the_rows_that_are_kept(spark):
+    from corpusmill.operators import joins
+
+    rng = random.Random(9)
+    rows = [(p, i, f"{p}{i}") for p in ("en-sw", "en-so", "fr-ha") for i in (*range(300), *rng.sample(range(300, 10**6), 200))]
+    kept = [(p, i, c) for p, i, _ in rows if p != "fr-ha" and rng.random() < 0.07 for c in (0, 1)] + [("xx-yy", 1, 0)]
+    df, some = frame(spark, rows, "pair string, row_id long, text string"), frame(spark, kept, "pair string, row_id long, copy int")
+    found = joins.only_rows(df, some, "pair", "row_id")
+    assert {(r.pair, r.row_id) for r in found.collect()} == {(p, i) for p, i, _ in kept} - {("xx-yy", 1)}
+    assert found.columns == df.columns and "Exchange hashpartitioning" not in plan_of(found)
+    assert joins.only_rows(df, some, "pair", "row_id", max_bitmaps=3).count() == len(rows)

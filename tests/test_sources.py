@@ -329,3 +329,14 @@ def test_a_large_language_goes_to_many_files(spark, tmp_path):
     assert all(f == sorted(f) and len(f) <= 100 for f in ids) and len(ids) >= 7
     spans = sorted((f[0], f[-1]) for f in ids)
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_more_splits_than_a_filter_lists(spark, tmp_path, monkeypatch):
+    rows = [(f"l{i % 7}", f"s{i % 3}", i, "x") for i in range(210)]
+    spark.createDataFrame(rows, "lang string, split string, ord long, text string").write.partitionBy("lang", "split").parquet(str(tmp_path / "c"))
+    wanted = spark.createDataFrame([("l1", "s0", 0, 9), ("l1", "s2", 1, 9), ("l5", "s1", 0, 9), ("zz", "s1", 0, 9)], "lang string, split string, split_pos int, target long")
+    few = sorted(map(tuple, corpus.scan_corpus(spark, str(tmp_path / "c"), wanted).select("ord", "split_pos").collect()))
+    monkeypatch.setattr(corpus, "MAX_LISTED", 2)
+    many = corpus.scan_corpus(spark, str(tmp_path / "c"), wanted)
+    assert "dynamicpruning" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, many.select("ord", "split_pos").collect())) == few and len(few) == 30
