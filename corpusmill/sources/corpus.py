@@ -13,9 +13,10 @@ from pyspark.sql.types import StructType
 
 from ..functions.text import is_nonblank
 from ..operators.layout import inventory
-from ..operators.lookup import attach, small_table
+from ..operators.lookup import MAX_SMALL_ROWS, attach, small_table
 from ..operators.prefix import source_order
 from ..operators.sampling import take
+from ..session import materialize
 from .lines import read_lines
 from .normalize import parse_json_lines
 
@@ -94,8 +95,9 @@ def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
     places = config.select("lang", "split", "split_pos")
     wanted = config.select("lang", "split").distinct().limit(MAX_LISTED + 1).collect()
     if len(wanted) > MAX_LISTED:
-        places, fits = small_table(places)
-        # a filter on the dimension, if one that all rows pass, is what makes Spark prune by it
+        # a filter on a stored dimension, if one that all its rows pass, is what makes Spark prune by it
+        places = materialize(places)
+        fits = places.count() <= MAX_SMALL_ROWS
         return attach(read_corpus(spark, root), places.where("split_pos >= 0"), ["lang", "split"], fits)
     langs, splits = sorted({r.lang for r in wanted}), sorted({r.split for r in wanted})
     named = F.struct("lang", "split").isin([F.struct(F.lit(r.lang), F.lit(r.split)) for r in wanted])
