@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from corpusmill.llm import fingerprints as fp, hashing, passages as ps
 from corpusmill.llm import near_dedup as nd
@@ -197,6 +198,80 @@ def test_inexact_passages_are_found(make_docs):
     assert misses <= 1
 
 
+def similar_runs(x, y, width=46, least=0.8):
+    """Places of shingles of `x` within runs of `width` that are similar to a run of `y`, straight from the definition."""
+    covered = set()
+    for i in range(len(x) - width + 1):
+        a = set(x[i : i + width])
+        for size in range(int(width * least), int(width / least) + 1):
+            if any(len(a & set(b)) >= least * len(a | set(b)) for b in (y[j : j + size] for j in range(len(y) - size + 1))):
+                covered.update(range(i, i + width))
+                break
+    return covered
+
+
+def shingles_of(text):
+    w = words_of(text)
+    return [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+
+
+def test_sentences_in_another_order_are_no_passage(make_docs):
+    rng = random.Random(18)
+    ends = prose(rng, 60), prose(rng, 60)
+    one, two = prose(rng, 27), prose(rng, 27)
+    texts = [f"{ends[0]} {one} {prose(rng, 300)} {two} {ends[1]}", f"{ends[0]} {prose(rng, 30)} {one} {two} {prose(rng, 30)} {ends[1]}"]
+    core, parts = prose(rng, 60), [prose(rng, 25) for _ in range(12)]
+    texts += [f"{core} {prose(rng, 40)} {' '.join(parts)}"]
+    texts += [f"{core} {prose(rng, 40)} {' '.join(parts[::-1])}"]
+    got = defaultdict(list)
+    for r in ps.repeated_passages(make_docs(texts)).collect():
+        got[r["doc_id"]].append((r["start_word"], r["end_word"], r["similarity"]))
+    assert sorted(got[1]) == [(0, 60, 1.0), (174, 234, 1.0)] and got[3] == [(0, 60, 1.0)] and len(got) == 2
+
+
+def test_every_span_lies_in_similar_passages(make_docs):
+    rng = random.Random(19)
+    checked = found = 0
+    for share in (0.02, 0.04, 0.08):
+        passage = prose(rng, 90)
+        sentences = [prose(rng, rng.randrange(10, 30)) for _ in range(6)]
+        texts = [" ".join([prose(rng, 40), passage, *sentences]), " ".join([*rng.sample(sentences, 6), edited(rng, passage, int(90 * share)), prose(rng, 20)])]
+        x, y = shingles_of(texts[1]), shingles_of(texts[0])
+        allowed = similar_runs(x, y)
+        for r in ps.repeated_passages(make_docs(texts)).collect():
+            checked += 1
+            assert set(range(r["start_word"], r["end_word"] - 4)) <= allowed
+            assert r["similarity"] >= 0.8
+        found += bool(allowed)
+    assert checked and found
+
+
+def test_blocks_follow_the_places_of_both():
+    y = np.array([1, 2, 3, 4, 9, 9, 3, 4, 5, 6, 7, 8], np.uint32)
+    assert ps.common_blocks(np.array([3, 4, 5, 6], np.uint32), y) == [(0, 4, 6)]
+    assert ps.common_blocks(np.array([0, 1, 2, 3, 4, 0, 7], np.uint32), y) == [(1, 5, 0), (6, 7, 10)]
+    assert ps.common_blocks(np.array([0], np.uint32), y) == []
+    # a passage whose parts all stand in other places as well
+    a, b, c = (list(range(k, k + 30)) for k in (100, 200, 300))
+    other = np.array(a + b + [1] + b + c + [2] + a + b + c, np.uint32)
+    assert ps.matched_segments(np.array(a + b + c, np.uint32), other, 46, 0.8) == [(0, 89, 1.0)]
+
+
+def test_rows_that_share_an_id_are_not_harmed(make_docs):
+    rng = random.Random(20)
+    passage = prose(rng, 60)
+    texts = [f"{passage} {prose(rng, 30)}", f"{passage} {prose(rng, 200)}", "a b c", prose(rng, 80), f"{passage} end", f"{passage} end", passage, None]
+    ids = [1, 2, 2, 2, 3, 3, None, None]
+    docs = make_docs(texts, ids)
+    spans = ps.repeated_passages(docs)
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in spans.collect()} == {(3, 0, 60)}
+    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in ps.without_passages(docs, spans).collect())
+    assert kept == sorted((str(i), "end" if i == 3 else t or "") for i, t in zip(ids, texts))
+    with pytest.raises(Exception, match="after the last word"):
+        far = docs.sparkSession.createDataFrame([(1, 0, 900)], "doc_id long, start_word long, end_word long")
+        ps.without_passages(docs, far).collect()
+
+
 def test_passages_are_cut(make_docs):
     rng = random.Random(7)
     passage = prose(rng, 60)
