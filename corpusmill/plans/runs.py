@@ -70,16 +70,19 @@ def split_run(spark: SparkSession, source: str, output: str, target_gb: float =
     writers.write_shards(*assign_shards(rows, int(target_gb * writers.GIB), size), output)
 
 
-def score_run(spark: SparkSession, source: str, output: str, load: Callable[[], Scorer], batch_rows: int = 256) -> None:
-    """Scores of bitext by pair, from a caller's model; scored pairs are left alone.
+def score_run(
+    spark: SparkSession, source: str, output: str, load: Callable[[], Scorer], batch_rows: int = 256,
+    unit_rows: int = writers.UNIT_ROWS, job_rows: int = writers.JOB_ROWS,
+) -> None:
+    """Scores of bitext by pair, from a caller's model; what was scored before is left alone.
 
     `source` is what `align` or `split` wrote, or single files by pair. Rows of shards keep
-    the number of their shard.
+    the number of their shard. Ranges of rows are finished one after the other, so a run that
+    was killed goes on where it stopped.
     """
     rows = _read_pairs(spark, source, bitext_source.read_bitext)
     keys = ("pair", "row_id", "shard") if "shard" in rows.columns else ("pair", "row_id")
-    todo = writers.pending_pairs(rows, output)
-    writers.write_pairs(score_pairs(todo, load, batch_rows, keys), output)
+    writers.write_units(rows, lambda part: score_pairs(part, load, batch_rows, keys), output, unit_rows=unit_rows, job_rows=job_rows)
 
 
 def merge_run(spark: SparkSession, shards: str, manifest: str, output: str) -> None:
@@ -90,7 +93,8 @@ def merge_run(spark: SparkSession, shards: str, manifest: str, output: str) -> N
     parts = spark.read.json(manifest).select(F.col("source").alias("pair"), "index", "num_rows")
     scored = spark.read.option("recursiveFileLookup", False).parquet(shards) if _is_table(spark, shards) else None
     if scored is not None and {"pair", "row_id", "shard"} <= set(scored.columns):
-        merged = bitext_source.complete_shards(scored.withColumnRenamed("shard", "index"), parts).drop("index")
+        scored = scored.drop("unit").withColumnRenamed("shard", "index")
+        merged = bitext_source.complete_shards(scored, parts).drop("index")
     else:
         merged = bitext_source.merge_scored_shards(bitext_source.read_scored_shards(spark, shards), parts)
     writers.write_pairs(merged, output)
@@ -106,7 +110,7 @@ def _read_pairs(spark: SparkSession, root: str, read: Callable[[SparkSession, st
     df = spark.read.parquet(root)
     if {"source", "shard", "row_id"} <= set(df.columns):  # shards
         df = df.withColumnRenamed("source", "pair")
-    return df if {"pair", "row_id"} <= set(df.columns) else read(spark, root)
+    return df.drop("unit") if {"pair", "row_id"} <= set(df.columns) else read(spark, root)
 
 
 def bitext_run(

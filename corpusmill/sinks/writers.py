@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..operators.joins import pending_work
 from ..operators.prefix import Order, source_order
 from ..operators.sampling import assign_parts
+from ..session import materialize
 
 GIB = 1024**3
+LOG = "_commits"  # hidden from readers of the folder
+UNIT_ROWS = 1_000_000
+JOB_ROWS = 64_000_000
+MAX_SPANS = 200
 
 
 @contextmanager
@@ -128,3 +134,60 @@ def write_pending(df: DataFrame, path: str, by: str = "lang", columns: Sequence[
     """As `write_jsonl`, for the values which have no output yet."""
     todo = pending_work(df, finished_keys(df.sparkSession, path, by), [by], list(columns))
     write_jsonl(todo, path, by, columns)
+
+
+def committed_units(spark: SparkSession, path: str, group: str = "pair") -> DataFrame:
+    """(group, unit, n_rows) of the units whose output at `path` is complete. Reads the log only."""
+    schema = f"{group} string, unit long, n_rows long"
+    try:
+        return spark.read.schema(schema).json(f"{path}/{LOG}").distinct()
+    except AnalysisException:  # nothing was finished yet
+        return spark.createDataFrame([], schema)
+
+
+def write_units(
+    rows: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, group: str = "pair", row: str = "row_id",
+    unit_rows: int = UNIT_ROWS, job_rows: int = JOB_ROWS,
+) -> None:
+    """`make(rows)` as Parquet by group and unit, in jobs that can be taken up again.
+
+    A unit is a range of `unit_rows` row numbers of a group. A job writes whole units of about
+    `job_rows` rows, which replace what an earlier attempt left of them; then the rows that are
+    there are counted and logged. Units in the log are not made again, so a run that was killed
+    loses its last job only. Names of a few ranges at a time pass the driver. `make` has to keep
+    `group` and `row`, and gives one row for each.
+    """
+    spark = rows.sparkSession
+    unit = F.floor(F.col(row) / F.lit(unit_rows)).cast("bigint").alias("unit")
+    wanted = rows.groupBy(group, unit).agg(F.count("*").alias("n_rows"))
+    todo = materialize(wanted.join(committed_units(spark, path, group), [group, "unit", "n_rows"], "left_anti"))
+
+    def run(batch: list[Row]) -> None:
+        spans: list[list] = []
+        for r in batch:
+            if spans and spans[-1][0] == r[group] and spans[-1][2] + 1 == r.unit:
+                spans[-1][2] = r.unit
+            else:
+                spans.append([r[group], r.unit, r.unit])
+        mine = reduce(Column.__or__, [
+            (F.col(group) == g) & F.col(row).between(first * unit_rows, (last + 1) * unit_rows - 1) for g, first, last in spans
+        ])
+        (make(rows.where(mine)).withColumn("unit", unit).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(group, "unit").parquet(path))
+        there = reduce(Column.__or__, [(F.col(group) == g) & F.col("unit").between(a, b) for g, a, b in spans])
+        written = spark.read.parquet(path).where(there).groupBy(group, F.col("unit").cast("bigint").alias("unit")).agg(F.count("*").alias("n_rows"))
+        expected = todo.where(there)
+        if expected.count() != len(batch) or not expected.join(written, [group, "unit", "n_rows"], "left_anti").isEmpty():
+            raise ValueError(f"rows written below {path} are not those that were read")
+        expected.coalesce(1).write.mode("append").json(f"{path}/{LOG}")
+
+    batch, n, spans = [], 0, 0
+    for r in todo.orderBy(group, "unit").toLocalIterator():
+        if batch and (n + r.n_rows > job_rows or spans >= MAX_SPANS):
+            run(batch)
+            batch, n, spans = [], 0, 0
+        spans += not batch or (batch[-1][group], batch[-1].unit + 1) != (r[group], r.unit)
+        batch.append(r)
+        n += r.n_rows
+    if batch:
+        run(batch)

@@ -183,3 +183,39 @@ def test_settings_of_the_caller_hold_after_the_scan(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_killed_run_goes_on_where_it_stopped(spark, tmp_path):
+    from corpusmill.sinks import writers
+
+    for pair, n in (("en-fr", 25), ("en-sw", 48)):
+        put_parquet(tmp_path / "b" / f"{pair}.parquet", sentence1=[f"{pair} {i}" for i in range(n)], sentence2=["t"] * n)
+
+    def load(refused):
+        def made():
+            def score(src, mt):
+                if any(s in refused for s in src):
+                    raise RuntimeError("out of memory")
+                return [len(s) / 100 for s in src]
+            return score
+        return made
+
+    def parts():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "s").rglob("*.parquet")}
+
+    args = (spark, str(tmp_path / "b"), str(tmp_path / "s"))
+    with pytest.raises(PySparkException, match="out of memory"):
+        runs.score_run(*args, load({"en-sw 31"}), unit_rows=10, job_rows=20)
+    done = {(r.pair, r.unit): r.n_rows for r in writers.committed_units(spark, args[2]).collect()}
+    assert done == {("en-fr", 0): 10, ("en-fr", 1): 10, ("en-fr", 2): 5, ("en-sw", 0): 10, ("en-sw", 1): 10, ("en-sw", 2): 10}
+    before = parts()
+    (tmp_path / "s" / "pair=en-sw" / "unit=3").mkdir()  # what a job left that was never committed
+    put_parquet(tmp_path / "s" / "pair=en-sw" / "unit=3" / "half.parquet", row_id=[30], comet_score=[9.0])
+    runs.score_run(*args, load({"en-fr 3", "en-sw 3"}), unit_rows=10, job_rows=20)  # finished rows are not asked for again
+    assert all(parts()[p] == t for p, t in before.items()) and len(parts()) > len(before)
+    rows = spark.read.parquet(args[2]).select("pair", "row_id", "comet_score").collect()
+    texts_ = {(p, i): f"{p} {i}" for p, n in (("en-fr", 25), ("en-sw", 48)) for i in range(n)}
+    assert sorted(map(tuple, rows)) == sorted((*k, len(t) / 100) for k, t in texts_.items())
+    assert writers.committed_units(spark, args[2]).count() == 8
+    scored = runs._read_pairs(spark, args[2], bitext.read_scores)
+    assert scored.columns == ["row_id", "comet_score", "pair"]
