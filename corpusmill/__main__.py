@@ -67,6 +67,11 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--max_samples", type=int)
     p.add_argument("--part_size", type=int, default=500_000)
     p.add_argument("--seed", type=int, default=42)
+    p = command("web-sample", "input", "output")
+    p.add_argument("--max_tokens", type=int, default=1_000_000_000)
+    p.add_argument("--part_size", type=int, default=100_000)
+    p = command("texts", "input", "output")
+    p.add_argument("kind", choices=["documents", "rows"])
     p = command("extended", "corpus", "output")
     p.add_argument("--languages", nargs="+")
     p.add_argument("--sample_times", type=int, default=5)
@@ -122,6 +127,10 @@ def main(argv: list[str] | None = None) -> None:
         _print(stats.orderBy("pair", "step_no"))
     elif a.command == "recipe":
         runs.recipe_run(spark, a.kind, a.input, a.output, a.max_tokens, a.max_samples, a.part_size, a.seed)
+    elif a.command == "web-sample":
+        runs.web_run(spark, a.input, a.output, a.max_tokens, a.part_size)
+    elif a.command == "texts":
+        runs.texts_run(spark, a.kind, a.input, a.output)
     elif a.command == "extended":
         seed = None if a.seed < 0 else a.seed
         runs.extended_run(spark, a.corpus, a.output, a.languages, a.sample_times, seed)

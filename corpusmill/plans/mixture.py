@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.text import count_tokens
 from ..operators.budget import (
@@ -13,6 +15,7 @@ from ..operators.prefix import Order, hash_order, source_order
 
 MAX_EXTENTS = 2_000
 HEAD_ROWS = 1 << 14
+MAX_COUNTED = 500
 
 # Per language: its splits in order, each with its number of rows, first and last position.
 Extents = dict[str, list[tuple[str, int, int, int]]]
@@ -128,6 +131,28 @@ def _rows_needed(ratio: DataFrame, targets: DataFrame, extents: Extents) -> dict
     }
 
 
+def counted_totals(mixture: DataFrame, langs: Sequence[str]) -> tuple[DataFrame, Callable[[], list[tuple[str | None, int, int]]]]:
+    """`mixture`, and a function that tells (lang, rows, tokens) and the totals (None) once a job has written it.
+
+    The job that writes counts as it goes, so nothing is read again. Languages come from a
+    config; above MAX_COUNTED of them only the totals are counted.
+    """
+    seen = Observation()
+    named = list(langs) if len(langs) <= MAX_COUNTED else []
+    tokens = F.coalesce("n_tokens", F.lit(0))
+    sums = [F.count("*").alias("rows"), F.sum(tokens).alias("tokens")]
+    for i, lang in enumerate(named):
+        own = F.col("lang") == lang
+        sums += [F.count_if(own).alias(f"rows{i}"), F.sum(F.when(own, tokens)).alias(f"tokens{i}")]
+
+    def totals() -> list[tuple[str | None, int, int]]:
+        got = seen.get
+        rows = [(lang, got[f"rows{i}"], got[f"tokens{i}"] or 0) for i, lang in enumerate(named)]
+        return [r for r in rows if r[1]] + [(None, got["rows"], got["tokens"] or 0)]
+
+    return mixture.observe(seen, *sums), totals
+
+
 def mixture_totals(mixture: DataFrame) -> DataFrame:
     """Rows and tokens per language, and over all languages (lang is null)."""
     return mixture.rollup("lang").agg(

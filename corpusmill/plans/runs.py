@@ -17,10 +17,10 @@ from ..operators.joins import missing_scores
 from ..operators.prefix import hash_order
 from ..operators.shards import assign_shards, row_bytes
 from ..sinks import writers
-from ..sources import bitext as bitext_source, corpus as corpus_source
+from ..sources import bitext as bitext_source, corpus as corpus_source, normalize
 from . import extended, publish, recipes, synthetic
 from .bitext import DEFAULT_STEPS, run_bitext, skip_finished
-from .mixture import build_mixture
+from .mixture import MAX_COUNTED, build_mixture, counted_totals
 
 
 FILE_KEY = ("_file", "ord")
@@ -30,14 +30,18 @@ def mixture_run(
     spark: SparkSession, config_path: str, root: str, output: str, fraction: str = "1.0",
     subsets: Sequence[str] | None = None, precomputed: str | None = None, shuffle_seed: int | None = None,
 ) -> str:
-    """Writes a mixture by language; gives the folder, named after config and fraction."""
+    """Writes a mixture by language and tells its rows and tokens; gives the folder, named after config and fraction."""
     config = corpus_source.read_mixture_config(spark, config_path, fraction, subsets)
     name = os.path.splitext(os.path.basename(config_path))[0]
     if corpus_source.parse_fraction(fraction) != 1.0:
         name += "_f" + str(fraction).replace("/", "-")
     corpus = corpus_source.scan_corpus(spark, root, config)
     path = f"{output.rstrip('/')}/{name}"
-    writers.write_jsonl(build_mixture(corpus, config, precomputed, shuffle_seed=shuffle_seed), path)
+    langs = [r.lang for r in config.select("lang").distinct().orderBy("lang").limit(MAX_COUNTED + 1).collect()]
+    mixture, totals = counted_totals(build_mixture(corpus, config, precomputed, shuffle_seed=shuffle_seed), langs)
+    writers.write_jsonl(mixture, path)
+    for lang, n_rows, n_tokens in totals():
+        print(f"{lang or 'total'}: {n_rows} rows, {n_tokens} tokens")
     return path
 
 
@@ -161,6 +165,23 @@ def recipe_run(
     writers.write_parts(rows, output, part_size, hash_order(seed, *FILE_KEY))
 
 
+def web_run(spark: SparkSession, source: str, output: str, max_tokens: int = 1_000_000_000, part_size: int = 100_000) -> None:
+    """The first web texts of the Parquet files, by name, up to a token budget, as numbered Parquet parts."""
+    rows = spark.read.parquet(source).withColumns({"_path": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    placed = corpus_source.with_positions(rows, by=())
+    writers.write_parts(recipes.web_sample(placed, max_tokens), output, part_size, fmt="parquet")
+
+
+def texts_run(spark: SparkSession, kind: str, source: str, output: str) -> None:
+    """JSON lines with a `text`: documents from headline and content, or rows of whatever columns.
+
+    The other columns of documents are kept as `hyperparam`.
+    """
+    rows = spark.read.parquet(source) if source.endswith(".parquet") else spark.read.json(source)
+    made = normalize.build_documents(rows).withColumnRenamed("rest", "hyperparam") if kind == "documents" else normalize.text_fallback(rows)
+    writers.write_capped(made, output)
+
+
 def _with_file_and_row(df: DataFrame, root: str) -> DataFrame:
     file = corpus_source.relative_path(F.col("_metadata.file_path"), root)
     return df.withColumns({"_file": file, "ord": F.col("_metadata.row_index")})

@@ -18,6 +18,7 @@ from .operators import (
 )
 from .plans import bitext as bitext_plan, extended, mixture, recipes, synthetic
 from .session import shared_path
+from .sinks import writers
 from .sources import bitext as bitext_source, corpus as corpus_source, normalize
 from .sources.lines import read_lines
 
@@ -1015,3 +1016,55 @@ def validate_outputs(spark, sf):
         "pair", F.lit(2).alias("run"), F.when(F.col("pair") == "en-es", F.col("n") + 1).otherwise(F.col("n")).alias("final_samples")
     )
     return checks.validate_outputs(outputs, older.unionByName(later))
+
+
+# --- written and read back ----------------------------------------------------------------
+
+
+@query("SELECT lang, md5(text) AS text_md5 FROM documents")
+def jsonl_by_lang(spark, sf):
+    path = shared_path(spark, "jsonl")
+    writers.write_jsonl(corpus(spark, sf), path, shard_bytes=1 << 20)
+    return spark.read.schema("text string, lang string").json(path).select("lang", md5_of("text"))
+
+
+@query(f"SELECT lang, split, ord, n_chars, md5(text) AS text_md5 FROM ({CORPUS})")
+def corpus_parquet(spark, sf):
+    path = shared_path(spark, "corpus")
+    writers.write_corpus(corpus(spark, sf), path)
+    return corpus_source.read_corpus(spark, path).select("lang", "split", "ord", "n_chars", md5_of("text"))
+
+
+@query("""
+SELECT lang AS pair, run, CASE run WHEN 1 THEN count(*) ELSE count(*) // 2 END AS final_samples
+FROM documents, (VALUES (1::BIGINT), (2::BIGINT)) r(run) GROUP BY lang, run
+""")
+def stats_appended(spark, sf):
+    path = shared_path(spark, "stats")
+    counts = corpus(spark, sf).groupBy(F.col("lang").alias("pair")).agg(F.count("*").alias("final_samples"))
+    writers.append_stats(counts.withColumn("run", F.lit(1).cast("bigint")), path)
+    halves = counts.withColumn("final_samples", F.expr("final_samples div 2"))
+    writers.append_stats(halves.withColumn("run", F.lit(2).cast("bigint")), path)
+    return spark.read.parquet(path).select("pair", "run", "final_samples")
+
+
+@query("""
+SELECT lang, doc_id, (coalesce(sum(n_chars) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS chars_before
+FROM documents
+""")
+def prefix_sum(spark, sf):
+    rows = table(spark, sf, "documents").select("lang", "doc_id", "n_chars")
+    return prefix.running_sum(rows, ["lang"], prefix.source_order("doc_id"), F.col("n_chars"), "chars_before").drop("n_chars")
+
+
+@query(f"""
+SELECT pair, row_id, {sql_uniform(7, 'row_id')} AS comet_score FROM ({BITEXT}) WHERE row_id % 3 = 0
+""")
+def scored_units(spark, sf):
+    path = shared_path(spark, "units")
+    rows = comet(spark, sf).where("row_id % 3 = 0")
+    size = max(1, rows.count())
+    # two attempts: the second finds every unit in the log
+    for _ in range(2):
+        writers.write_units(rows, lambda part: part, path, unit_rows=size, job_rows=size)
+    return spark.read.parquet(path).select("pair", "row_id", "comet_score")

@@ -64,14 +64,14 @@ def write_capped(df: DataFrame, path: str, rows: int = 2_000_000, by: Sequence[s
 
 def write_parts(
     df: DataFrame, path: str, part_size: int = 500_000, order: Order | None = None,
-    columns: Sequence[str] = ("text",),
+    columns: Sequence[str] = ("text",), fmt: str = "json",
 ) -> None:
-    """JSON lines in numbered parts of exactly `part_size` rows (the last may be smaller), in order."""
+    """JSON lines (or another format) in numbered parts of exactly `part_size` rows (the last may be smaller), in order."""
     order = order or source_order("ord")
     keys = [f"_key{i}" for i in range(len(order.keys))]
     numbered = assign_parts(df, part_size, order).select("part_id", *[k.alias(n) for k, n in zip(order.keys, keys)], *columns)
     ordered = numbered.repartition("part_id").sortWithinPartitions("part_id", *keys).drop(*keys)
-    ordered.write.mode("overwrite").partitionBy("part_id").json(path)
+    ordered.write.mode("overwrite").partitionBy("part_id").format(fmt).save(path)
 
 
 def write_corpus(df: DataFrame, root: str, shard_bytes: int = GIB, mode: str = "overwrite") -> None:

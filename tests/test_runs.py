@@ -20,13 +20,15 @@ def texts(path):
     return {k: [r.get("text") for f in v for r in f] for k, v in jsonl_below(path).items()}
 
 
-def test_corpus_and_mixture(run, tmp_path):
+def test_corpus_and_mixture(run, tmp_path, capsys):
     raw = raw_folder(tmp_path)
     put(tmp_path / "raw" / "af" / "b_ml400.jsonl", '{"text": "second file"}\n')
     config = put(tmp_path / "mix.csv", 'subset,token_count,split\naf,12,"wura,madlad400"\neng_Latn,9,finewebEdu\n')
     run("normalize", "--input", raw, "--output", tmp_path / "corpus")
     run("check-splits", "--input", raw, "--mixture_config", config)
     run("mixture", "--config", config, "--corpus", tmp_path / "corpus", "--output", tmp_path / "out", "--fraction", "1/3")
+    told = capsys.readouterr().out.splitlines()
+    assert "af: 3 rows, 4 tokens" in told and "eng_Latn: 3 rows, 3 tokens" in told and "total: 6 rows, 7 tokens" in told
     got = texts(tmp_path / "out" / "mix_f1-3")
     assert sorted(got["lang=af"]) == ["m", "passage", "second file"] and got["lang=eng_Latn"] == ["e"] * 3
 
@@ -122,3 +124,22 @@ def test_published_chunks_are_one_split(run, spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "corpus")).orderBy("ord")
     assert [(r.split, r.text, r.meta.id, r.dataset_origin) for r in rows.collect()] == [
         ("madlad400", "a", "madlad400_af_0", "madlad400"), ("madlad400", "b", "madlad400_af_2", "madlad400")]
+
+
+def test_web_texts_in_parts(run, spark, tmp_path):
+    for k in range(3):
+        put_parquet(tmp_path / "w" / f"f{k}.parquet", text=[" " if i == 3 else f" file {k} row {i} " for i in range(10)])
+    run("web-sample", "--input", tmp_path / "w", "--output", tmp_path / "o", "--max_tokens", 50, "--part_size", 5)
+    rows = spark.read.parquet(str(tmp_path / "o")).collect()
+    want = [f"file {k} row {i}" for k in range(3) for i in range(10) if i != 3][:13]  # four tokens each
+    assert {p: sorted(r.text for r in rows if r.part_id == p) for p in (1, 2, 3)} == {1: want[:5], 2: want[5:10], 3: want[10:]}
+
+
+def test_texts_of_other_rows(run, tmp_path):
+    source = put(tmp_path / "d.jsonl", '{"headline": " H", "content": "c ", "url": "u"}\n{"headline": null, "content": "x"}\n')
+    run("texts", "documents", "--input", source, "--output", tmp_path / "o")
+    records = sorted((r for files in jsonl_below(tmp_path / "o").values() for f in files for r in f), key=lambda r: r["text"])
+    assert [(r["text"], r["hyperparam"].get("url")) for r in records] == [("H c", "u"), ("x", None)]
+    source = put_parquet(tmp_path / "s.parquet", sentence=["one", "two"], x=[1, 2])
+    run("texts", "rows", "--input", source, "--output", tmp_path / "p")
+    assert sorted(r["text"] for files in jsonl_below(tmp_path / "p").values() for f in files for r in f) == ["one", "two"]
