@@ -154,7 +154,7 @@ def run_bitext(
     stats = reduce(DataFrame.unionByName, state.counts)
     stats = stats.groupBy("pair", "step_no", "step").agg(F.sum("n_rows").alias("n_rows"))
 
-    kept = state.rows.where(state.keep).select("pair", "row_id", "copy", "swapped")
+    kept = materialize(state.rows.where(state.keep).select("pair", "row_id", "copy", "swapped"))
     # what the text itself tells is applied before texts are shuffled
     long_enough = reduce(Column.__and__, state.of_text, ~blank)
     rows = _swapped(only_rows(bitext.where(long_enough), kept, "pair", "row_id").join(kept, ["pair", "row_id"]))
