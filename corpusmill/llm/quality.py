@@ -19,8 +19,10 @@ from .toxicity import labelled
 POSITIVE_ROWS = 30_000
 BINS = 12
 STEPS = 40
-RATE = 0.3
+RATE = 0.1  # of the first step; it falls to nothing, as the bound at zero makes long steps swing
 SHRINK = 1e-3
+SMALL = 5.0  # divided by the number of rows it is added to SHRINK: few rows tell few of the weights
+SUMMED = 256  # with more tasks than this, their sums are added up in the cluster first
 THRESHOLD = 0.3
 
 # The ASCII characters whose shares are features of their own.
@@ -92,9 +94,11 @@ def fit(rows: DataFrame, edges: np.ndarray, prior: float, steps: int = STEPS) ->
     prior * E_trusted[l+] + max(0, E_all[l-] - prior * E_trusted[l-]): what negatives cost is
     what all texts cost as negatives less the positives' part of it, and may not fall below
     zero; when it does, a step undoes the overfit instead. Every step sums the gradients of all
-    rows in the cluster; one short vector per task comes back.
+    rows in the cluster; one short vector per task comes back, and of more than SUMMED tasks one
+    for about as many tasks as there are such vectors.
     """
     spark = rows.sparkSession
+    tasks = rows.rdd.getNumPartitions()
     size = edges.size + 1
     weights, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
     schema = "sums array<double>"
@@ -120,7 +124,16 @@ def fit(rows: DataFrame, edges: np.ndarray, prior: float, steps: int = STEPS) ->
                 ]
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
 
-        return np.sum([r["sums"] for r in rows.mapInArrow(run, schema).collect()], axis=0)
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(3 * size + 5)
+            for batch in batches:
+                total += batch.column("sums").flatten().to_numpy().reshape(-1, len(total)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+        sums = rows.mapInArrow(run, schema)
+        if tasks > SUMMED:
+            sums = sums.repartition(math.isqrt(tasks)).mapInArrow(add, schema)
+        return np.sum([r["sums"] for r in sums.collect()], axis=0)
 
     for step in range(1, steps + 1):
         total = gradients(weights)
@@ -132,9 +145,10 @@ def fit(rows: DataFrame, edges: np.ndarray, prior: float, steps: int = STEPS) ->
         negative = (all_negative + as_negative) / n_all - prior * as_negative / n_pos
         negative_slope = (rest + down) / n_all - prior * down / n_pos
         slope = prior * up / n_pos + negative_slope if negative >= 0 else -negative_slope
-        slope = slope + SHRINK * np.append(weights[:-1], 0)
+        slope = slope + (SHRINK + SMALL / n_all) * np.append(weights[:-1], 0)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-        weights = weights - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        rate = RATE * (1 - (step - 1) / steps)
+        weights = weights - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return weights
 
 
