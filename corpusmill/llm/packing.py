@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,7 @@ GROUP_WINDOWS = 256
 # four or more pieces come out nearly equal, which those of one or two whole texts cannot.
 PIECE = 1024
 CACHED = 200_000
+JOINED = 100
 
 
 class WordTokenizer:
@@ -41,33 +42,44 @@ class WordTokenizer:
         self.known: dict[int, bytes] = {}
         self.older: dict[int, bytes] = {}
 
-    def _of_words(self, hashes: np.ndarray, spelt: Callable[[int], str]) -> list[bytes]:
-        """The ids of distinct words, 4 bytes each; `spelt` gives the word at a place."""
+    def _of_words(self, hashes: np.ndarray, data: bytes, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The ids of distinct words, 4 bytes each; a word is `data[begin:end]`."""
         if len(self.known) > CACHED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         keys = hashes.tolist()
-        out = [known.get(key) for key in keys]
+        out = list(map(known.get, keys))
         missing = []
-        for at, found in enumerate(out):
+        for at in [at for at, found in enumerate(out) if found is None]:
+            found = older.get(keys[at])
             if found is None:
-                found = older.get(keys[at])
-                if found is None:
-                    missing.append(at)
-                else:
-                    out[at] = known[keys[at]] = found
-        encodings = self.tokenizer.encode_batch_fast([spelt(at) for at in missing], add_special_tokens=False)
-        for at, encoding in zip(missing, encodings):
-            out[at] = known[keys[at]] = np.array(encoding.ids, "<u4").tobytes()
+                missing.append(at)
+            else:
+                out[at] = known[keys[at]] = found
+        if not missing:
+            return out
+        spelt = [data[lo:hi].decode() for lo, hi in zip(begin[missing].tolist(), end[missing].tolist())]
+        for at, own in zip(missing, self._encoded(spelt)):
+            out[at] = known[keys[at]] = own
         return out
 
+    def _encoded(self, spelt: list[str]) -> Iterator[bytes]:
+        """The ids of each word: JOINED words are encoded at once, and ids go to the word they begin in."""
+        lines = [spelt[at : at + JOINED] for at in range(0, len(spelt), JOINED)]
+        encodings = self.tokenizer.encode_batch([" ".join(line) for line in lines], add_special_tokens=False)
+        for line, encoding in zip(lines, encodings):
+            ids = np.array(encoding.ids, "<u4").tobytes()
+            begins = np.fromiter((offset[0] for offset in encoding.offsets), np.int64)
+            ends = np.cumsum(np.fromiter(map(len, line), np.int64, len(line)) + 1)
+            edges = (4 * np.searchsorted(begins, ends)).tolist()
+            yield from (ids[lo:hi] for lo, hi in zip([0, *edges], edges))
+
     def ids(self, chunk: Chunk) -> list[bytes]:
         """For each text of a chunk its ids, 4 bytes each."""
         own = words(chunk, fold=False)
         distinct, place, inverse = np.unique(own.hashes, return_index=True, return_inverse=True)
-        begin, end = own.begin[place], own.end[place]
-        found = self._of_words(distinct, lambda at: chunk.data[begin[at] : end[at]].tobytes().decode())
-        lengths = np.array([len(f) // 4 for f in found], np.int64)
+        found = self._of_words(distinct, chunk.data.tobytes(), own.begin[place], own.end[place])
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         table = np.frombuffer(b"".join(found), "<u4")
         # the ids of word after word: its run in the table, moved to where it stands in the texts
         counts = lengths[inverse]
