@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.text import count_tokens
 from ..operators.budget import (
@@ -12,6 +12,7 @@ from ..operators.budget import (
 )
 from ..operators.lookup import attach, small_table
 from ..operators.prefix import Order, hash_order, source_order
+from ..session import materialize
 
 MAX_EXTENTS = 2_000
 HEAD_ROWS = 1 << 14
@@ -27,6 +28,7 @@ def build_mixture(
     precomputed: str | None = None,
     tokens=count_tokens,
     shuffle_seed: int | None = None,
+    blocks: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the mixture: (lang, split, split_pos, ord, text, n_tokens, epoch).
 
@@ -36,13 +38,19 @@ def build_mixture(
     are skipped.
 
     A budget often needs the first part of a large language only. Where that can be told
-    from the number of rows, later files are neither counted nor read.
+    from the number of rows, later files are neither counted nor read. With `blocks`, the sizes
+    of blocks stored with the corpus (`read_block_sizes`), no scan of all positions is needed
+    for that, and the characters of the blocks tell how far a budget reaches.
     """
     config, small = small_table(config)
     places = config.select("lang", "split", "split_pos")
     rows = attach(corpus.drop("split_pos"), places, ["lang", "split"], small, spread=["ord"])
     targets, _ = small_table(config.groupBy("lang").agg(F.max("target").alias("target")))
-    extents = _extents(rows)
+    if blocks is None:
+        extents = _extents(rows)
+    else:
+        blocks = materialize(attach(blocks, places, ["lang", "split"], small, spread=["block"]))
+        extents = _block_extents(blocks)
 
     source = source_order("ord", "split_pos")
     ratio, few = _ratios(rows, source, extents, tokens)
@@ -51,7 +59,8 @@ def build_mixture(
     weight = token_estimate("text", F.col("ratio"), known, tokens)
 
     if shuffle_seed is None:
-        head, headed = _heads(extents, _rows_needed(ratio, targets, extents))
+        needed = _rows_needed(ratio, targets, extents) if blocks is None else _blocks_needed(blocks, ratio, targets, extents)
+        head, headed = _heads(extents, needed)
         return mix_to_budget(rated, targets, weight, "lang", source, head=head, headed=headed).drop("ratio")
     order = hash_order(shuffle_seed, "split_pos", "ord")
     return mix_to_budget(rated, targets, weight, "lang", order).drop("ratio")
@@ -62,6 +71,17 @@ def _extents(rows: DataFrame) -> Extents:
     sizes = rows.groupBy("lang", "split", "split_pos").agg(
         F.count("*").alias("n"), F.min("ord").alias("first"), F.max("ord").alias("last")
     )
+    return _listed(sizes)
+
+
+def _block_extents(blocks: DataFrame) -> Extents:
+    """The same from the sizes of blocks."""
+    return _listed(blocks.groupBy("lang", "split", "split_pos").agg(
+        F.sum("n_rows").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
+    ))
+
+
+def _listed(sizes: DataFrame) -> Extents:
     listed = sizes.limit(MAX_EXTENTS + 1).collect()
     if len(listed) > MAX_EXTENTS:
         return {}
@@ -131,6 +151,18 @@ def _rows_needed(ratio: DataFrame, targets: DataFrame, extents: Extents) -> dict
     }
 
 
+def _blocks_needed(blocks: DataFrame, ratio: DataFrame, targets: DataFrame, extents: Extents) -> dict[str, int]:
+    """How many rows of each listed language lie in the blocks that should meet its target."""
+    if not extents:
+        return {}
+    earlier = Window.partitionBy("lang").orderBy("split_pos", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.withColumn("_before", F.coalesce(F.sum("chars").over(earlier), F.lit(0)))
+    rated = before.join(ratio.select("lang", "ratio"), "lang").join(targets, "lang")
+    within = F.col("_before") * F.col("ratio") < F.col("target") * F.lit(HEAD_MARGIN)
+    rows = rated.where(within).groupBy("lang").agg(F.sum("n_rows").alias("n")).collect()
+    return {r.lang: r.n for r in rows}
+
+
 def counted_totals(mixture: DataFrame, langs: Sequence[str]) -> tuple[DataFrame, Callable[[], list[tuple[str | None, int, int]]]]:
     """`mixture`, and a function that tells (lang, rows, tokens) and the totals (None) once a job has written it.
 

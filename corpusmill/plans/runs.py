@@ -38,7 +38,9 @@ def mixture_run(
     corpus = corpus_source.scan_corpus(spark, root, config)
     path = f"{output.rstrip('/')}/{name}"
     langs = [r.lang for r in config.select("lang").distinct().orderBy("lang").limit(MAX_COUNTED + 1).collect()]
-    mixture, totals = counted_totals(build_mixture(corpus, config, precomputed, shuffle_seed=shuffle_seed), langs)
+    blocks = corpus_source.read_block_sizes(spark, root, config)
+    mixture = build_mixture(corpus, config, precomputed, shuffle_seed=shuffle_seed, blocks=blocks)
+    mixture, totals = counted_totals(mixture, langs)
     writers.write_jsonl(mixture, path)
     for lang, n_rows, n_tokens in totals():
         print(f"{lang or 'total'}: {n_rows} rows, {n_tokens} tokens")
@@ -51,6 +53,7 @@ def normalize_run(
     """Raw source folders to a corpus by language and split; tells which lines were no JSON objects."""
     seen: dict[str, Observation] = {}
     writers.write_corpus(publish.normalize_folder(spark, source, languages, seen), root)
+    corpus_source.store_block_sizes(spark, root)
     for kind, counts in seen.items():
         got = counts.get
         if got.get("skipped"):

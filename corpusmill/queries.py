@@ -671,11 +671,14 @@ WHERE before < target
 """
 
 
-def mixed(spark, sf) -> DataFrame:
+def with_counts(spark, sf) -> DataFrame:
     known = F.when(F.col("ord") % 3 == 0, F.expr("n_chars div 6")).otherwise(0)
-    rows = corpus(spark, sf).withColumn("token_count", known)
+    return corpus(spark, sf).withColumn("token_count", known)
+
+
+def mixed(spark, sf) -> DataFrame:
     wanted = corpus_source.parse_mixture_config(config(spark, sf))
-    return mixture.build_mixture(rows, wanted, "token_count")
+    return mixture.build_mixture(with_counts(spark, sf), wanted, "token_count")
 
 
 @query(f"SELECT lang, split, split_pos, ord, epoch, n_tokens, md5(text) AS text_md5 FROM ({MIXTURE})")
@@ -1035,6 +1038,31 @@ def corpus_parquet(spark, sf):
     return corpus_source.read_corpus(spark, path).select("lang", "split", "ord", "n_chars", md5_of("text"))
 
 
+@query(f"""
+SELECT lang, split, ord >> 16 AS block, count(*) AS n_rows, min(ord) AS first, max(ord) AS last,
+  sum(length(text))::BIGINT AS chars
+FROM ({CORPUS}) GROUP BY ALL
+""")
+def block_sizes(spark, sf):
+    path = shared_path(spark, "corpus")
+    writers.write_corpus(corpus(spark, sf), path)
+    corpus_source.store_block_sizes(spark, path)
+    wanted = corpus_source.parse_mixture_config(config(spark, sf))
+    return corpus_source.read_block_sizes(spark, path, wanted)
+
+
+@query(f"SELECT lang, split, split_pos, ord, epoch, n_tokens, md5(text) AS text_md5 FROM ({MIXTURE})")
+def mixture_stored(spark, sf):
+    path = shared_path(spark, "corpus")
+    writers.write_corpus(with_counts(spark, sf), path)
+    corpus_source.store_block_sizes(spark, path)
+    wanted = corpus_source.parse_mixture_config(config(spark, sf))
+    blocks = corpus_source.read_block_sizes(spark, path, wanted)
+    rows = corpus_source.scan_corpus(spark, path, wanted)
+    out = mixture.build_mixture(rows, wanted, "token_count", blocks=blocks)
+    return out.select("lang", "split", "split_pos", "ord", "epoch", "n_tokens", md5_of("text"))
+
+
 @query("""
 SELECT lang AS pair, run, CASE run WHEN 1 THEN count(*) ELSE count(*) // 2 END AS final_samples
 FROM documents, (VALUES (1::BIGINT), (2::BIGINT)) r(run) GROUP BY lang, run

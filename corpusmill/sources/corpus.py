@@ -8,13 +8,14 @@ from collections.abc import Sequence
 from fractions import Fraction
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import is_nonblank
 from ..operators.layout import inventory
 from ..operators.lookup import MAX_SMALL_ROWS, attach, small_table
-from ..operators.prefix import source_order
+from ..operators.prefix import BLOCK_BITS, source_order
 from ..operators.sampling import take
 from ..session import materialize
 from .lines import read_lines
@@ -85,6 +86,67 @@ def read_corpus(spark: SparkSession, root: str, where: Column | None = None) ->
     })).drop("_path")
 
 
+def folder_marks(spark: SparkSession, root: str) -> DataFrame:
+    """(lang, split, mark) of the folders of a corpus; a mark changes with the files. Lists names only."""
+    place = F.transform(
+        F.regexp_extract_all("path", F.lit(r"/(?:lang|split)=([^/]+)"), 1),
+        lambda value: F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))),
+    )
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return (
+        files.where(F.size(place) == 2)
+        .groupBy(place[0].alias("lang"), place[1].alias("split"))
+        .agg(F.bit_xor(F.xxhash64(name, "length")).alias("mark"))
+    )
+
+
+def block_sizes(corpus: DataFrame) -> DataFrame:
+    """(lang, split, block, n_rows, first, last, chars) of blocks of 65 536 positions."""
+    block = F.shiftright("ord", BLOCK_BITS)
+    return corpus.groupBy(F.col("lang").cast("string"), F.col("split").cast("string"), block.alias("block")).agg(
+        F.count("*").alias("n_rows"), F.min("ord").alias("first"), F.max("ord").alias("last"),
+        F.coalesce(F.sum(F.length("text").cast("bigint")), F.lit(0).cast("bigint")).alias("chars"),
+    )
+
+
+def store_block_sizes(spark: SparkSession, root: str) -> None:
+    """Adds the sizes of blocks to `<root>/_blocks/sizes` for folders that have none, or have other files by now."""
+    marks = folder_marks(spark, root)
+    known = _stored_blocks(spark, root)
+    if known is not None:
+        marks = marks.join(known.select("lang", "split", "mark").distinct(), ["lang", "split", "mark"], "left_anti")
+    marks, fits = small_table(marks)
+    if marks.isEmpty():
+        return
+    rows = attach(read_corpus(spark, root), marks.select("lang", "split"), ["lang", "split"], fits, spread=["ord"])
+    sizes = attach(block_sizes(rows), marks, ["lang", "split"], fits, spread=["block"])
+    folder = Window.partitionBy("lang", "split")
+    sizes.withColumn("n_blocks", F.count("*").over(folder)).write.mode("append").parquet(f"{root}/_blocks/sizes")
+
+
+def _stored_blocks(spark: SparkSession, root: str) -> DataFrame | None:
+    """What is stored of folders whose blocks are all there, once."""
+    try:
+        stored = spark.read.parquet(f"{root}/_blocks/sizes")
+    except AnalysisException:
+        return None
+    whole = F.count("*").over(Window.partitionBy("lang", "split", "mark")) == F.col("n_blocks")
+    return stored.withColumn("_whole", whole).where("_whole").drop("_whole")
+
+
+def read_block_sizes(spark: SparkSession, root: str, config: DataFrame) -> DataFrame | None:
+    """The stored sizes of the blocks a config names, or None if a folder's were never stored or its files are others."""
+    stored = _stored_blocks(spark, root)
+    if stored is None:
+        return None
+    wanted = config.select("lang", "split").distinct()
+    marks, fits = small_table(folder_marks(spark, root).join(wanted, ["lang", "split"], "left_semi"))
+    if not marks.join(stored, ["lang", "split", "mark"], "left_anti").isEmpty():
+        return None
+    return attach(stored, marks, ["lang", "split", "mark"], fits, spread=["block"]).drop("mark", "n_blocks")
+
+
 def scan_corpus(spark: SparkSession, root: str, config: DataFrame) -> DataFrame:
     """The rows of a corpus that a config names, with their `split_pos`.
 

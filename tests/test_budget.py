@@ -100,6 +100,51 @@ def test_mixture_is_the_same_with_and_without_early_stop(spark, monkeypatch):
         assert target <= total < target + 10
 
 
+def test_stored_blocks_replace_the_scan_of_positions(spark, tmp_path, monkeypatch):
+    from corpusmill.plans import mixture
+    from corpusmill.sinks.writers import write_corpus
+    from corpusmill.sources import corpus as source
+
+    rng = random.Random(4)
+    rows = [
+        (lang, split, i, " ".join(["word"] * rng.randint(1, 9)))
+        for lang in ("a", "b'q") for split in ("s1", "s/2") for i in range(120)
+    ]
+    config = spark.createDataFrame(
+        [(lang, s, p, t) for lang, t in (("a", 90), ("b'q", 5000)) for p, s in enumerate(("s/2", "s1", "none"))],
+        "lang string, split string, split_pos int, target long",
+    )
+    root = str(tmp_path / "corpus")
+    monkeypatch.setattr(source, "BLOCK_BITS", 4)
+    monkeypatch.setattr(mixture, "HEAD_ROWS", 20)
+    defaults = ("lang", None, 200, *mixture.token_char_ratio.__defaults__[3:])
+    monkeypatch.setattr(mixture, "RATIO_CHARS", 200)
+    monkeypatch.setattr(mixture.token_char_ratio, "__defaults__", defaults)
+
+    def run(blocks):
+        out = build_mixture(source.scan_corpus(spark, root, config), config, blocks=blocks)
+        return Counter((r.lang, r.split, r.ord, r.epoch, r.n_tokens) for r in out.collect())
+
+    write_corpus(corpus_of(spark, rows, 3), root)
+    assert source.read_block_sizes(spark, root, config) is None  # none stored yet
+    plain = run(None)
+    source.store_block_sizes(spark, root)
+    source.store_block_sizes(spark, root)  # nothing left to add
+    blocks = source.read_block_sizes(spark, root, config)
+    assert blocks.count() == 4 * 8 and blocks.agg(F.sum("n_rows")).first()[0] == len(rows)
+    with monkeypatch.context() as patch:
+        patch.setattr(mixture, "_extents", None)
+        assert run(blocks) == plain
+
+    # another split is written: its blocks are others now, and are not used until they are stored
+    write_corpus(corpus_of(spark, [("a", "s/2", i, "one more word") for i in range(50)], 2), root)
+    assert source.read_block_sizes(spark, root, config) is None
+    source.store_block_sizes(spark, root)
+    blocks = source.read_block_sizes(spark, root, config)
+    assert blocks.where("lang = 'a' AND split = 's/2'").agg(F.sum("n_rows")).first()[0] == 50
+    assert run(blocks) == run(None) != plain
+
+
 def test_a_split_may_be_named_twice(spark, monkeypatch):
     from corpusmill.plans import mixture
 
