@@ -21,6 +21,8 @@ CAPACITY = 4096
 END_ID = 2
 # Windows of one group: padding is below one or two windows a group, work grows with their number.
 GROUP_WINDOWS = 256
+# Pieces of one group: differencing holds a row of windows for each, 128 MB in all.
+GROUP_PIECES = 65_536
 # What is left of a document beside full windows is cut into pieces of this length: windows of
 # four or more pieces come out nearly equal, which those of one or two whole texts cannot.
 PIECE = 1024
@@ -193,21 +195,23 @@ def balanced_windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 def pack(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, piece: int = PIECE,
-    group_windows: int = GROUP_WINDOWS,
+    group_windows: int = GROUP_WINDOWS, group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
     """Pieces of documents in sequences of at most `capacity` tokens.
 
     (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset): the ids start ..
     start+length-1 of the document stand in the sequence from `offset` on. Documents are cut by
     `cuts`, and full pieces are sequences of their own. The others are dealt
-    by a hash into groups of about `group_windows` sequences, whose windows are balanced by
-    Karmarkar-Karp differencing. A sequence's pieces follow each other from 0 without gaps. Null
+    by a hash, which takes in the place of a row, into groups of about `group_windows` sequences
+    and no more than about `group_pieces` pieces, whose windows are balanced by Karmarkar-Karp differencing. A sequence's pieces follow each other from 0 without gaps. Null
     and empty texts have one token, the end. Rows that repeat a doc_id are documents of their own.
     """
     pieces = materialize(token_pieces(docs, path, capacity, end_id, piece))
-    tokens = pieces.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-tokens // (group_windows * capacity)))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    sums = pieces.agg(F.sum("length").alias("tokens"), F.count("*").alias("pieces")).first()
+    groups = max(1, -(-(sums["tokens"] or 0) // (group_windows * capacity)), -(-sums["pieces"] // group_pieces))
+    # rows that are equal in everything get into different groups by their place in what was stored
+    place_of_row = F.monotonically_increasing_id()
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", place_of_row), F.lit(groups)))
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", ignore_index=True)

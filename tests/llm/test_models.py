@@ -146,6 +146,16 @@ def test_packing_is_exact(make_docs):
     assert packing.pack(make_docs([]), WORD_FILE).count() == 0
 
 
+@pytest.mark.parametrize("texts, n", [(["alpha beta"] * 20_000, 3), ([None] * 100_000, 1)])
+def test_equal_rows_are_dealt_into_many_groups(make_docs, texts, n):
+    rows = packing.pack(make_docs(texts, [None] * len(texts)), WORD_FILE, group_windows=4, group_pieces=20_000).toPandas()
+    assert len(rows) == len(texts) and (rows["length"] == n).all()
+    assert (rows["sequence_id"] // (1 << 24)).value_counts().max() < 25_000
+    ends = rows.sort_values("offset").groupby("sequence_id")["length"].sum()
+    assert ends.max() <= 4096
+    assert not rows.duplicated(["sequence_id", "offset"]).any()
+
+
 @pytest.mark.parametrize("n, windows", [(3, 5), (50, 1), (400, 30), (1000, 64)])
 def test_differencing_balances(n, windows):
     sizes = np.random.default_rng(n).integers(1, 1024, n)
