@@ -21,7 +21,7 @@ BINS = 12
 STEPS = 40
 RATE = 0.1  # of the first step; it falls to nothing, as the bound at zero makes long steps swing
 SHRINK = 1e-3
-SMALL = 5.0  # divided by the number of rows it is added to SHRINK: few rows tell few of the weights
+SMALL = 2.0  # divided by the number of rows it is added to SHRINK: few rows tell few of the weights
 SUMMED = 256  # with more tasks than this, their sums are added up in the cluster first
 THRESHOLD = 0.3
 
