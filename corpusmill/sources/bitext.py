@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
 from ..operators.layout import pair_of, path_stem
-from ..operators.lookup import attach, small_table
+from ..operators.lookup import attach, counted_table, small_table
 from .lines import read_lines
 
 
@@ -91,7 +91,7 @@ def complete_shards(shards: DataFrame, manifest: DataFrame) -> DataFrame:
         F.coalesce(F.col("_n"), F.lit(0)).cast("string"), F.lit(", manifest "), F.coalesce(F.col("num_rows").cast("string"), F.lit("none")),
     )
     same = F.coalesce(F.col("_n") == F.col("num_rows"), F.lit(False))
-    checked, fits = small_table(both.select(
+    checked, fits = counted_table(both.select(
         "pair", "index", F.when(same, F.lit(True)).otherwise(F.raise_error(named).cast("boolean")).alias("_ok")
     ))
     return attach(shards, checked, ["pair", "index"], fits, spread=["row_id"]).where("_ok").drop("_ok")
@@ -109,7 +109,7 @@ def merge_scored_shards(
     shards = complete_shards(shards, manifest)
     before = Window.partitionBy("pair").orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
     offsets = manifest.select("pair", "index", F.coalesce(F.sum("num_rows").over(before), F.lit(0)).alias("_at"))
-    offsets, fits = small_table(offsets)
+    offsets, fits = counted_table(offsets)
     numbered = attach(shards, offsets, ["pair", "index"], fits, spread=["row_id"])
     return numbered.select("pair", (F.col("_at") + F.col("row_id")).alias("row_id"), score)
 

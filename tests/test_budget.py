@@ -336,6 +336,35 @@ def test_pointers_lead_to_the_shards_of_a_plain_loop(spark, monkeypatch, walked)
     assert "Python" not in plan_of(packed) and "Pandas" not in plan_of(packed)
 
 
+@pytest.mark.parametrize("walked", [4096, 3])
+def test_segments_lead_to_the_shards_of_a_plain_loop(spark, monkeypatch, walked):
+    monkeypatch.setattr(shards, "WALKED_UNITS", walked)
+    monkeypatch.setattr(shards, "SEGMENT", 2)
+    monkeypatch.setattr(shards, "CHUNK_UNITS", 7)
+    monkeypatch.setattr(shards, "_jumped", None)
+    rng = random.Random(7)
+    sizes = {
+        "a": [rng.choice([0, 0, 1, 5, 9, 30]) for _ in range(900)], "b": [70] * 40, "c": [0] * 9, "d": [3] * 64,
+        "e": [0, 0, 45, 0, 0, 0, 21, 20, 0, 1, 0], "f": [4] * 5 + [10**6] + [2] * 31,
+    }
+    rows = [(s, 5 * i - 60, 1, n) for s, own in sizes.items() for i, n in enumerate(own)]
+    table = frame(spark, rows + [(None, 4, 1, 30), (None, 5, 1, 30)], "source string, unit long, n_rows long, n_bytes long")
+    want = {(None, 4): 0, (None, 5): 0}
+    for source, own in sizes.items():
+        number, filled = 0, 0
+        for i, n in enumerate(own):
+            fits = number and filled + n <= 20
+            number, filled = (number, filled + n) if fits else (number + 1, n)
+            want[source, 5 * i - 60] = number
+    fetched = []
+    monkeypatch.setattr(type(table), "toArrow", lambda df: fetched.append(df))
+    packed = shards.pack_units(table, 20)
+    assert packed.columns == ["source", "unit", "n_rows", "n_bytes", "shard"]
+    found = [((r.source, r.unit), r.shard) for r in packed.collect()]
+    assert dict(found) == want and len(found) == len(want) and not fetched
+    assert "Python" not in plan_of(packed) and "Pandas" not in plan_of(packed)
+
+
 def test_part_numbers_move_no_rows(spark):
     rng = random.Random(8)
     rows = [(rng.choice("aab"), i, "text") for i in rng.sample(range(400_000), 3000)]
