@@ -136,6 +136,23 @@ def test_merged_shards(spark, tmp_path):
         bitext.merge_scored_shards(shards, more).collect()
 
 
+def test_many_shards_are_checked_without_the_driver(spark, monkeypatch):
+    from corpusmill.operators import shards as byte_shards
+
+    rows = spark.createDataFrame([(p, i, "x" * 9) for p in ("en-fr", "de-de") for i in range(300)], "source string, row_id long, text string")
+    fetched = []
+    monkeypatch.setattr(type(rows), "toArrow", lambda df: fetched.append(df))
+    sharded, manifest = byte_shards.assign_shards(rows, 20, byte_shards.row_bytes(["text"]), block_rows=1)
+    scored = sharded.select(F.col("source").alias("pair"), F.col("shard").alias("index"), (F.col("row_id") % 2).alias("row_id"), F.col("row_id").cast("double").alias("comet_score"))
+    manifest = manifest.withColumnRenamed("source", "pair")
+    merged = bitext.merge_scored_shards(scored, manifest)
+    assert sorted((r.pair, r.row_id, r.comet_score) for r in merged.collect()) == [(p, i, float(i)) for p in ("de-de", "en-fr") for i in range(300)]
+    assert bitext.complete_shards(scored, manifest).count() == 600 and not fetched
+    for shards in (scored.where("pair = 'de-de' or index < 150"), scored.where("false")):
+        with pytest.raises(PySparkException, match="missing scored shard"):
+            bitext.complete_shards(shards, manifest).collect()
+
+
 def test_odd_shards_only(spark, tmp_path):
     for i in range(4):
         put(tmp_path / f"shard-{i:05d}.jsonl.gz", json.dumps({"query": f"q{i}", "document": "d"}) + "\n")
