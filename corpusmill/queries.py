@@ -71,6 +71,17 @@ BITEXT = (
 )
 
 
+def sized_bitext(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the bitext with the bytes of both sentences in place of these."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", shards.row_bytes(["text"]).alias("bytes1"))
+    after = docs.select(
+        (F.col("doc_id") - 1).alias("doc_id"), F.col("lang").alias("lang2"), F.col("bytes1").alias("bytes2")
+    )
+    return docs.join(after, "doc_id").select(
+        F.concat_ws("-", "lang", "lang2").alias("pair"), F.col("doc_id").alias("row_id"), "bytes1", "bytes2"
+    )
+
+
 def comet(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of the bitext, from keys alone."""
     return bitext(spark, sf).select("pair", "row_id", rand.uniform(7, "row_id").alias("comet_score"))
@@ -823,9 +834,9 @@ def part_assign(spark, sf):
 def scored_shards(spark, sf):
     # shards of the bitext, their scores checked against the manifest, and joined with the bitext
     rows = bitext(spark, sf)
-    sharded, manifest = shards.assign_shards(
-        rows.withColumnRenamed("pair", "source"), 20_000, shards.row_bytes(["sentence1", "sentence2"]), block_rows=8
-    )
+    # bytes are taken before sentences meet, so that only numbers are shuffled for the shards
+    sides = sized_bitext(spark, sf).withColumnRenamed("pair", "source")
+    sharded, manifest = shards.assign_shards(sides, 20_000, F.col("bytes1") + F.col("bytes2"), block_rows=8)
     scored = sharded.select(
         F.col("source").alias("pair"), F.col("shard").alias("index"), "row_id", rand.uniform(7, "row_id").alias("comet_score")
     )

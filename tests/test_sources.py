@@ -12,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusmill.functions import langs, text
-from corpusmill.operators import inference, joins, layout
+from corpusmill.operators import inference, joins, layout, shards as byte_shards
 from corpusmill.plans import extended, publish, synthetic
 from corpusmill.sinks import writers
 from corpusmill.sources import bitext, corpus, lines, normalize
@@ -153,6 +153,25 @@ def test_many_shards_are_checked_without_the_driver(spark, monkeypatch):
             bitext.complete_shards(shards, manifest).collect()
 
 
+def test_checked_shards_are_not_joined_again(spark, tmp_path):
+    put_parquet(tmp_path / "s.parquet", pair=["a", "a", "b"], index=[1, 2, 1], row_id=[0, 0, 0])
+    shards = spark.read.parquet(f"{tmp_path}/s.parquet")
+    manifest = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 1, 1)], "pair string, index long, num_rows long")
+    whole = bitext.complete_shards(shards, manifest)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert whole.count() == 3 and "Join" not in plan and "Exchange" not in plan
+
+
+def test_sizes_of_the_bitext_come_without_its_sentences(spark, tmp_path):
+    from corpusmill import queries
+
+    put_parquet(tmp_path / "documents.parquet", doc_id=[0, 1, 1, 2, 4], lang=["en", "fr", "de", None, "en"], text=["\u00e9a", None, "", "abc", "d"])
+    sized, rows = (f(spark, str(tmp_path)) for f in (queries.sized_bitext, queries.bitext))
+    size = byte_shards.row_bytes(["sentence1", "sentence2"])
+    found = sorted(map(tuple, sized.select("pair", "row_id", F.col("bytes1") + F.col("bytes2")).collect()))
+    assert found == sorted(map(tuple, rows.select("pair", "row_id", size).collect())) and len(found) == 4
+
+
 def test_odd_shards_only(spark, tmp_path):
     for i in range(4):
         put(tmp_path / f"shard-{i:05d}.jsonl.gz", json.dumps({"query": f"q{i}", "document": "d"}) + "\n")
