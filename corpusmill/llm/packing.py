@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,41 @@ GROUP_PIECES = 65_536
 PIECE = 1024
 CACHED = 200_000
 JOINED = 100
+# What normalises and cuts words in tokenizers whose plain words are cut and lower-cased here.
+SPELLING = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "cut": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",
+}
+LETTER, DIGIT, MARK = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = MARK
+_KIND[0x30:0x3A] = DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = LETTER
+_KIND[[ord("'"), ord("<")]] = 0  # parts of contractions and of special tokens
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte of texts whether it belongs to a letter of A-Z, a-z, U+00C0-U+00FF, a digit or an ASCII mark; else 0."""
+    out = _KIND[data]
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # multiplication and division signs
+    out[lead] = out[lead + 1] = LETTER
+    return out
+
+
+def plain_tokenizer(path: str) -> Tokenizer | None:
+    """The tokenizer of a file for text that is lower-case and cut already; None if it cuts in another way than SPELLING."""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    model, special = whole["model"], [token["content"] for token in whole.get("added_tokens") or []]
+    cut, spell = ((whole.get(step) or {}).get(inner) or [{}] for step, inner in (("pre_tokenizer", "pretokenizers"), ("normalizer", "normalizers")))
+    fits = spell == SPELLING["normalizer"] and len(cut) == 2 and cut[0] == {
+        "type": "Split", "pattern": {"Regex": SPELLING["cut"]}, "behavior": "Removed", "invert": True
+    } and cut[1]["type"] == "ByteLevel" and not cut[1]["add_prefix_space"] and not cut[1].get("use_regex", True)
+    if not fits or model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or not all("<" in t for t in special):
+        return None
+    whole |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, cut[1]]}}
+    return Tokenizer.from_str(json.dumps(whole))
 
 
 class WordTokenizer:
@@ -35,16 +71,21 @@ class WordTokenizer:
 
     Texts are cut at ASCII white space, across which such a tokenizer neither merges nor
     normalises, so every distinct word of a chunk is looked up or encoded once, under its 64-bit
-    hash. What recent words come to is kept, in two generations of bounded size.
+    hash. What recent words come to is kept, in two generations of bounded size. Words of common
+    letters, digits and marks are lower-cased and cut here, many at once, and only merged by the tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = plain_tokenizer(path)
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end what is cut
+        for token, at in self.tokenizer.get_vocab().items():
+            self.closes[at] = token.endswith("</w>")
         self.known: dict[int, bytes] = {}
         self.older: dict[int, bytes] = {}
 
-    def _of_words(self, hashes: np.ndarray, data: bytes, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+    def _of_words(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
         """The ids of distinct words, 4 bytes each; a word is `data[begin:end]`."""
         if len(self.known) > CACHED:
             self.known, self.older = {}, self.known
@@ -60,11 +101,50 @@ class WordTokenizer:
                 out[at] = known[keys[at]] = found
         if not missing:
             return out
-        spelt = [data[lo:hi].decode() for lo, hi in zip(begin[missing].tolist(), end[missing].tolist())]
-        for at, own in zip(missing, self._encoded(spelt)):
+        rest = np.array(missing)
+        if self.plain is not None:
+            kind = kinds(data)
+            others = np.concatenate([[0], np.cumsum(kind == 0)])
+            simple = others[end[rest]] == others[begin[rest]]
+            found = self._merged(data, kind, begin[rest[simple]], end[rest[simple]]) if simple.any() else None
+            if found is not None:
+                for at, own in zip(rest[simple].tolist(), found):
+                    out[at] = known[keys[at]] = own
+                rest = rest[~simple]
+        text = data.tobytes()
+        spelt = [text[lo:hi].decode() for lo, hi in zip(begin[rest].tolist(), end[rest].tolist())]
+        for at, own in zip(rest.tolist(), self._encoded(spelt)):
             out[at] = known[keys[at]] = own
         return out
 
+    def _merged(self, data: np.ndarray, kind: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes] | None:
+        """The ids of words whose bytes are all of some kind; None if the tokenizer left out any part of one.
+
+        A part is a run of letters, a digit or a run of marks. Parts are set apart by spaces, and each
+        ends with its only token that closes.
+        """
+        lengths = end - begin
+        first = np.cumsum(lengths) - lengths
+        at = np.repeat(begin - first, lengths) + np.arange(int(lengths.sum()))
+        own = kind[at]
+        opens = own == DIGIT
+        opens[1:] |= own[1:] != own[:-1]
+        opens[first] = True
+        spaces = np.cumsum(opens)
+        spaced = np.full(len(at) + int(spaces[-1]), 0x20, np.uint8)
+        spaced[np.arange(len(at)) + spaces] = data[at]
+        cuts = first[::JOINED] + spaces[first[::JOINED]] - 1
+        cuts = [*cuts.tolist(), len(spaced)]
+        lines = [spaced[lo:hi].tobytes().decode().lower() for lo, hi in zip(cuts, cuts[1:])]
+        found = [encoding.ids for encoding in self.plain.encode_batch(lines, add_special_tokens=False)]
+        ids = np.concatenate([np.array(one, "<u4") for one in found])
+        closed = np.flatnonzero(self.closes[ids]) + 1
+        if len(closed) != spaces[-1]:
+            return None
+        edges = 4 * closed[np.append(spaces[first[1:]] - 1, spaces[-1]) - 1]
+        edges, whole = edges.tolist(), ids.tobytes()
+        return [whole[lo:hi] for lo, hi in zip([0, *edges], edges)]
+
     def _encoded(self, spelt: list[str]) -> Iterator[bytes]:
         """The ids of each word: JOINED words are encoded at once, and ids go to the word they begin in."""
         lines = [spelt[at : at + JOINED] for at in range(0, len(spelt), JOINED)]
@@ -80,7 +160,7 @@ class WordTokenizer:
         """For each text of a chunk its ids, 4 bytes each."""
         own = words(chunk, fold=False)
         distinct, place, inverse = np.unique(own.hashes, return_index=True, return_inverse=True)
-        found = self._of_words(distinct, chunk.data.tobytes(), own.begin[place], own.end[place])
+        found = self._of_words(distinct, chunk.data, own.begin[place], own.end[place])
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         table = np.frombuffer(b"".join(found), "<u4")
         # the ids of word after word: its run in the table, moved to where it stands in the texts

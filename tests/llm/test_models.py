@@ -122,6 +122,21 @@ def test_word_cache_survives_new_generations(monkeypatch):
         assert np.frombuffer(own_ids(words, text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("joined", [1, 7, 100])
+def test_plain_words_are_merged_without_normalising(monkeypatch, joined):
+    monkeypatch.setattr(packing, "JOINED", joined)
+    rng = random.Random(4)
+    letters = "aZ09 |_-.,éÉßÿÃ¡\n"
+    texts = ["".join(rng.choice(letters + odd) for _ in range(rng.randrange(40))) for odd in ("", "'<>×÷\u0301İ中\U0001f600\x00\x7f\xa0") for _ in range(300)]
+    own, whole = packing.WordTokenizer(WORD_FILE), Tokenizer.from_file(WORD_FILE)
+    slow, encoded = [], own._encoded
+    monkeypatch.setattr(own, "_encoded", lambda spelt: slow.extend(spelt) or encoded(spelt))
+    found = [ids for chunk in hashing.chunks(pa.array(texts)) for ids in own.ids(chunk)]
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == [i for w in text.split() for i in whole.encode(w, add_special_tokens=False).ids]
+    assert slow and all(set(word) - set(letters) or "¡" in word for word in slow)
+
+
 # packing
 
 
