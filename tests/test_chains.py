@@ -219,3 +219,18 @@ def test_a_killed_run_goes_on_where_it_stopped(spark, tmp_path):
     assert writers.committed_units(spark, args[2]).count() == 8
     scored = runs._read_pairs(spark, args[2], bitext.read_scores)
     assert scored.columns == ["row_id", "comet_score", "pair"]
+
+
+def test_materialised_tables_leave_no_shuffles(spark, monkeypatch, tmp_path):
+    from corpusmill.session import CLEANUP, materialize, stored
+
+    before, seen = spark.conf.get(CLEANUP), []
+    plain = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, eager=True: seen.append(spark.conf.get(CLEANUP)) or plain(df, eager))
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    first = sums.collect()
+    kept, files = materialize(sums), stored(sums)
+    # the table it was made of can still be run again, as can what was kept
+    for rows in (kept, kept, files, sums, kept.join(sums, ["k", "s"])):
+        assert sorted(rows.collect()) == sorted(first)
+    assert seen == ["true"] and spark.conf.get(CLEANUP) == before
