@@ -7,6 +7,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,8 @@ GROUP_PIECES = 65_536
 # What is left of a document beside full windows is cut into pieces of this length: windows of
 # four or more pieces come out nearly equal, which those of one or two whole texts cannot.
 PIECE = 1024
-CACHED = 200_000
+# Words whose ids a Python worker keeps, about 40 bytes each.
+CACHED = 1_000_000
 JOINED = 100
 # What normalises and cuts words in tokenizers whose plain words are cut and lower-cased here.
 SPELLING = {
@@ -66,13 +68,42 @@ def plain_tokenizer(path: str) -> Tokenizer | None:
     return Tokenizer.from_str(json.dumps(whole))
 
 
+class Known(NamedTuple):
+    """Ids of words: the words' sorted hashes, and for each where its ids begin in `table` and how many they are."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    table: np.ndarray
+
+    def place(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash stands, and whether it is there at all."""
+        at = np.searchsorted(self.keys, hashes)
+        return at, self.keys[np.minimum(at, len(self.keys) - 1)] == hashes if len(self.keys) else np.zeros(len(at), bool)
+
+    def only(self, at: np.ndarray) -> Known:
+        lengths = self.lengths[at]
+        ends = np.cumsum(lengths)
+        ids = self.table[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        return Known(self.keys[at], ends - lengths, lengths, ids)
+
+    def extended(self, keys: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> Known:
+        """With words that were not there, in any order."""
+        order = np.argsort(keys)
+        keys, starts, lengths = keys[order], (len(self.table) + np.cumsum(lengths) - lengths)[order], lengths[order]
+        at = np.searchsorted(self.keys, keys)
+        columns = zip((self.keys, self.starts, self.lengths), (keys, starts, lengths))
+        return Known(*(np.insert(own, at, more) for own, more in columns), np.concatenate([self.table, ids]))
+
+
 class WordTokenizer:
     """Token ids of texts, by a tokenizer that drops white space.
 
     Texts are cut at ASCII white space, across which such a tokenizer neither merges nor
     normalises, so every distinct word of a chunk is looked up or encoded once, under its 64-bit
-    hash. What recent words come to is kept, in two generations of bounded size. Words of common
-    letters, digits and marks are lower-cased and cut here, many at once, and only merged by the tokenizer.
+    hash. What words come to is kept; when there are too many, only those of the present chunk are.
+    Words of common letters, digits and marks are lower-cased and cut here, many at once, and only
+    merged by the tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -82,43 +113,37 @@ class WordTokenizer:
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that end what is cut
         for token, at in self.tokenizer.get_vocab().items():
             self.closes[at] = token.endswith("</w>")
-        self.known: dict[int, bytes] = {}
-        self.older: dict[int, bytes] = {}
-
-    def _of_words(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
-        """The ids of distinct words, 4 bytes each; a word is `data[begin:end]`."""
-        if len(self.known) > CACHED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        keys = hashes.tolist()
-        out = list(map(known.get, keys))
-        missing = []
-        for at in [at for at, found in enumerate(out) if found is None]:
-            found = older.get(keys[at])
-            if found is None:
-                missing.append(at)
-            else:
-                out[at] = known[keys[at]] = found
-        if not missing:
-            return out
-        rest = np.array(missing)
+        self.known = Known(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+
+    def _of_words(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Known:
+        """The ids of at least these distinct words; a word is `data[begin:end]`."""
+        at, there = self.known.place(hashes)
+        rest = np.flatnonzero(~there)
+        if not len(rest):
+            return self.known
+        if len(self.known.keys) + len(rest) > CACHED:
+            self.known = self.known.only(at[there])
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if self.plain is not None:
             kind = kinds(data)
             others = np.concatenate([[0], np.cumsum(kind == 0)])
             simple = others[end[rest]] == others[begin[rest]]
             found = self._merged(data, kind, begin[rest[simple]], end[rest[simple]]) if simple.any() else None
             if found is not None:
-                for at, own in zip(rest[simple].tolist(), found):
-                    out[at] = known[keys[at]] = own
+                parts.append((hashes[rest[simple]], *found))
                 rest = rest[~simple]
-        text = data.tobytes()
-        spelt = [text[lo:hi].decode() for lo, hi in zip(begin[rest].tolist(), end[rest].tolist())]
-        for at, own in zip(rest.tolist(), self._encoded(spelt)):
-            out[at] = known[keys[at]] = own
-        return out
-
-    def _merged(self, data: np.ndarray, kind: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes] | None:
-        """The ids of words whose bytes are all of some kind; None if the tokenizer left out any part of one.
+        if len(rest):
+            text = data.tobytes()
+            own = list(self._encoded([text[lo:hi].decode() for lo, hi in zip(begin[rest].tolist(), end[rest].tolist())]))
+            lengths = np.fromiter(map(len, own), np.int64, len(own)) // 4
+            parts.append((hashes[rest], lengths, np.frombuffer(b"".join(own), "<u4")))
+        self.known = self.known.extended(*(np.concatenate(column) for column in zip(*parts)))
+        return self.known
+
+    def _merged(
+        self, data: np.ndarray, kind: np.ndarray, begin: np.ndarray, end: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray] | None:
+        """How many ids words have whose bytes are all of some kind, and these ids; None if the tokenizer left out any part.
 
         A part is a run of letters, a digit or a run of marks. Parts are set apart by spaces, and each
         ends with its only token that closes.
@@ -136,14 +161,11 @@ class WordTokenizer:
         cuts = first[::JOINED] + spaces[first[::JOINED]] - 1
         cuts = [*cuts.tolist(), len(spaced)]
         lines = [spaced[lo:hi].tobytes().decode().lower() for lo, hi in zip(cuts, cuts[1:])]
-        found = [encoding.ids for encoding in self.plain.encode_batch(lines, add_special_tokens=False)]
-        ids = np.concatenate([np.array(one, "<u4") for one in found])
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.plain.encode_batch_fast(lines, add_special_tokens=False)])
         closed = np.flatnonzero(self.closes[ids]) + 1
         if len(closed) != spaces[-1]:
             return None
-        edges = 4 * closed[np.append(spaces[first[1:]] - 1, spaces[-1]) - 1]
-        edges, whole = edges.tolist(), ids.tobytes()
-        return [whole[lo:hi] for lo, hi in zip([0, *edges], edges)]
+        return np.diff(closed[np.append(spaces[first[1:]] - 1, spaces[-1]) - 1], prepend=0), ids
 
     def _encoded(self, spelt: list[str]) -> Iterator[bytes]:
         """The ids of each word: JOINED words are encoded at once, and ids go to the word they begin in."""
@@ -160,14 +182,13 @@ class WordTokenizer:
         """For each text of a chunk its ids, 4 bytes each."""
         own = words(chunk, fold=False)
         distinct, place, inverse = np.unique(own.hashes, return_index=True, return_inverse=True)
-        found = self._of_words(distinct, chunk.data, own.begin[place], own.end[place])
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        table = np.frombuffer(b"".join(found), "<u4")
+        known = self._of_words(distinct, chunk.data, own.begin[place], own.end[place])
+        at = known.place(distinct)[0]
         # the ids of word after word: its run in the table, moved to where it stands in the texts
-        counts = lengths[inverse]
+        counts = known.lengths[at][inverse]
         ends = np.cumsum(counts)
-        moved = (np.cumsum(lengths) - lengths)[inverse] - (ends - counts)
-        ids = table[np.repeat(moved, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        moved = known.starts[at][inverse] - (ends - counts)
+        ids = known.table[np.repeat(moved, counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
         edges = np.concatenate([[0], ends])[own.first]
         return [ids[lo:hi].tobytes() for lo, hi in zip(edges[:-1], edges[1:])]
 

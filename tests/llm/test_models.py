@@ -137,6 +137,18 @@ def test_plain_words_are_merged_without_normalising(monkeypatch, joined):
     assert slow and all(set(word) - set(letters) or "¡" in word for word in slow)
 
 
+def test_half_a_million_words_are_encoded_once(monkeypatch):
+    texts = pa.array([" ".join(f"w{n}" for n in range(at, at + 5000)) for at in range(0, 500_000, 5000)])
+    own, calls = packing.WordTokenizer(WORD_FILE), []
+    first = [ids for chunk in hashing.chunks(texts) for ids in own.ids(chunk)]
+    merged = own._merged
+    monkeypatch.setattr(own, "_merged", lambda *found: calls.append(len(found[2])) or merged(*found))
+    assert [ids for chunk in hashing.chunks(texts) for ids in own.ids(chunk)] == first and not calls
+    monkeypatch.setattr(packing, "CACHED", 1000)
+    assert [ids for chunk in hashing.chunks(pa.array(["w1 new w499999"])) for ids in own.ids(chunk)] and calls == [1]
+    assert len(own.known.keys) == 3
+
+
 # packing
 
 
