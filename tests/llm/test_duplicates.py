@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -257,6 +257,91 @@ def test_blocks_follow_the_places_of_both():
     assert ps.matched_segments(np.array(a + b + c, np.uint32), other, 46, 0.8) == [(0, 89, 1.0)]
 
 
+def plain_covered(hits, width, share):
+    sums, n = np.concatenate([[0], np.cumsum(hits - share)]), len(hits)
+    places = set()
+    for b in np.flatnonzero(hits):
+        for e in np.flatnonzero(hits):
+            if e + 1 - b >= width and sums[e + 1] + 1e-9 >= sums[b]:
+                places.update(range(b, e + 1))
+    return places
+
+
+@pytest.mark.parametrize("least, n", [(0.7, 23), (0.85, 23), (0.97, 23), (0.85, 15)])
+def test_covered_places_equal_plain_loops(least, n):
+    rng = np.random.default_rng(2)
+    hits = rng.random((300, n)) < least
+    for own, found in zip(hits, ps.covered(hits, 12, 0.8)):
+        assert set(np.flatnonzero(found).tolist()) == plain_covered(own, 12, 8 / 9)
+
+
+def cell_of(windows, second=None):
+    n = len(windows)
+    return pa.table({
+        "cell": pa.array([7] * n), "doc_id": pa.array(range(n)), "place": pa.array(range(n)),
+        "second": pa.array(second or [False] * n), "whole": pa.array([second is None] * n),
+        "own": pa.array([np.array(w, "<u4").tobytes() for w in windows], pa.binary()),
+    })
+
+
+def plain_similar(windows, second, width, least):
+    """Pairs that cover more of the later window than the pairs before them, of windows that share enough with any."""
+    seen, out, left = Counter(), set(), list(range(len(windows)))
+    for _ in range(3):
+        held = Counter(x for i in left for x in windows[i] if x)
+        shared = {i: np.array([held[x] > 1 for x in windows[i]]) for i in left}
+        left = [i for i in left if shared[i].sum() >= least]
+    left = [i for i in left if plain_covered(shared[i], width, 8 / 9)]
+    for i in left:
+        one = windows[i]
+        for j in [j for j in left if j > i]:
+            hits = np.isin(windows[j], one) & (np.array(windows[j]) != 0)
+            if (second is None or second[i] != second[j]) and hits.sum() >= least:
+                places = plain_covered(hits, width, 8 / 9)
+                if any(not seen[j, p] for p in places):
+                    out.add((j, i))
+                    seen.update({(j, p): 1 for p in places})
+    return out
+
+
+@pytest.mark.parametrize("n, halves", [(5, False), (5, True), (60, False), (60, True), (300, False)])
+def test_similar_windows_equal_plain_loops(n, halves):
+    rng = random.Random(n)
+    base = [[rng.randrange(1, 1 << 32) for _ in range(23)] for _ in range(6)]
+    windows = []
+    for _ in range(n):
+        kind, own = rng.randrange(4), list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(23)] = rng.choice([rng.randrange(1, 1 << 32), rng.choice(own), 0])
+        if kind == 0:  # shared places far apart
+            own = [x if k % 2 else rng.randrange(1, 1 << 32) for k, x in enumerate(own)]
+        if kind == 1:  # few shingles again and again
+            own = (own[:5] * 5)[:23]
+        windows.append(own)
+    second = [rng.random() < 0.5 for _ in range(n)] if halves else None
+    found = ps.compared(cell_of(windows, second), 12, 0.8).to_pylist()
+    assert {(r["doc_id"], r["p_doc"]) for r in found} == plain_similar(windows, second, 12, 11)
+
+
+def test_windows_that_share_places_far_apart_are_compared_many_at_once(monkeypatch):
+    rng = random.Random(5)
+    bases = [[rng.randrange(1, 1 << 32) for _ in range(23)] for _ in range(2)]
+    windows = [[rng.choice(both) for both in zip(*bases)] for _ in range(200)]
+    covered, calls = ps.covered, []
+    monkeypatch.setattr(ps, "covered", lambda *given: calls.append(1) or covered(*given))
+    found = ps.compared(cell_of(windows), 12, 0.8).to_pylist()
+    assert {(r["doc_id"], r["p_doc"]) for r in found} == plain_similar(windows, None, 12, 11)
+    assert len(calls) < 60
+
+
+def test_places_shared_are_counted_pair_by_pair():
+    rng = np.random.default_rng(3)
+    xs, ys = ([rng.integers(0, 50, rng.integers(0, 40), dtype=np.uint32) for _ in range(200)] for _ in range(2))
+    want = [int(np.isin(x, y).sum()) for x, y in zip(xs, ys)]
+    assert ps.places_shared(xs, ys).tolist() == ps.places_shared(xs, ys, 50).tolist() == want
+    assert ps.places_shared([], []).tolist() == []
+
+
 def test_rows_that_share_an_id_are_not_harmed(make_docs):
     rng = random.Random(20)
     passage = prose(rng, 60)
