@@ -166,6 +166,17 @@ def test_windows_of_four_hash_functions_with_wide_contexts(make_docs):
     assert sum(abs(r["context"]) >> 32 > 0 for r in rows) == len({r["context"] for r in rows}) == len(rows)
 
 
+def test_windows_that_lead_to_nothing_are_not_stored(make_docs, monkeypatch):
+    rng = random.Random(23)
+    passage = prose(rng, 200)
+    docs = make_docs([passage, *(prose(rng, 60) for _ in range(3)), passage])
+    stored, write = [], ps.materialize
+    monkeypatch.setattr(ps, "materialize", lambda df: stored.append(write(df)) or stored[-1])
+    rows = ps.repeated_passages(docs).collect()
+    assert [(r["doc_id"], r["start_word"], r["end_word"], r["source_ids"]) for r in rows] == [(4, 0, 200, [0])]
+    assert {r["doc_id"] for r in stored[0].collect()} == {4} and len(stored[0].columns) == 7
+
+
 def test_passages_that_open_with_a_shorter_common_one(make_docs):
     rng = random.Random(15)
     texts, pairs = [], []
