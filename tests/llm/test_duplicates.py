@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -135,6 +136,40 @@ def test_extents_reach_to_smaller_values():
     assert left == [0, 0, 2, 0, 4, 4, 6, 6] and right == [1, 3, 3, 4, 5, 8, 7, 8]
 
 
+def test_extents_take_pivots_together():
+    rng = np.random.default_rng(3)
+    n, texts = 20_000, 40
+    values = rng.integers(1, 5_000, n).astype(np.uint64)  # with ties
+    lows = np.arange(n) // (n // texts) * (n // texts)
+    highs, steps = lows + n // texts, []
+    sys.setprofile(lambda frame, event, arg: steps.append(event))
+    try:
+        left, right = ps.extents(np.arange(n), values, lows, highs)
+    finally:
+        sys.setprofile(None)
+    assert len(steps) < 1_000  # a loop over pivots takes several calls for each
+    for i in range(0, n, 7):
+        smaller = np.flatnonzero(values[lows[i] : i] <= values[i])
+        assert left[i] == (lows[i] + smaller[-1] + 1 if len(smaller) else lows[i])
+        smaller = np.flatnonzero(values[i : highs[i]] < values[i])
+        assert right[i] == (i + smaller[0] if len(smaller) else highs[i])
+
+
+def test_buckets_never_ask_for_more_than_similar_windows_share():
+    rng = np.random.default_rng(4)
+    names = rng.integers(0, 900, (60, 91))
+    names[20:40] = rng.integers(0, 30, (20, 91))  # shingles that repeat
+    names[50:, 60:] = 0
+    bits, needed = ps._buckets(names, names > 0, 41)
+    for _ in range(300):
+        i = rng.integers(60)
+        held = np.flatnonzero(names[i])
+        hit = rng.choice(held, min(41, len(held)), replace=False)
+        filled = len(set((names[i, hit] % ps.BUCKETS).tolist()))
+        assert needed[i] <= filled and needed[i] >= 1
+    assert np.bitwise_count(bits).sum(axis=1).tolist() == [len(set((r[r > 0] % ps.BUCKETS).tolist())) for r in names]
+
+
 def test_repeated_passages_cover_all_exact_repetitions(make_docs):
     rng = random.Random(5)
     passages = [prose(rng, n) for n in (51, 60, 200)]
