@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.lookup import attach, counted_table
 from ..session import materialize
 from .hashing import chunks, mix, shingle_set, words
 from .tables import components, per_batch
@@ -99,10 +100,9 @@ def permuted(h: np.ndarray, seed: np.uint64) -> np.ndarray:
 
 
 def prefix_postings(classes: DataFrame, least: int = LEAST_MATCHES) -> DataFrame:
-    """(node, key, keys): the postings in which a pair with `least` matches must meet.
+    """(node, keys): the postings in which a pair with `least` matches must meet.
 
-    `key` stands for a pair of coordinate and value; `keys` are all those of the node. Pairs
-    are ordered from rare to frequent. Two signatures that agree in `least` places share a
+    A key stands for a pair of coordinate and value. Pairs are ordered from rare to frequent. Two signatures that agree in `least` places share a
     posting among the first COORDINATES - least + 1 of both, so frequent values (shared
     passages) are skipped. Values of one text alone match nothing, and a text with fewer than
     `least` shared values has no partner.
@@ -116,13 +116,17 @@ def prefix_postings(classes: DataFrame, least: int = LEAST_MATCHES) -> DataFrame
     )
     first = F.slice("own", F.lit(1), F.size("own") - F.lit(least - 1))
     keys = F.sort_array(F.transform(first, lambda p: p["key"]))
-    return own.where(F.size("own") >= least).select("node", keys.alias("keys")).select(
-        "node", F.explode("keys").alias("key"), "keys"
-    )
+    return own.where(F.size("own") >= least).select("node", keys.alias("keys"))
+
 
+def one_by_one(prefixes: DataFrame) -> DataFrame:
+    """(node, key): a row for each posting of each node."""
+    return prefixes.select("node", F.explode("keys").alias("key"))
 
-def head_pairs(postings: DataFrame) -> DataFrame:
+
+def head_pairs(prefixes: DataFrame) -> DataFrame:
     """Every node of a posting list with the list's first node in three different orders."""
+    postings = one_by_one(prefixes)
     orders = [F.col("node"), F.xxhash64(F.lit(1), "node"), F.xxhash64(F.lit(2), "node")]
     heads = postings.groupBy("key").agg(*[F.min_by("node", order).alias(f"h{i}") for i, order in enumerate(orders)])
     paired = postings.select("node", "key").join(heads, "key").select(
@@ -133,7 +137,7 @@ def head_pairs(postings: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def crossing_pairs(postings: DataFrame, full: DataFrame, labels: DataFrame, least: int = LEAST_FINE) -> DataFrame:
+def crossing_pairs(prefixes: DataFrame, full: DataFrame, labels: DataFrame, least: int = LEAST_FINE) -> DataFrame:
     """Pairs of a posting list that are not connected yet and agree in `least` fine coordinates.
 
     Lists of one component are left out. Long lists are dealt out as pairs of blocks, so no
@@ -141,15 +145,16 @@ def crossing_pairs(postings: DataFrame, full: DataFrame, labels: DataFrame, leas
     only from the first list that both share; after half of the coordinates, those that cannot
     reach `least` any more are skipped.
     """
-    labelled = postings.join(labels.withColumnRenamed("component", "c"), "node", "left").withColumn(
+    labelled = one_by_one(prefixes).join(labels.withColumnRenamed("component", "c"), "node", "left").withColumn(
         "c", F.coalesce("c", "node")
     )
     open_lists = labelled.groupBy("key").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")
     ).where("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = labelled.join(open_lists, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    fine = full.select(F.col("doc_id").alias("node"), "fine")
-    placed = dealt.join(fine, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    # a node's keys join its rows only here, as each of these rows holds all of them
+    of_node = full.select(F.col("doc_id").alias("node"), "fine").join(prefixes, "node")
+    placed = dealt.join(of_node, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "key",
         (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("whole"),
         "node", "c", "keys", "fine",
@@ -212,9 +217,9 @@ def _count_cells(rows: pa.Table, least: int) -> pa.RecordBatch:
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(doc_id, own, fine): sorted shingle hashes and fine signatures of the documents in `nodes`."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id"
-    )
+    wanted, fits = counted_table(nodes.select(F.col("node").alias("doc_id")).distinct())
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = attach(texts, wanted, ["doc_id"], fits, "left_semi")  # texts are not shuffled for few nodes
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         out, fine = [], []
@@ -283,11 +288,11 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, least: int | No
     classes = materialize(named.groupBy(*keys).agg(
         F.min("doc_id").alias("node"), F.min_by("signature", "doc_id").alias("signature")
     ))
-    postings = materialize(prefix_postings(classes, least))
-    full = materialize(full_sets(docs, postings))
-    first = materialize(confirmed(head_pairs(postings), full, threshold, fine))
+    prefixes = materialize(prefix_postings(classes, least))
+    full = materialize(full_sets(docs, prefixes))
+    first = materialize(confirmed(head_pairs(prefixes), full, threshold, fine))
     so_far = materialize(components(first))
-    rest = confirmed(materialize(crossing_pairs(postings, full, so_far, fine)), full, threshold, fine)
+    rest = confirmed(materialize(crossing_pairs(prefixes, full, so_far, fine)), full, threshold, fine)
     labels = components(so_far.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
     of_class = classes.select(*keys, "node").join(labels, "node", "left").select(
         *keys, F.coalesce("component", "node").alias("component")

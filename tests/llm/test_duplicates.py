@@ -136,6 +136,19 @@ def test_extents_reach_to_smaller_values():
     assert left == [0, 0, 2, 0, 4, 4, 6, 6] and right == [1, 3, 3, 4, 5, 8, 7, 8]
 
 
+def test_near_duplicates_store_a_node_once_and_shuffle_no_texts_for_few(make_docs, monkeypatch):
+    rng = random.Random(31)
+    texts = [text + end for text in (prose(rng, 120) for _ in range(8)) for end in ("", " one", " two more")]
+    docs, stored, write = make_docs(texts), [], nd.materialize
+    monkeypatch.setattr(nd, "materialize", lambda df: stored.append(write(df)) or stored[-1])
+    assert {r["component_id"] for r in near_duplicates(docs).collect()} == set(range(0, 24, 3))
+    prefixes = next(df for df in stored if "keys" in df.columns)
+    nodes = [r["node"] for r in prefixes.collect()]
+    assert nodes and len(set(nodes)) == len(nodes)
+    plan = nd.full_sets(docs, prefixes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_extents_take_pivots_together():
     rng = np.random.default_rng(3)
     n, texts = 20_000, 40
