@@ -77,7 +77,8 @@ def _segmented(table: DataFrame, target: int, total: int, source: str) -> DataFr
     within its first `target` bytes, so for each unit there, walking the segment tells where the
     chain's last shard begins and how many it opens. These entries are nodes of a table that is
     smaller by about SEGMENT, with which the same is done until a source's nodes can be walked at
-    once. Then each segment is told its entry, from the longest segments down to the units.
+    once. Then each segment is told its entry, from the longest segments down to the units. Where
+    the last shard reaches into one more segment, which no chain enters, that one is told its number.
     """
     wall = target + 1  # larger units count as so many bytes: they are shards of their own either way
     size = F.least(F.coalesce("n_bytes", F.lit(0)), F.lit(wall))
@@ -96,12 +97,19 @@ def _segmented(table: DataFrame, target: int, total: int, source: str) -> DataFr
     entered = _nodes(level, max(span, total + 1), source).select(
         source, "_own", F.struct(F.lit(0).alias("_at"), F.col("_own")[0]["_end"].alias("_end"), F.lit(0).cast("long").alias("_before")).alias("_start")
     )
+    ends = _visited(entered, target, lower).select(source, F.col("_chain.last").alias("_last"), F.struct(
+        *[F.lit(None).cast("long").alias(c) for c in PLACE], F.col("_chain.n").alias("_before")
+    ).alias("_start"))
     while levels:
-        reached = _visited(entered, target, lower).select(source, F.explode("_visited").alias("_v"))
+        reached = _visited(entered, target, lower).select(source, F.explode("_chain.out").alias("_v"))
         level, lower, span = levels.pop()
         starts = reached.select(source, F.expr(f"_v._at div {span}").alias("_segment"), F.col("_v").alias("_start"))
+        if not levels:
+            starts = starts.unionByName(ends.select(source, F.expr(f"_last div {span} + 1").alias("_segment"), "_start"))
         entered = _nodes(level, span, source).join(starts, [source, "_segment"])
-    walked = _visited(entered, target, lower).select(source, "_visited", "_start", F.explode("_own").alias("_unit"))
+    walked = _visited(entered, target, lower).select(
+        source, F.col("_chain.out").alias("_visited"), "_start", F.explode("_own").alias("_unit")
+    )
     place = F.struct(*[F.col("_unit")[c] for c in PLACE])
     opened = F.size(F.filter("_visited", lambda v: F.struct(*[v[c] for c in PLACE]) <= place))
     shards = walked.select("_unit._row.*", (F.col("_start._before") + opened).alias("shard"))
@@ -146,7 +154,8 @@ def _entries(level: DataFrame, target: int, lower: int, span: int, source: str)
 
 
 def _visited(entered: DataFrame, target: int, lower: int) -> DataFrame:
-    """`entered` with `_visited`, the nodes on the chain from `_start` on and how many shards were opened before each."""
+    """`entered` with `_chain`: `out`, the nodes on the chain from `_start` on and how many shards were opened before
+    each; `last`, where the last of these shards begins; `n`, how many were opened in all. A null place is no start."""
     start = F.col("_start")
     kind = "array<struct<_at: bigint, _end: bigint, _u: bigint, _before: bigint>>"
     zero = F.struct(
@@ -165,7 +174,7 @@ def _visited(entered: DataFrame, target: int, lower: int) -> DataFrame:
             ),
         ).otherwise(done)
 
-    return entered.withColumn("_visited", F.aggregate("_own", zero, step)["out"])
+    return entered.withColumn("_chain", F.aggregate("_own", zero, step))
 
 
 def _walked(pointers: DataFrame, source: str) -> DataFrame:

@@ -365,6 +365,23 @@ def test_segments_lead_to_the_shards_of_a_plain_loop(spark, monkeypatch, walked)
     assert "Python" not in plan_of(packed) and "Pandas" not in plan_of(packed)
 
 
+def test_units_after_the_last_segment_with_an_opener_are_in_the_last_shard(spark, monkeypatch):
+    monkeypatch.setattr(shards, "WALKED_UNITS", 3)
+    monkeypatch.setattr(shards, "SEGMENT", 2)
+    monkeypatch.setattr(shards, "CHUNK_UNITS", 7)
+    # segments of 42 bytes; in each of these lengths the last shard may begin in one and end in the next
+    sizes = {f"s{n}": [3] * n for n in range(1, 80)} | {f"z{n}": [7] * n + [0, 0] for n in range(1, 40)}
+    rows = [(s, i, i + 1, n) for s, own in sizes.items() for i, n in enumerate(own)]
+    table = frame(spark, rows, "source string, row_id long, rows long, size long")
+    counts = table.select("source", F.col("row_id").alias("unit"), F.lit(1).cast("long").alias("n_rows"), F.col("size").alias("n_bytes"))
+    want = {(s, i): 1 + i // (20 // max(own)) for s, own in sizes.items() for i, n in enumerate(own) if n}
+    want |= {(s, i): want[s, max(j for j, m in enumerate(own) if m)] for s, own in sizes.items() for i, n in enumerate(own) if not n}
+    found = [((r.source, r.unit), r.shard) for r in shards.pack_units(counts, 20).collect()]
+    assert dict(found) == want and len(found) == len(want)
+    sharded, manifest = shards.assign_shards(table, 20, F.col("size"), block_rows=1)
+    assert sharded.count() == len(rows) == manifest.agg(F.sum("num_rows")).first()[0]
+
+
 def test_part_numbers_move_no_rows(spark):
     rng = random.Random(8)
     rows = [(rng.choice("aab"), i, "text") for i in rng.sample(range(400_000), 3000)]
