@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -378,6 +379,40 @@ def test_wrapper_is_learnt_from_pages_of_the_host():
     assert ex.extract("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after</p>", others) == "deep after"
 
 
+def test_template_inside_marked_articles():
+    def page(k, tag="article", more="<div class='box'>Keep up with us every week</div>"):
+        return f"<body><{tag}><header>Our paper</header><h1>Title {k}</h1>{more}<p>story {k} of the day</p></{tag}></body>"
+
+    for tag in ("article", "main"):
+        others = [ex.parse(page(k, tag)) for k in range(4)]
+        assert ex.extract(page(9, tag), others) == "Title 9 story 9 of the day"
+        assert ex.extract(page(9, tag), others, [ex.said_key(ex.parse("<header>Our paper</header>").children[0])]) == (
+            "Title 9 Keep up with us every week story 9 of the day")
+        # two pages that agree, and versions of one article, tell nothing about what stands in it
+        assert ex.extract(page(9, tag), others[:1]).startswith("Our paper Title 9 Keep up")
+        assert ex.extract(page(3, tag) + "<div>other</div>" * 9, others[3:] * 3).startswith("Our paper Title 3 Keep up")
+
+
+def test_main_around_articles_is_text():
+    page = ("<nav>Menu</nav><main><h1>Head</h1><p>Lead</p><article><p>Story</p><article class='comment'>no</article></article>"
+            "<section><p>Later</p></section><aside>Side</aside></main><article>Other</article><footer>F</footer>")
+    assert ex.extract(page, []) == "Head Lead Story Later Other"
+
+
+def test_articles_are_judged_by_all_pages_of_the_host(spark):
+    ids = spark.range(20).select("id", F.concat(F.lit("https://h.example.org/"), "id").alias("url"))
+    # the pages of smallest hash, which the others are aligned with, share a line; few others have it
+    chosen = {r["id"] for r in ids.orderBy(F.xxhash64("id", "url")).limit(ex.SAMPLES).collect()}
+    lines = chosen | set([i for i in range(20) if i not in chosen][:4])
+    rows = [
+        (r["id"], r["url"], f"<article><h1>Title {r['id']}</h1><p>story {r['id']}</p>" + "<p>As we said</p>" * (r["id"] in lines)
+         + "<div>Keep up with us</div></article>")
+        for r in ids.collect()
+    ]
+    got = {r["page_id"]: r["text"] for r in ex.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title {i} story {i}" + " As we said" * (i in lines) for i in range(20)}
+
+
 def test_tree_matching_counts_nodes():
     one, two = ex.parse("<ul><li>a</li><li>b</li></ul><p>x</p>"), ex.parse("<ul><li>a</li></ul><div></div><p>y</p>")
     assert ex.tree_matching(one, one) == one.size == 6  # the page, the list, its items and their texts, p and its text
